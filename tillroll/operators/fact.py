@@ -66,7 +66,7 @@ def enrich_extract(rows: DataFrame, mapper: DataFrame) -> DataFrame:
     so the join strategy is left to the planner and adaptive execution.
     """
     m = mapper.select("SKU", "Retailer", "Description", "ProductType")
-    return rows.join(m, ["SKU", "Retailer"], "left")
+    return rows.join(m, ["SKU", "Retailer"], "left").select(*rows.columns, "Description", "ProductType")
 
 
 def resolve_keys(enriched: DataFrame, dates: DataFrame, wide: bool = False, carry: list[str] | None = None) -> DataFrame:

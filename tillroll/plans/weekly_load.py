@@ -60,6 +60,13 @@ from ..sources.tables import Warehouse, write_table
 MAPPER_TABLE = "SKU Mapper Table"
 MAPPER_GATE = [Q.unique("SKU", "Retailer")]
 
+# A batch touching more fact partitions than this is clustered by DateId
+# before the write (adaptive rebalance: a big week is split into several
+# right-sized files, small weeks are packed together).  A weekly load touches
+# one or two partitions and writes straight from the merge, with no extra
+# shuffle.
+REBALANCE_ABOVE_PARTITIONS = 4
+
 
 @dataclass
 class LoadResult:
@@ -142,7 +149,10 @@ def load_batch(
             write_table(ret_new, wh.retailer, "append")
         if n_batches:
             write_table(new_batches, wh.batch, "append")
-        write_table(fact_table_rows(merged), wh.sales, "partitions", "DateId")
+        fact_rows = fact_table_rows(merged)
+        if len(touched) > REBALANCE_ABOVE_PARTITIONS:
+            fact_rows = fact_rows.hint("rebalance", "DateId")
+        write_table(fact_rows, wh.sales, "partitions", "DateId")
         return LoadResult(touched, n_prod, n_ret, n_batches)
     finally:
         for df in kept:

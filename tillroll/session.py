@@ -33,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         # small files: do not let one task read a whole 1 GB-per-split default
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
+        # local disk only: no .crc side files for every Parquet file written
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
+        .config("spark.hadoop.fs.file.impl.disable.cache", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
