@@ -34,7 +34,7 @@ _FIRST_WEEK = "DATE '1995-01-08'"
 _LI = """li AS (
   SELECT l_partkey, l_suppkey,
          CAST(CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS DATE) AS wk,
-         l_quantity, CAST(l_extendedprice AS DECIMAL(13,2)) AS price, l_returnflag
+         l_quantity, CAST(l_extendedprice AS DECIMAL(13,2)) AS price, l_discount, l_returnflag
   FROM lineitem)"""
 
 _GROSS = """gross AS (
@@ -47,10 +47,9 @@ _GROSS = """gross AS (
 _NET = """net AS (
   SELECT CAST(g.l_partkey AS INTEGER) AS "SKU", s.s_name AS "Retailer", g.wk AS "Week Ending",
          CAST(g.units AS INTEGER) AS "Units", CAST(g.sales AS DECIMAL(13,2)) AS "Sales"
-  FROM (SELECT wk, l_partkey, l_suppkey,
-               SUM(CASE WHEN l_returnflag = 'R' THEN 0.0 ELSE l_quantity END) AS units,
-               SUM(CASE WHEN l_returnflag = 'R' THEN CAST(0 AS DECIMAL(13,2)) ELSE price END) AS sales
-        FROM li GROUP BY wk, l_partkey, l_suppkey) g
+  FROM (SELECT wk, l_partkey, l_suppkey, SUM(l_quantity) AS units,
+               SUM(price * (1 - CAST(l_discount AS DECIMAL(13,2)))) AS sales
+        FROM li WHERE l_returnflag IS DISTINCT FROM 'R' GROUP BY wk, l_partkey, l_suppkey) g
   LEFT JOIN supplier s ON s.s_suppkey = g.l_suppkey)"""
 
 _MAPPER = """mapper AS (

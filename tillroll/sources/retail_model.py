@@ -30,7 +30,7 @@ from ..functions.money import to_money
 
 # The restatement scenario used by the example loads.  The
 # broker first delivers gross figures; from RESTATE_FROM it re-delivers
-# figures net of returned lines (l_returnflag = 'R'), and the first delivery
+# figures net of returned lines (l_returnflag = 'R') and discounts, and the first delivery
 # stops before FIRST_DELIVERY_UNTIL, so the weeks in between arrive twice,
 # some unchanged and some restated.
 RETURNED_FLAG = "R"
@@ -42,25 +42,29 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def weekly_extract(lineitem: DataFrame, supplier: DataFrame, net_of_returns: bool = False) -> DataFrame:
-    """Weekly extract rows (SKU, Retailer, Week Ending, Units, Sales) from the transaction tables."""
+def weekly_extract(lineitem: DataFrame, supplier: DataFrame, restated: bool = False) -> DataFrame:
+    """Weekly extract rows (SKU, Retailer, Week Ending, Units, Sales) from the transaction tables.
+
+    ``restated``: figures net of returns and discounts - returned lines are
+    left out (a part-week whose lines were all returned disappears) and each
+    line counts ``price * (1 - discount)``, in exact decimal arithmetic.
+    """
+    price = to_money("l_extendedprice")
+    if restated:
+        price = price * (F.lit(1) - to_money("l_discount"))
     li = lineitem.select(
         "l_partkey",
         "l_suppkey",
         week_ending(F.to_date("l_shipdate")).alias("week"),
         F.col("l_quantity"),
-        to_money("l_extendedprice").alias("price"),
+        price.alias("price"),
         F.col("l_returnflag"),
     )
-    if net_of_returns:
-        returned = F.col("l_returnflag") == F.lit(RETURNED_FLAG)
-        qty = F.when(returned, F.lit(0.0)).otherwise(F.col("l_quantity"))
-        price = F.when(returned, F.lit(0).cast("decimal(13,2)")).otherwise(F.col("price"))
-    else:
-        qty, price = F.col("l_quantity"), F.col("price")
+    if restated:
+        li = li.where(~F.col("l_returnflag").eqNullSafe(F.lit(RETURNED_FLAG)))
     grain = li.groupBy("week", "l_partkey", "l_suppkey").agg(
-        F.sum(qty).alias("units"),
-        F.sum(price).alias("sales"),
+        F.sum("l_quantity").alias("units"),
+        F.sum("price").alias("sales"),
     )
     sup = supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("Retailer"))
     return grain.join(sup, "l_suppkey", "left").select(
@@ -96,9 +100,9 @@ def first_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def restated_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch B: net-of-returns figures from ``RESTATE_FROM`` on (overlaps batch A)."""
+    """Batch B: figures net of returns and discounts from ``RESTATE_FROM`` on (overlaps batch A)."""
     lineitem, supplier = _tables(spark, sf_dir, "lineitem", "supplier")
-    ex = weekly_extract(lineitem, supplier, net_of_returns=True)
+    ex = weekly_extract(lineitem, supplier, restated=True)
     return ex.where(F.col("Week Ending") >= F.lit(RESTATE_FROM))
 
 
