@@ -15,7 +15,9 @@ Write modes never destroy what they read:
 
 from __future__ import annotations
 
+import posixpath
 from dataclasses import dataclass
+from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,12 @@ def _condition(exc: AnalysisException) -> str | None:
     return None
 
 
+def _plain_path(uri: str) -> str:
+    """Scheme-less, normalised path of a file URI or path (for comparing locations)."""
+    parsed = urlparse(uri)
+    return posixpath.normpath(parsed.path if parsed.scheme else uri).rstrip("/")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The Parquet table at ``path`` read with ``schema``, or an empty frame of it.
 
@@ -62,8 +70,8 @@ def write_table(df: DataFrame, path: str, mode: str, partition_by: str | None =
             raise ValueError("partition overwrite needs a partition column")
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     elif mode == "overwrite":
-        target = path.rstrip("/")
-        if any(f.startswith(target + "/") or f.startswith("file:" + target + "/") for f in df.inputFiles()):
+        target = _plain_path(path) + "/"
+        if any(_plain_path(f).startswith(target) for f in df.inputFiles()):
             raise ValueError(f"refusing to overwrite {path}: the frame reads from it")
         writer = writer.mode("overwrite")
         if partition_by:
