@@ -471,6 +471,19 @@ def q_backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_values(wh.read_sales(spark))
 
 
+def q_stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C10 (streaming): both delivery folders picked up by a file stream and loaded per micro-batch."""
+    from .streaming.arrivals import start_arrivals
+
+    root = _deliveries_root(spark, sf_dir)
+    wh = _base_warehouse(spark, sf_dir, "wh-stream")
+    query = start_arrivals(spark, wh, root, name=None, checkpoint=scratch_dir(spark, "stream-ckpt"))
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return _fact_values(wh.read_sales(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weekly_extract": q_weekly_extract,
     "scan_extract": q_scan_extract,
@@ -513,4 +526,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_product": q_view_product,
     "register_batches": q_register_batches,
     "backfill_weeks": q_backfill_weeks,
+    "stream_deliveries": q_stream_deliveries,
 }

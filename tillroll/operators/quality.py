@@ -87,16 +87,40 @@ def gate_report(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
     return wide.select(F.inline(F.array(*rows)))
 
 
+def row_count(df: DataFrame, label: str) -> DataFrame:
+    """A report-shaped row holding ``count(*)`` of ``df`` (check ``rows``, never a failure)."""
+    return df.agg(
+        F.lit(0).alias("seq"),
+        F.lit("rows").alias("check"),
+        F.lit(label).alias("columns"),
+        F.count(F.lit(1)).cast("long").alias("violations"),
+        F.lit(None).cast("string").alias("message"),
+    )
+
+
+def run_reports(reports: Sequence[tuple[str, DataFrame]]) -> list:
+    """Evaluate several reports in ONE job; rows come back tagged with their report name.
+
+    The reports are independent aggregations, so Spark runs them as
+    concurrent stages of a single job instead of one job each.
+    """
+    tagged = None
+    for order, (name, rep) in enumerate(reports):
+        part = rep.select(F.lit(order).alias("report"), F.lit(name).alias("name"), "*")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return sorted(tagged.collect(), key=lambda r: (r["report"], r["seq"]))
+
+
 def raise_first(report_rows) -> None:
     """Raise the first violated check of collected report rows (in ``seq`` order)."""
-    for row in sorted(report_rows, key=lambda r: r["seq"]):
-        if row["violations"] and row["violations"] > 0:
+    for row in report_rows:
+        if row["check"] != "rows" and row["violations"] and row["violations"] > 0:
             raise GateError(row["message"])
 
 
 def enforce(df: DataFrame, table: str, checks: Sequence[Check]) -> None:
     """Run the gate (one job) and raise the first failure."""
-    raise_first(gate_report(df, table, checks).collect())
+    raise_first(sorted(gate_report(df, table, checks).collect(), key=lambda r: r["seq"]))
 
 
 # The single-check forms of the contract.

@@ -304,4 +304,5 @@ FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey""",
        'week=' || strftime(wk, '%Y-%m-%d') AS "Folder"
 FROM (SELECT DISTINCT "Week Ending" AS wk FROM gross)""",
     "backfill_weeks": _SCENARIO + "," + _AFTER_AB + f"\nSELECT {_FACT_COLS} FROM ab",
+    "stream_deliveries": _SCENARIO + "," + _AFTER_AB + f"\nSELECT {_FACT_COLS} FROM ab",
 }

@@ -1,7 +1,8 @@
 """Weekly load: product -> retailer -> sales fact for one extract, and backfill.
 
 Order of work for one batch (every gate runs before the first write, so a
-failed gate leaves every table as it was):
+failed gate leaves every table as it was; all gates are evaluated in one
+job and the first failure in the order below is raised):
 
 1. lookup gate: the SKU mapper must be unique on (SKU, Retailer), else the
    enrichment join would fan out and double count;
@@ -107,16 +108,16 @@ def load_batch(
 
     try:
         mapper = wh.read_sku_mapper(spark)
-        Q.enforce(mapper, MAPPER_TABLE, MAPPER_GATE)
-
         carry = [c for c in (delivery, folder) if c]
         enriched = keep(enrich_extract(conform_extract(extract, carry), mapper))
+        reports = [("mapper", Q.gate_report(mapper, MAPPER_TABLE, MAPPER_GATE))]
 
         new_batches, bid_col = None, None
         if folder:
             log = wh.read_batches(spark)
             new_batches = keep(register_batches(log, enriched.select(F.col(folder).alias("FilePath")), data_source))
-            Q.enforce(merge_dim(log, new_batches), BATCH_TABLE, BATCH_GATE)
+            reports.append(("batch", Q.gate_report(merge_dim(log, new_batches), BATCH_TABLE, BATCH_GATE)))
+            reports.append(("new_batches", Q.row_count(new_batches, "batch")))
             # One row per delivery folder: tiny, and checked before it is broadcast.
             ids = log.unionByName(new_batches).select(
                 F.col("FilePath").alias(folder), F.col("BatchId").cast("int").alias("_batch_id")
@@ -128,21 +129,27 @@ def load_batch(
         prod_old = wh.read_product(spark)
         prod_cand = product_candidates(enriched, delivery, bid_carry)
         prod_new = keep(new_members(prod_cand, prod_old, "ProductName", "ProductId", ts, batch_id, wide, bid_col))
-        Q.enforce(merge_dim(prod_old, prod_new), PRODUCT_TABLE, PRODUCT_GATE)
+        reports.append(("product", Q.gate_report(merge_dim(prod_old, prod_new), PRODUCT_TABLE, PRODUCT_GATE)))
+        reports.append(("new_products", Q.row_count(prod_new, "product")))
 
         ret_old = wh.read_retailer(spark)
         ret_cand = retailer_candidates(enriched, delivery, bid_carry)
         ret_new = keep(new_members(ret_cand, ret_old, "RetailerName", "RetailerId", ts, batch_id, wide, bid_col))
-        Q.enforce(merge_dim(ret_old, ret_new), RETAILER_TABLE, RETAILER_GATE)
+        reports.append(("retailer", Q.gate_report(merge_dim(ret_old, ret_new), RETAILER_TABLE, RETAILER_GATE)))
+        reports.append(("new_retailers", Q.row_count(ret_new, "retailer")))
 
         resolved = resolve_keys(enriched, wh.read_date(spark), wide, [c for c in (delivery, bid_col) if c])
         touched = touched_date_ids(resolved)
         existing = wh.read_sales(spark).where(F.col("DateId").isin(touched))
         merged = keep(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col))
-        Q.enforce(merged, SALES_TABLE, SALES_GATE)
+        reports.append(("sales", Q.gate_report(merged, SALES_TABLE, SALES_GATE)))
+
+        # Every gate of every table in one job; the first failure in check order stops the load.
+        rows = Q.run_reports(reports)
+        Q.raise_first(rows)
+        counts = {r["name"]: r["violations"] for r in rows if r["check"] == "rows"}
+        n_prod, n_ret, n_batches = counts["new_products"], counts["new_retailers"], counts.get("new_batches", 0)
 
-        n_prod, n_ret = prod_new.count(), ret_new.count()
-        n_batches = new_batches.count() if new_batches is not None else 0
         if n_prod:
             write_table(prod_new, wh.product, "append")
         if n_ret:

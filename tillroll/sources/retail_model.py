@@ -42,17 +42,33 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def weekly_extract(lineitem: DataFrame, supplier: DataFrame, restated: bool = False) -> DataFrame:
+def weekly_extract(
+    lineitem: DataFrame,
+    supplier: DataFrame,
+    restated: bool = False,
+    weeks_from: _dt.date | None = None,
+    weeks_before: _dt.date | None = None,
+) -> DataFrame:
     """Weekly extract rows (SKU, Retailer, Week Ending, Units, Sales) from the transaction tables.
 
     ``restated``: figures net of returns and discounts - returned lines are
     left out (a part-week whose lines were all returned disappears) and each
     line counts ``price * (1 - discount)``, in exact decimal arithmetic.
+
+    ``weeks_from`` / ``weeks_before`` (Sundays) keep the weeks ending in
+    ``[weeks_from, weeks_before)``.  They are applied to the raw ship date
+    (a week ending on Sunday W holds the days W-6 .. W), so the bound reaches
+    the Parquet scan and rows are dropped before the aggregation shuffle.
     """
     price = to_money("l_extendedprice")
     if restated:
         price = price * (F.lit(1) - to_money("l_discount"))
-    li = lineitem.select(
+    raw = lineitem
+    if weeks_from is not None:
+        raw = raw.where(F.col("l_shipdate") >= F.lit(weeks_from - _dt.timedelta(days=6)))
+    if weeks_before is not None:
+        raw = raw.where(F.col("l_shipdate") < F.lit(weeks_before - _dt.timedelta(days=6)))
+    li = raw.select(
         "l_partkey",
         "l_suppkey",
         week_ending(F.to_date("l_shipdate")).alias("week"),
@@ -62,6 +78,10 @@ def weekly_extract(lineitem: DataFrame, supplier: DataFrame, restated: bool = Fa
     )
     if restated:
         li = li.where(~F.col("l_returnflag").eqNullSafe(F.lit(RETURNED_FLAG)))
+    if weeks_from is not None:
+        li = li.where(F.col("week") >= F.lit(weeks_from))
+    if weeks_before is not None:
+        li = li.where(F.col("week") < F.lit(weeks_before))
     grain = li.groupBy("week", "l_partkey", "l_suppkey").agg(
         F.sum("l_quantity").alias("units"),
         F.sum("price").alias("sales"),
@@ -95,15 +115,13 @@ def sku_mapper(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> Dat
 def first_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch A: gross figures for the weeks before ``FIRST_DELIVERY_UNTIL``."""
     lineitem, supplier = _tables(spark, sf_dir, "lineitem", "supplier")
-    ex = weekly_extract(lineitem, supplier)
-    return ex.where(F.col("Week Ending") < F.lit(FIRST_DELIVERY_UNTIL))
+    return weekly_extract(lineitem, supplier, weeks_before=FIRST_DELIVERY_UNTIL)
 
 
 def restated_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch B: figures net of returns and discounts from ``RESTATE_FROM`` on (overlaps batch A)."""
     lineitem, supplier = _tables(spark, sf_dir, "lineitem", "supplier")
-    ex = weekly_extract(lineitem, supplier, restated=True)
-    return ex.where(F.col("Week Ending") >= F.lit(RESTATE_FROM))
+    return weekly_extract(lineitem, supplier, restated=True, weeks_from=RESTATE_FROM)
 
 
 def full_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
