@@ -55,6 +55,6 @@ def test_merge_matches_model(spark, old, new):
             (r["DataSource"], r["SKU"], r["UnitsSold"], r["SalesAmount"]), r["CreatedTime"], r["UpdatedTime"], r["_action"])
         for r in merged
     }
-    assert len(got) == len(merged)  # no key repeats when each delivery holds a key once
-    assert not any(r["_dup"] for r in merged)
+    assert len(got) == len(merged)  # one row per key
+    assert not any(r["_extra"] for r in merged)  # each delivery holds a key once
     assert got == model(old, new)

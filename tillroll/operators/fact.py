@@ -5,8 +5,8 @@ SKUs of one product from one retailer in one week collide on the key and stop
 the load at the uniqueness gate.
 
 The merge (``merge_fact``) takes the fact rows of the touched ``DateId``
-partitions and the incoming rows, and classifies every key in ONE window
-pass over their union, partitioned by the key:
+partitions and the incoming rows, and classifies every key in ONE
+aggregation over their union, grouped by the key:
 
 * ``insert``    - key only in the batch: new row, created now;
 * ``update``    - key in both, some value differs (null-safe): batch values,
@@ -16,15 +16,15 @@ pass over their union, partitioned by the key:
 * ``keep``      - key only in the table: the stored row.
 
 With several deliveries in one run the latest delivery of a key wins.  The
-same pass marks rows that repeat a key (``_dup``), so the uniqueness gate
-needs no second shuffle.
+same pass counts rows that repeat a key within a delivery (``_extra``), so
+the uniqueness gate needs no second shuffle.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_id
@@ -38,11 +38,13 @@ from .dimensions import batch_time
 # Fixed value: table name in gate messages, and the fact gates in check order.
 SALES_TABLE = "Sales Fact Table"
 SALES_GATE = [
-    Q.not_null("DateId"),
-    Q.not_null("ProductId"),
-    Q.not_null("RetailerId"),
-    Q.unique_by_flag(FACT_KEY, "_dup"),
+    Q.not_null("DateId", weight="_rows"),
+    Q.not_null("ProductId", weight="_rows"),
+    Q.not_null("RetailerId", weight="_rows"),
+    Q.unique_by_count(FACT_KEY, "_extra"),
 ]
+# Delivery order of incoming rows that came without one (a single weekly load).
+_NO_DELIVERY = "0001-01-01"
 
 
 def conform_extract(extract: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -100,17 +102,23 @@ def _null_audit() -> list:
 def merge_fact(
     existing: DataFrame,
     incoming: DataFrame,
-    batch_ts: _dt.datetime | None = None,
+    batch_ts: _dt.datetime | str | None = None,
     batch_id: int | None = None,
     delivery: str | None = None,
     batch_id_col: str | None = None,
 ) -> DataFrame:
-    """Classified fact rows of the touched partitions (see module doc).
-
-    Output: fact columns + ``_action`` + ``_dup``.  ``existing`` must hold
-    only the partitions the batch touches (the caller prunes by DateId).
-    ``delivery`` (optional DATE column of ``incoming``) orders deliveries;
-    ``batch_id_col`` (optional) gives a per-row batch id instead of ``batch_id``.
+    """Classified fact rows of the touched partitions (see module doc), one row per key.
+
+    Output: fact columns + ``_action`` + ``_rows`` (input rows the output row
+    stands for) + ``_extra`` (rows that repeat the key within their delivery;
+    any > 0 fails the uniqueness gate, so a repeated key is never written).
+    ``existing`` must hold only the partitions the batch touches (the caller
+    prunes by DateId).  ``delivery`` (optional DATE column of ``incoming``)
+    orders deliveries; ``batch_id_col`` (optional) gives a per-row batch id.
+
+    Plan: ONE exchange, hash on the key.  Every aggregate is partial on the
+    map side, so copies of a key - even a key holding a third of the batch -
+    are combined before the shuffle and no reducer receives a hot group.
     """
     now = batch_time(batch_ts)
     bid = F.col(batch_id_col) if batch_id_col else F.lit(batch_id)
@@ -119,7 +127,7 @@ def merge_fact(
         *FACT_VALUES,
         *AUDIT,
         F.lit(False).alias("_incoming"),
-        F.lit(None).cast("date").alias("_delivery"),
+        F.lit(None).cast("date").alias("_ord"),
         F.lit(None).cast("int").alias("_bid"),
     )
     new = incoming.select(
@@ -127,47 +135,41 @@ def merge_fact(
         *FACT_VALUES,
         *_null_audit(),
         F.lit(True).alias("_incoming"),
-        (F.col(delivery) if delivery else F.lit(None)).cast("date").alias("_delivery"),
+        F.coalesce((F.col(delivery) if delivery else F.lit(None)).cast("date"), F.lit(_NO_DELIVERY).cast("date")).alias("_ord"),
         bid.cast("int").alias("_bid"),
     )
-    # The stored row sorts first within a key, then deliveries latest first.
-    order = Window.partitionBy(*FACT_KEY).orderBy(F.col("_incoming"), F.col("_delivery").desc_nulls_last())
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    values = F.struct(*[F.col(c) for c in FACT_VALUES])
-    prev = F.max(F.when(~F.col("_incoming"), F.struct(*FACT_VALUES, *AUDIT))).over(whole)
-    u = old.unionByName(new).select(
-        "*",
-        prev.alias("_prev"),
-        F.sum(F.when(~F.col("_incoming"), 1).otherwise(0)).over(whole).alias("_n_old"),
-        F.sum(F.when(F.col("_incoming"), 1).otherwise(0)).over(whole).alias("_n_new"),
-        F.max(F.when(F.col("_incoming"), F.col("_delivery"))).over(whole).alias("_latest"),
-        F.row_number().over(order).alias("_rank"),
+    inc = F.col("_incoming")
+    per_key = old.unionByName(new).groupBy(*FACT_KEY).agg(
+        F.count_if(~inc).alias("_n_old"),
+        F.count_if(inc).alias("_n_new"),
+        # distinct deliveries of the key: a set bounded by the deliveries in this run
+        F.size(F.collect_set(F.when(inc, F.col("_ord")))).alias("_n_deliveries"),
+        F.max(F.when(~inc, F.struct(*FACT_VALUES, *AUDIT))).alias("_prev"),
+        # the latest delivery's row (null ordering = stored row, skipped)
+        F.max_by(F.struct(*FACT_VALUES, "_bid"), F.when(inc, F.col("_ord"))).alias("_next"),
     )
-    latest = F.col("_delivery").eqNullSafe(F.col("_latest"))
-    # Rows that survive: the latest delivery of a key, or the stored row if none arrived.
-    u = u.where((F.col("_incoming") & latest) | (~F.col("_incoming") & (F.col("_n_new") == 0)))
+    has_new = F.col("_n_new") > 0
     has_prev = F.col("_prev").isNotNull()
-    prev_values = F.struct(*[F.col(f"_prev.{c}") for c in FACT_VALUES])
-    same = values.eqNullSafe(prev_values)
+    same = F.struct(*[F.col(f"_next.{c}") for c in FACT_VALUES]).eqNullSafe(
+        F.struct(*[F.col(f"_prev.{c}") for c in FACT_VALUES])
+    )
     action = (
-        F.when(~F.col("_incoming"), F.lit("keep"))
+        F.when(~has_new, F.lit("keep"))
         .when(~has_prev, F.lit("insert"))
         .when(same, F.lit("unchanged"))
         .otherwise(F.lit("update"))
     )
-    # Output rows of a key are ranked 1.. after the stored row (if replaced); any rank > 1 repeats the key.
-    out_rank = F.col("_rank") - F.when(F.col("_incoming"), F.col("_n_old")).otherwise(0)
-    u = u.select("*", action.alias("_action"), (out_rank > 1).alias("_dup"))
     a = F.col("_action")
-    return u.select(
+    return per_key.withColumn("_action", action).select(
         *FACT_KEY,
-        *FACT_VALUES,
+        *[F.when(has_new, F.col(f"_next.{c}")).otherwise(F.col(f"_prev.{c}")).alias(c) for c in FACT_VALUES],
         F.when(a == "insert", now).otherwise(F.col("_prev.CreatedTime")).alias("CreatedTime"),
-        F.when(a == "insert", F.col("_bid")).otherwise(F.col("_prev.CreatedByBatchId")).alias("CreatedByBatchId"),
+        F.when(a == "insert", F.col("_next._bid")).otherwise(F.col("_prev.CreatedByBatchId")).alias("CreatedByBatchId"),
         F.when(a == "update", now).when(a != "insert", F.col("_prev.UpdatedTime")).alias("UpdatedTime"),
-        F.when(a == "update", F.col("_bid")).when(a != "insert", F.col("_prev.UpdatedByBatchId")).alias("UpdatedByBatchId"),
+        F.when(a == "update", F.col("_next._bid")).when(a != "insert", F.col("_prev.UpdatedByBatchId")).alias("UpdatedByBatchId"),
         a,
-        F.col("_dup"),
+        F.when(has_new, F.col("_n_new")).otherwise(F.col("_n_old")).alias("_rows"),
+        F.when(has_new, F.col("_n_new") - F.col("_n_deliveries")).otherwise(F.col("_n_old") - 1).alias("_extra"),
     )
 
 

@@ -25,9 +25,9 @@ class GateError(Exception):
 
 @dataclass(frozen=True)
 class Check:
-    kind: str  # "unique" | "not_null" | "flag"
+    kind: str  # "unique" | "not_null" | "counted"
     columns: tuple[str, ...]
-    flag_column: str | None = None  # for "flag": rows where this boolean is true violate
+    count_column: str | None = None  # "counted": per-row number of repeats; "not_null": rows each row stands for
 
     def message(self, table: str) -> str:
         # The message texts of the gate contract.
@@ -46,24 +46,27 @@ def unique(*columns: str) -> Check:
     return Check("unique", tuple(columns))
 
 
-def not_null(column: str) -> Check:
-    return Check("not_null", (column,))
+def not_null(column: str, weight: str | None = None) -> Check:
+    """Column has no nulls; ``weight`` names a column giving how many rows each row stands for."""
+    return Check("not_null", (column,), weight)
 
 
-def unique_by_flag(columns: Sequence[str], flag_column: str) -> Check:
-    """Uniqueness already computed per row (``flag_column`` = row repeats its key).
+def unique_by_count(columns: Sequence[str], count_column: str) -> Check:
+    """Uniqueness already counted per row (``count_column`` = rows repeating this row's key).
 
-    Used by the fact merge, whose shuffle by key already sees every copy of a
-    key, so the check costs no second shuffle.
+    Used by the fact merge, whose aggregation by key already sees every copy
+    of a key, so the check costs no second shuffle.
     """
-    return Check("flag", tuple(columns), flag_column)
+    return Check("counted", tuple(columns), count_column)
 
 
 def _violations(df: DataFrame, check: Check) -> Column:
     if check.kind == "not_null":
+        if check.count_column:
+            return F.sum(F.when(F.col(check.columns[0]).isNull(), F.col(check.count_column)).otherwise(0))
         return F.count_if(F.col(check.columns[0]).isNull())
-    if check.kind == "flag":
-        return F.count_if(F.col(check.flag_column))
+    if check.kind == "counted":
+        return F.coalesce(F.sum(check.count_column), F.lit(0))
     key = F.struct(*[F.col(c) for c in check.columns])
     return F.count(F.lit(1)) - F.count_distinct(key)
 
@@ -73,11 +76,11 @@ def gate_report(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
 
     Lazy; all checks share one aggregation over ``df``.
     """
-    wide = df.agg(*[_violations(df, c).cast("long").alias(f"v{i}") for i, c in enumerate(checks)])
+    wide = df.agg(*[F.coalesce(_violations(df, c).cast("long"), F.lit(0).cast("long")).alias(f"v{i}") for i, c in enumerate(checks)])
     rows = [
         F.struct(
             F.lit(i + 1).alias("seq"),
-            F.lit(c.kind if c.kind != "flag" else "unique").alias("check"),
+            F.lit(c.kind if c.kind != "counted" else "unique").alias("check"),
             F.lit(c.label).alias("columns"),
             F.col(f"v{i}").alias("violations"),
             F.when(F.col(f"v{i}") > 0, F.lit(c.message(table))).alias("message"),

@@ -47,7 +47,8 @@ def main() -> None:
            "under Spark's broadcast threshold at this scale (the planner's own size check; explicit `broadcast()` is used only\n"
            "for the calendar and batch ids after a row-count check).  With a 20M-row product dimension the view's product\n"
            "join is a sort-merge join, and adaptive skew handling splits a hot product.  The merge has exactly one\n"
-           "exchange (hash on the fact key) above the touched-partition scan (`PartitionFilters`).\n"]
+           "exchange (hash on the fact key) between a partial and a final aggregate, above the touched-partition\n"
+           "scan (`PartitionFilters`).\n"]
     for title, df in items:
         out.append(f"## {title}\n\n```\n{summary(df)}\n```\n")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
