@@ -62,12 +62,14 @@ EXAMPLE_RETAILERS = ["Supplier#000000001", "Supplier#000000002", "Supplier#00000
 DELIVERY_A = _dt.date(1998, 12, 27)
 DELIVERY_B = _dt.date(2001, 11, 4)
 FIRST_WEEK = _dt.date(1995, 1, 8)
+STREAM_TIMEOUT_SECONDS = 3600
 
 _memo: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    app = spark.conf.get("spark.app.id", None) or str(id(spark))
+    return (app, sf_dir.rstrip("/"), what)
 
 
 def _ts_text(col: str) -> F.Column:
@@ -478,7 +480,9 @@ def q_stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _deliveries_root(spark, sf_dir)
     wh = _base_warehouse(spark, sf_dir, "wh-stream")
     query = start_arrivals(spark, wh, root, name=None, checkpoint=scratch_dir(spark, "stream-ckpt"))
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SECONDS):
+        query.stop()
+        raise TimeoutError("delivery stream did not finish the available files in time")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return _fact_values(wh.read_sales(spark))

@@ -51,11 +51,17 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext handle (e.g. a remote session)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TILLROLL_LOCAL_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
