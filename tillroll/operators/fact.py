@@ -60,15 +60,31 @@ def conform_extract(extract: DataFrame, carry: list[str] | None = None) -> DataF
     )
 
 
-def enrich_extract(rows: DataFrame, mapper: DataFrame) -> DataFrame:
+def enrich_extract(rows: DataFrame, mapper: DataFrame, with_multiplicity: bool = False) -> DataFrame:
     """Left join to the SKU mapper on (SKU, Retailer): adds Description, ProductType.
 
     An unmapped SKU keeps its row with null names (stopped later by gates).
     The mapper is a lookup of every (part, supplier) pair and can be large,
     so the join strategy is left to the planner and adaptive execution.
+
+    ``with_multiplicity``: the mapper is first reduced to one row per
+    (SKU, Retailer) carrying ``_mapper_rows`` (how many rows it had), so the
+    join can never fan out, and the lookup's uniqueness gate reads that
+    column from the enriched rows - no separate pass over the mapper.  The
+    reduction shuffles the mapper on the join key, which the join then
+    reuses.
     """
-    m = mapper.select("SKU", "Retailer", "Description", "ProductType")
-    return rows.join(m, ["SKU", "Retailer"], "left").select(*rows.columns, "Description", "ProductType")
+    if with_multiplicity:
+        m = mapper.groupBy("SKU", "Retailer").agg(
+            F.count(F.lit(1)).alias("_mapper_rows"),
+            F.first("Description").alias("Description"),
+            F.first("ProductType").alias("ProductType"),
+        )
+        extra = ["_mapper_rows"]
+    else:
+        m = mapper.select("SKU", "Retailer", "Description", "ProductType")
+        extra = []
+    return rows.join(m, ["SKU", "Retailer"], "left").select(*rows.columns, "Description", "ProductType", *extra)
 
 
 def resolve_keys(enriched: DataFrame, dates: DataFrame, wide: bool = False, carry: list[str] | None = None) -> DataFrame:

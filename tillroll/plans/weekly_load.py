@@ -4,8 +4,9 @@ Order of work for one batch (every gate runs before the first write, so a
 failed gate leaves every table as it was; all gates are evaluated in one
 job and the first failure in the order below is raised):
 
-1. lookup gate: the SKU mapper must be unique on (SKU, Retailer), else the
-   enrichment join would fan out and double count;
+1. lookup gate: the SKU mapper must be unique on (SKU, Retailer) for the
+   pairs the batch uses, else the enrichment would double count (the
+   multiplicity comes out of the enrichment join itself);
 2. product dimension: new members + gate over (old + new);
 3. retailer dimension: the same;
 4. sales fact: keys resolved, touched ``DateId`` partitions read (literal
@@ -57,9 +58,11 @@ from ..schemas import DATA_SOURCE_MAT
 from ..sources.extract import DELIVERY_COLUMN, read_deliveries, read_extract
 from ..sources.tables import Warehouse, write_table
 
-# Fixed value: table name of the lookup in gate messages.
+# Fixed value: table name of the lookup in gate messages.  The lookup must be
+# unique on (SKU, Retailer) for every pair the batch uses: checked on the
+# enriched rows from the multiplicity the enrichment join carries.
 MAPPER_TABLE = "SKU Mapper Table"
-MAPPER_GATE = [Q.unique("SKU", "Retailer")]
+MAPPER_GATE = [Q.unique_by_count(["SKU", "Retailer"], "_mapper_extra")]
 
 # A batch touching more fact partitions than this is clustered by DateId
 # before the write (adaptive rebalance: a big week is split into several
@@ -109,8 +112,9 @@ def load_batch(
     try:
         mapper = wh.read_sku_mapper(spark)
         carry = [c for c in (delivery, folder) if c]
-        enriched = keep(enrich_extract(conform_extract(extract, carry), mapper))
-        reports = [("mapper", Q.gate_report(mapper, MAPPER_TABLE, MAPPER_GATE))]
+        enriched = keep(enrich_extract(conform_extract(extract, carry), mapper, with_multiplicity=True))
+        mapper_use = enriched.select((F.coalesce(F.col("_mapper_rows"), F.lit(1)) - 1).alias("_mapper_extra"))
+        reports = [("mapper", Q.gate_report(mapper_use, MAPPER_TABLE, MAPPER_GATE))]
 
         new_batches, bid_col = None, None
         if folder:
