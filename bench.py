@@ -107,7 +107,6 @@ def main() -> None:
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "spark": spark.version,
-                "extract_rows_sf": None,
             }
         )
     )
