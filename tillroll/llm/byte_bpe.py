@@ -25,7 +25,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import let, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: No pair to join; above every rank.
@@ -42,11 +42,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _bucket(key: Column, n: int = BUCKETS) -> Column:
     return F.pmod(F.hash(key), F.lit(n))
 
@@ -87,7 +82,7 @@ def project(df: DataFrame, into: str, body, **values: DataFrame) -> DataFrame:
     def bound(left, given):
         if not left:
             return body(**given)
-        return _let(F.col(f"__{left[0]}__"), lambda v: bound(left[1:], {**given, left[0]: v}))
+        return let(F.col(f"__{left[0]}__"), lambda v: bound(left[1:], {**given, left[0]: v}))
 
     return wide.select(*[F.col(f"`{c}`") for c in df.columns], bound(list(values), {}).alias(into))
 
@@ -176,11 +171,11 @@ class Merges:
                 )
             )
             return F.when(F.exists(at, lambda i: beside(i) < best), self._join(s)).otherwise(
-                _let(spread, lambda p: self._state(p, self._pair_ranks(p), F.lit(0)))
+                let(spread, lambda p: self._state(p, self._pair_ranks(p), F.lit(0)))
             )
 
         found = F.filter(F.transform(ranks, lambda r, i: F.when(r == best, i)), lambda i: i.isNotNull())
-        return _let(_let(found, pick), build)
+        return let(let(found, pick), build)
 
     def fold(self, piece: Column) -> Column:
         """Ids of one piece (bytes): ranked merges from single bytes on, a step to find each and a step to make it."""
@@ -189,7 +184,7 @@ class Merges:
         def run(join):
             return F.aggregate(
                 F.sequence(F.lit(2), 2 * F.octet_length(piece) - 1),
-                _let(start, lambda p: self._state(p, self._pair_ranks(p), F.lit(0))),
+                let(start, lambda p: self._state(p, self._pair_ranks(p), F.lit(0))),
                 lambda s, _: F.when(s["at"] > 0, join(s)).otherwise(self._find(s)),
                 lambda s: F.transform(s["parts"], self.rank),
             )
@@ -251,19 +246,19 @@ def encode(
     def ids_of(words, done, merges):
         def fill(found, rare):
             own = F.map_from_arrays(rare, F.transform(rare, lambda w: merges.fold(w.cast("binary"))))
-            return _let(own, lambda m: F.flatten(F.transform(found, lambda f, i: F.coalesce(f, m[words[i]]))))
+            return let(own, lambda m: F.flatten(F.transform(found, lambda f, i: F.coalesce(f, m[words[i]]))))
 
         def split(found):
             rare = F.array_distinct(F.filter(words, lambda w, i: found[i].isNull()))
-            return _let(rare, lambda r: F.when(F.size(r) == 0, F.flatten(found)).otherwise(fill(found, r)))
+            return let(rare, lambda r: F.when(F.size(r) == 0, F.flatten(found)).otherwise(fill(found, r)))
 
-        return _let(F.transform(words, lambda w: F.try_element_at(done[_bucket(w)], w)), split)
+        return let(F.transform(words, lambda w: F.try_element_at(done[_bucket(w)], w)), split)
 
     words = split_text(F.col(text), pattern)
 
     def body(ranks, done, **rest):
-        ids = _let(words, lambda w: ids_of(w, done, Merges(ranks)))
-        return _let(ids, lambda i: digest(i, **rest)) if digest else ids
+        ids = let(words, lambda w: ids_of(w, done, Merges(ranks)))
+        return let(ids, lambda i: digest(i, **rest)) if digest else ids
 
     return project(docs, into, body, ranks=vocabulary.ranks, done=known, **values)
 

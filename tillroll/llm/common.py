@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -27,6 +27,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def crc_of_id(col: str = "doc_id") -> F.Column:
+def crc_of_id(col: str = "doc_id") -> Column:
     """crc32 of the id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, inside one expression."""
+    return F.transform(F.array(value), body)[0]
