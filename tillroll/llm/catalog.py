@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from . import quality_rules
+from .best_fit import op10_best_fit
 from .byte_bpe import op1_byte_bpe
+from .language_id import op6_language_id
+from .quality_rules import op3_quality_rules
+from .sim_hash import op7_sim_hash
+from .subword_lm import op5_subword_lm
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_subword_lm": op5_subword_lm,
+    "op6_language_id": op6_language_id,
+    "op7_sim_hash": op7_sim_hash,
+    "op10_best_fit": op10_best_fit,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": quality_rules.ORACLE,
+}
