@@ -34,7 +34,7 @@ LONG_PIECE = 512
 #: Bytes of a piece whose places fit a long.
 MASK_BYTES = 62
 #: Pieces encoded ahead, and the share of documents (one in so many) that picks them.
-HEAD = 200_000
+HEAD = 150_000
 HEAD_ONE_IN = 16
 BUCKETS = 1 << 16
 
@@ -65,11 +65,7 @@ class Vocabulary:
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         self.ordered, self.longest = merges_in_order(ranks), max(map(len, ranks), default=1)
-        pairs = spark.createDataFrame([(bytearray(k), v) for k, v in ranks.items()], "k binary, v int")
-        cells: list[dict] = [{} for _ in range(BUCKETS)]
-        for b, k, v in pairs.select(_bucket(F.col("k")), "k", "v").collect():
-            cells[b][bytes(k)] = v
-        self.ranks = _one_row(spark, cells, "m array<map<binary,int>>")
+        self.ranks = _in_buckets(spark.createDataFrame([(bytearray(k), v) for k, v in ranks.items()], "k binary, v int"), "k", "v")
         pieces = [""] * (max(ranks.values(), default=-1) + 1)
         for k, v in ranks.items():
             pieces[v] = k.hex()
@@ -256,21 +252,30 @@ def split_text(text: Column, pattern: str = public_tokenizers.PATTERN) -> Column
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
 
-def common_pieces(docs: DataFrame, text: str, head: int, one_in: int) -> list[str]:
-    """The pieces that most of a fixed share of the documents have, ``head`` at most."""
+def common_pieces(docs: DataFrame, text: str, head: int, one_in: int) -> DataFrame:
+    """(w): the pieces that most documents of a fixed share have, ``head`` at most."""
     words = F.array_distinct(split_text(F.col(text)))
-    return [
-        r.piece
-        for r in docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(one_in)) == 0)
-        .select(F.explode(words).alias("piece"))
-        .where((F.octet_length("piece") > 1) & (F.octet_length("piece") <= 64))
-        .groupBy("piece")
+    return (
+        docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(one_in)) == 0)
+        .select(F.explode(words).alias("w"))
+        .where((F.octet_length("w") > 1) & (F.octet_length("w") <= 64))
+        .groupBy("w")
         .count()
         .where("count > 1")
-        .orderBy(F.desc("count"), "piece")
+        .orderBy(F.desc("count"), "w")
         .limit(head)
-        .collect()
-    ]
+        .select("w")
+    )
+
+
+def _in_buckets(pairs: DataFrame, key: str, value: str) -> DataFrame:
+    """One row: an array over the buckets of maps from ``key`` to ``value``."""
+    kind = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
+    none = F.map_from_arrays(F.array().cast(f"array<{kind[key]}>"), F.array().cast(f"array<{kind[value]}>"))
+    cells = pairs.groupBy(_bucket(F.col(key)).alias("b")).agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m"))
+    every = pairs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(cells, "b", "left")
+    placed = F.collect_list(F.struct("b", F.coalesce("m", none).alias("m")))
+    return every.agg(F.transform(F.array_sort(placed, lambda x, y: x["b"] - y["b"]), lambda x: x["m"]).alias("m"))
 
 
 def encode(
@@ -289,13 +294,9 @@ def encode(
     ``digest`` (given the ids and the one value of each frame in ``values``) makes
     something else of the ids before they reach a row.
     """
-    spark = docs.sparkSession
-    ahead = spark.createDataFrame([(p,) for p in common_pieces(docs, text, head, one_in)], "w string").repartition(8)
-    cells: list[dict] = [{} for _ in range(BUCKETS)]
-    folded = project(ahead, "ids", lambda ranks: Merges(ranks, vocabulary).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
-    for b, w, ids in folded.select(_bucket(F.col("w")), "w", "ids").collect():
-        cells[b][w] = list(ids)
-    known = _one_row(spark, cells, "m array<map<string,array<int>>>")
+    ahead = common_pieces(docs, text, head, one_in).repartition(16, "w")
+    folded = project(ahead, "v", lambda ranks: Merges(ranks, vocabulary).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
+    known = _in_buckets(folded, "w", "v")
 
     def ids_of(words, done, merges):
         def fill(found, rare):

@@ -14,8 +14,9 @@ no block is dealt by a value that rows share.
 
 Null vectors and those with a null or non-finite component take no part.
 Vectors of another length than the query's are not its candidates.  Rows with
-the query's own id are not candidates; other repeated rows are, each for itself,
-and a repeated query row of equal content is one query.  Ties go to the smaller
+the query's own id are not candidates; other repeated rows are, each for itself
+(of equal vectors the k + 1 smallest ids are enough), and a repeated query row
+of equal content is one query.  Ties go to the smaller
 id.  Other columns are not looked at; an empty table gives no rows.  Scores must
 fit 64 bits.
 """
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
@@ -55,81 +56,129 @@ def _width(lo: np.ndarray, hi: np.ndarray, cells: int) -> np.ndarray:
     return np.maximum(1.0, np.ceil((hi - lo + 1) / cells))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+def approximate(v: pd.Series, ends: dict, cells: int) -> pd.Series:
+    """Cell numbers of each vector, a byte a dimension."""
+    out = np.empty(len(v), object)
+    lengths = v.map(len).to_numpy()
+    for n in np.unique(lengths):
+        at = np.nonzero(lengths == n)[0]
+        lo, hi = ends.get(int(n), (np.zeros(0), np.zeros(0)))
+        x = np.array([v.iloc[i] for i in at], np.float64).reshape(len(at), n)
+        number = np.clip(np.floor((x - lo) / _width(lo, hi, cells)), 0, cells - 1).astype(np.uint8)
+        for i, row in zip(at, number):
+            out[i] = row.tobytes()
+    return pd.Series(out)
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = K, cells: int = CELLS) -> DataFrame:
     """query_id, rank, vec_id and score over (vec_id, v) ``rows``; ``is_query`` over the same columns."""
     spark = rows.sparkSession
-    rows = stored(rows, "vectors")
-    ends = spark.sparkContext.broadcast(grid(rows))
-
-    def approximate(v: pd.Series) -> pd.Series:
-        out = []
-        for x in v:
-            lo, hi = ends.value[len(x)] if len(x) else (np.zeros(0), np.zeros(0))
-            out.append(np.floor((np.asarray(x, np.float64) - lo) / _width(lo, hi, cells)).astype(np.uint8).tobytes())
-        return pd.Series(out)
-
-    cell = F.pandas_udf(approximate, "binary")
-    queries = rows.where(is_query).distinct().withColumnRenamed("vec_id", "query_id").withColumnRenamed("v", "q")
-    n, m = rows.count(), queries.count()
+    # of equal vectors only the k + 1 smallest ids can be in any result
+    same = Window.partitionBy("v").orderBy("vec_id")
+    few = rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("vec_id", "v")
+    few = stored(few.withColumn("rid", F.monotonically_increasing_id()), "vectors")
+    queries = rows.where(is_query).distinct().select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    queries = stored(queries.withColumn("qid", F.monotonically_increasing_id()), "queries")
+    ends = spark.sparkContext.broadcast(grid(few))
+    n, m = few.count(), queries.count()
     qblocks, cblocks = max(1, -(-m // QUERY_BLOCK)), max(1, -(-n // CANDIDATE_BLOCK))
-    # dealt by a running number, not by a value: repeated rows spread like others
-    approx = rows.select("vec_id", F.size("v").alias("n"), cell("v").alias("cell"))
-    approx = approx.withColumn("cb", F.pmod(F.monotonically_increasing_id(), F.lit(cblocks)))
-    left = approx.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1)))).select(
-        "qb", "cb", "vec_id", "n", "cell", F.lit(None).cast("array<bigint>").alias("q")
-    )
-    right = (
-        queries.withColumn("qb", F.pmod(F.xxhash64("query_id", "q"), F.lit(qblocks)).cast("int"))
-        .withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cblocks - 1).cast("long"))))
-        .select("qb", "cb", F.col("query_id").alias("vec_id"), F.size("q").alias("n"), F.lit(None).cast("binary").alias("cell"), "q")
-    )
+
+    cell = F.pandas_udf(lambda v: approximate(v, ends.value, cells), "binary")
+    number = lambda c, blocks: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    left = few.select(
+        F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))).alias("qb"), number("rid", cblocks).alias("cb"), F.col("rid").alias("at"), "vec_id",
+        F.size("v").alias("n"), cell("v").alias("cell"), F.lit(None).cast("array<bigint>").alias("q"),
+    )
+    right = queries.select(
+        number("qid", qblocks).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(cblocks - 1))).alias("cb"), F.col("qid").alias("at"),
+        F.col("query_id").alias("vec_id"), F.size("q").alias("n"), F.lit(None).cast("binary").alias("cell"), "q",
+    )
+    schema = "qid long, query_id long, rid long, vec_id long, bound double, least double, top boolean"
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Of a block pair: each query's candidates that the cells can't rule out, with their upper bounds."""
-        out = []
+        """Of a block pair: each query's candidates that the cells can't rule out, with bounds of their scores."""
+        out = [pd.DataFrame({c: [] for c in ("qid", "query_id", "rid", "vec_id", "bound", "least", "top")})]
         asks = pdf["q"].notna()
         for length, q in pdf[asks].groupby("n"):
             c = pdf[~asks & (pdf["n"] == length)]
             if not len(c):
                 continue
-            lo, hi = ends.value[length] if length else (np.zeros(0), np.zeros(0))
+            lo, hi = ends.value.get(length, (np.zeros(0), np.zeros(0)))
             width = _width(lo, hi, cells)
-            number = np.frombuffer(b"".join(c["cell"]), np.uint8).reshape(len(c), length)
-            low = lo + number * width
-            ids = c["vec_id"].to_numpy()
+            low = lo + np.frombuffer(b"".join(c["cell"]), np.uint8).reshape(len(c), length) * width
+            ids, rids = c["vec_id"].to_numpy(), c["at"].to_numpy()
             for a in range(0, len(q), 128):
                 part = q.iloc[a : a + 128]
                 x = np.array(part["q"].tolist(), np.float64).reshape(len(part), length)
-                floor_ = x @ low.T
-                least = floor_ + (np.minimum(x, 0) @ (width - 1))[:, None]
-                most = floor_ + (np.maximum(x, 0) @ (width - 1))[:, None]
-                slack = 1e-9 * (np.abs(x) @ np.abs(low).T + 1)  # sums of doubles over large integers round
+                corner = x @ low.T
+                slack = 1e-9 * (np.abs(x) @ np.abs(low).T) + 1e-6  # sums of doubles round
+                least = corner + (np.minimum(x, 0) @ (width - 1))[:, None] - slack
+                most = corner + (np.maximum(x, 0) @ (width - 1))[:, None] + slack
                 own = part["vec_id"].to_numpy()[:, None] == ids[None, :]
                 least[own], most[own] = -np.inf, -np.inf
-                at = min(k, len(ids)) - 1
-                kth = -np.partition(-least, at, axis=1)[:, at]
-                i, j = np.nonzero((most + slack >= kth[:, None] - slack) & ~own)
+                place = min(k, len(ids)) - 1
+                kth = -np.partition(-least, place, axis=1)[:, place]
+                i, j = np.nonzero((most >= kth[:, None]) & ~own)
                 out.append(
                     pd.DataFrame(
                         {
+                            "qid": part["at"].to_numpy()[i],
                             "query_id": part["vec_id"].to_numpy()[i],
-                            "q": part["q"].to_numpy()[i],
+                            "rid": rids[j],
                             "vec_id": ids[j],
-                            "bound": (most + slack)[i, j],
-                            "least": (least - slack)[i, j],
+                            "bound": most[i, j],
+                            "least": least[i, j],
+                            "top": least[i, j] >= kth[i],
                         }
                     )
                 )
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("query_id", "q", "vec_id", "bound", "least")})
-
-    scanned = left.unionByName(right).groupBy("qb", "cb").applyInPandas(
-        scan, "query_id long, q array<bigint>, vec_id long, bound double, least double"
-    )
-    return scanned
-
-
+        return pd.concat(out)
+
+    scanned = stored(left.unionByName(right).groupBy("qb", "cb").applyInPandas(scan, schema), "bounds")
+    # the kth largest lower bound of each query over all blocks; each block gives its k largest
+    ranked = Window.partitionBy("qid").orderBy(F.desc("least"), "rid")
+    sure = scanned.where("top").withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k)
+    sure = sure.groupBy("qid").agg(F.min("least").alias("kth"), F.count("*").alias("found"))
+    open_ = scanned.join(sure, "qid").where((F.col("found") < k) | (F.col("bound") >= F.col("kth")))
+    exact = open_.select("qid", "query_id", "rid", "vec_id", "bound").join(few.select("rid", "v"), "rid")
+    asked = exact.join(queries.select("qid", "q"), "qid")
+
+    def read(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of a query: exact scores in the order of the bounds, until the kth is at least all bounds left."""
+        pdf = pdf.sort_values(["bound", "vec_id"], ascending=[False, True])
+        q = np.array(pdf["q"].iloc[0], np.int64)
+        ids, bounds = pdf["vec_id"].to_numpy(), pdf["bound"].to_numpy()
+        scores = np.empty(0, np.int64)
+        for a in range(0, len(pdf), 64):
+            v = np.array(pdf["v"].iloc[a : a + 64].tolist(), np.int64).reshape(-1, len(q))
+            scores = np.append(scores, v @ q)
+            if len(scores) >= k and a + 64 < len(pdf) and np.partition(scores, -k)[-k] > bounds[a + 64]:
+                break
+        best = np.lexsort((ids[: len(scores)], -scores))[:k]
+        return pd.DataFrame(
+            {"query_id": pdf["query_id"].iloc[0], "rank": np.arange(1, len(best) + 1, dtype=np.int32), "vec_id": ids[best], "score": scores[best]}
+        )
+
+    return asked.groupBy("qid").applyInPandas(read, "query_id long, rank int, vec_id long, score long")
+
+
+def op9_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id and score: the 5 best of all rows for each row whose vec_id is divisible by 50."""
+    rows = quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return top_k(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLE = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 5
+"""
