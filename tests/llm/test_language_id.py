@@ -1,0 +1,74 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from tillroll.llm import language_id as L
+
+from .helpers import documents, folder, rng
+
+SYLLABLES = {"en": "the ing ed wh th on er".split(), "fr": "é eau oi que ment ç ou".split(), "de": "sch ung ü ein ch pf ß".split()}
+
+
+def text(r, lang, words):
+    return " ".join("".join(r.choice(SYLLABLES[lang]) for _ in range(r.randrange(1, 4))) for _ in range(words))
+
+
+def rows(n=240):
+    r = rng(4)
+    out = []
+    for i in range(n):
+        lang = r.choice(list(SYLLABLES))
+        out.append((i, text(r, lang, r.randrange(4, 120)), lang, "s", 0))
+    return out
+
+
+ODD = [
+    (1000, None, "en", "s", 0),
+    (1001, "", "en", "s", 0),
+    (1002, "123 %% !?", "de", "s", 0),
+    (None, "the thing wher", None, None, None),
+    (1003, "x" * 50_000, None, "s", 0),
+]
+
+
+def test_held_out_accuracy_and_odd_rows(spark, tmp_root):
+    docs = rows()
+    long = text(rng(9), "fr", 60_000)
+    every = docs + ODD + [(1004, long, "fr", "s", 0), docs[3]]
+    got = L.op6_language_id(spark, folder(spark, tmp_root, every)).collect()
+    assert len(got) == len(every)
+    truth = {r[0]: r[2] for r in docs}
+    held = [r for r in got if r.doc_id in truth and r.held_out]
+    assert len(held) > 40 and np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.97
+    by_id = {r.doc_id: r for r in got}
+    assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 and by_id[i].rejected for i in (1000, 1001, 1002))
+    assert by_id[1004].lang_pred == "fr"
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_and_id_are_no_inputs(spark):
+    docs = documents(spark, rows(90), clash=True)
+    model = L.train(docs)
+    a = L.predict(docs, model, ["doc_id"]).collect()
+    other = docs.withColumn("lang", F.lit("fr")).withColumn("source", F.lit("q"))
+    assert a == L.predict(other, model, ["doc_id"]).collect()
+
+
+def test_batches_do_not_matter():
+    model = L.fit([(r[1], r[2]) for r in rows(90)])
+    texts = [r[1] for r in rows(50)] + [None, "", "é"]
+    whole = L.classify(model, texts)
+    parts = L.classify(model, texts, batch_bytes=1)
+    assert whole[0] == parts[0] and np.allclose(whole[1], parts[1])
+
+
+def test_training_is_repeatable(spark):
+    docs = documents(spark, rows(120))
+    a, b = L.train(docs.repartition(1)), L.train(docs.repartition(5))
+    assert (a.table == b.table).all() and a.threshold == b.threshold
+
+
+def test_no_labels_and_empty_table(spark, tmp_root):
+    unlabelled = documents(spark, [(i, "some text", None, None, None) for i in range(3)])
+    model = L.train(unlabelled)
+    assert {r.lang_pred for r in L.predict(unlabelled, model, ["doc_id"]).collect()} == {"und"}
+    assert L.op6_language_id(spark, folder(spark, tmp_root, [])).count() == 0
