@@ -1,8 +1,10 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from tillroll.llm import best_fit, quality_rules, sim_hash, suffix_array
-from tillroll.llm.common import stored, table
+from tillroll.llm.common import let, stored, table
 
 from .helpers import folder, odd_rows, rng
 from .test_best_fit import check
@@ -36,7 +38,8 @@ def test_stages_in_turn(spark, tmp_root):
     assert all(r.text and any(map(str.isalpha, r.text)) for r in kept)
     assert {r.doc_id for r in kept} >= set(range(150))
     taken, kept = seen["quality_rules"]
-    verdicts = {r.doc_id: r.kept for r in spark.createDataFrame(taken).select("doc_id", quality_rules.let(quality_rules.measures("text") if False else quality_rules.measures(quality_rules.F.col("text")), lambda m: quality_rules.verdict(m)[1]).alias("kept")).collect()}
+    judged = let(quality_rules.measures(F.col("text")), lambda m: quality_rules.verdict(m)[1])
+    verdicts = {r.doc_id: r.kept for r in spark.createDataFrame(taken).select("doc_id", judged.alias("kept")).collect()}
     assert {r.doc_id for r in kept} == {i for i, k in verdicts.items() if k}
     taken, kept = seen["sim_hash"]
     groups = slow_components([(r.doc_id, slow_fingerprint(r.text)) for r in taken])

@@ -371,9 +371,12 @@ def _cut(data: bytes, found) -> tuple[bytes, int, int]:
 
 
 def _with_spans(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    found = spans(docs, text, doc_id).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("a", "z")).alias("__spans"))
-    found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__spans")
-    return docs.join(found, (docs[doc_id] == F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__key")), "left").drop("__id", "__key")
+    """``docs`` with its columns renamed c0, c1 and so on, and the spans of each row's text."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    t, d = (f"c{docs.columns.index(c)}" for c in (text, doc_id))
+    found = spans(plain, t, d).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
+    same = (F.col(d) == F.col("doc_id")) & (F.xxhash64(t) == F.col("text_key"))
+    return plain.join(found, same, "left").drop("doc_id", "text_key")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -381,22 +384,22 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     A column n_chars, if there, is set anew for the texts that were cut.  Null texts stay null.
     """
-    fields = docs.schema.fields
+    schema = docs.schema
     at = docs.columns.index(text)
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = [b.column(i) for i in range(len(fields))]
-            texts, found = cols[at].to_pylist(), b.column(len(fields)).to_pylist()
+            *cols, found = b.columns
+            texts, found = cols[at].to_pylist(), found.to_pylist()
             new = [t if t is None or not s else _cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, found)]
             cols[at] = pa.array(new, pa.string())
             if count is not None:
                 old = cols[count].to_pylist()
                 cols[count] = pa.array([len(t) if s else n for t, s, n in zip(new, found, old)], cols[count].type)
-            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return _with_spans(docs, text, doc_id).mapInArrow(run, T.StructType(fields))
+    return _with_spans(docs, text, doc_id).mapInArrow(run, schema)
 
 
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
