@@ -20,10 +20,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tillroll import schemas  # noqa: E402
 from tillroll.catalog import DELIVERY_A, DELIVERY_B, TS_A, TS_B, TS_C  # noqa: E402
+from tillroll.functions.keys import WIDE_BITS  # noqa: E402
 from tillroll.operators import quality as Q  # noqa: E402
-from tillroll.operators.dimensions import PRODUCT_GATE, PRODUCT_TABLE, merge_dim, new_members, product_candidates  # noqa: E402
+from tillroll.operators.dimensions import PRODUCT_GATE, PRODUCT_TABLE, gate_scope, new_members, product_candidates, settle_ids  # noqa: E402
 from tillroll.operators.fact import conform_extract, enrich_extract  # noqa: E402
 from tillroll.operators.views import view_sales  # noqa: E402
 from tillroll.plans.date_dimension import build_date_dimension, write_date_dimension  # noqa: E402
@@ -65,13 +65,15 @@ def main() -> None:
     timed("publish_lookups", lambda: setup_lake("bench-lookups"))
 
     def load_product():
-        wh = Warehouse(scratch_dir(spark, "bench-product"))
-        enriched = enrich_extract(conform_extract(RM.full_extract(spark, sf_dir)), RM.mapper_for(spark, sf_dir))
-        old = spark.createDataFrame([], schemas.PRODUCT)
-        fresh = new_members(product_candidates(enriched), old, "ProductName", "ProductId", TS_A).persist()
-        Q.enforce(merge_dim(old, fresh), PRODUCT_TABLE, PRODUCT_GATE)
+        """The product part of a load: members found and settled, staged, gated, appended."""
+        wh = setup_lake("bench-product")
+        enriched = enrich_extract(conform_extract(RM.full_extract(spark, sf_dir)), wh.read_sku_mapper(spark))
+        old = wh.read_product(spark)
+        stage = wh.stage("bench")
+        write_table(new_members(product_candidates(enriched), old, "ProductName", "ProductId", TS_A), f"{stage}/found", "overwrite")
+        fresh, _ = settle_ids(spark.read.parquet(f"{stage}/found"), old, "ProductName", "ProductId", WIDE_BITS)
+        Q.enforce(gate_scope(fresh, old, "ProductId"), PRODUCT_TABLE, PRODUCT_GATE)
         write_table(fresh, wh.product, "append")
-        fresh.unpersist()
 
     timed("load_product", load_product)
 

@@ -3,8 +3,9 @@ import decimal
 
 from pyspark.sql import functions as F
 
-from fixtures import SCAN_PARTS, write_csv
-from tillroll.sources.extract import export_extract, read_deliveries, read_extract, read_extract_lines
+from fixtures import SCAN_PARTS, SUNDAY1, SUNDAY2, WEEK1, write_csv
+from tillroll.functions.money import line_amount
+from tillroll.sources.extract import delivery_folders, export_extract, read_deliveries, read_export_order, read_extract, read_extract_lines
 
 
 def test_scan_reads_every_part_file(spark, tmp_root):
@@ -14,46 +15,58 @@ def test_scan_reads_every_part_file(spark, tmp_root):
     df = read_extract(spark, folder)
     assert df.count() == 12
     types = {f.name: f.dataType.typeName() for f in df.schema}
-    assert types == {"SKU": "integer", "Retailer": "string", "Week Ending": "date", "Units": "integer", "Sales": "decimal"}
-    assert [r[0] for r in df.select("Week Ending").distinct().collect()] == [dt.date(2022, 1, 2)]
+    assert types == {"SKU": "long", "Retailer": "string", "Week Ending": "date", "Units": "integer", "Sales": "decimal"}
+    assert [r[0] for r in df.select("Week Ending").distinct().collect()] == [SUNDAY1]
 
 
 def test_header_is_skipped_not_matched(spark, tmp_root):
     folder = f"{tmp_root}/odd_header"
-    with open(write_csv(folder, []) + "/retail.csv", "w") as fh:
-        fh.write("X,Y,Z,U,V\n1002,Marks,2/1/2022,600.7,979.02")
+    with open(write_csv(folder, []) + "/figures.csv", "w") as fh:
+        fh.write("X,Y,Z,U,V\n52,Halden,5/3/2023,40.7,61.25")
     row = read_extract(spark, folder).first()
-    assert (row["SKU"], row["Retailer"], row["Week Ending"], row["Units"]) == (1002, "Marks", dt.date(2022, 1, 2), 600)
-    assert row["Sales"] == decimal.Decimal("979.02")
+    assert (row["SKU"], row["Retailer"], row["Week Ending"], row["Units"]) == (52, "Halden", SUNDAY1, 40)
+    assert row["Sales"] == decimal.Decimal("61.25")
 
 
 def test_permissive_rows_become_null(spark, tmp_root):
     folder = write_csv(
         f"{tmp_root}/bad",
-        ["abc,Marks,31/02/2022,-3.9,1.005", "2001,Tesco,2022-01-02,1e12,200000.01", "3001,Aldi"],
+        ["abc,Halden,31/02/2023,-3.9,1.005", "710,Northgate,2023-03-05,1e12,200000.01", "9,Ostrava"],
     )
     rows = {r["Retailer"]: r for r in read_extract(spark, folder).collect()}
     assert len(rows) == 3
-    assert rows["Marks"]["SKU"] is None and rows["Marks"]["Week Ending"] is None
-    assert rows["Marks"]["Units"] == -3  # truncated toward zero
-    assert rows["Tesco"]["Week Ending"] is None  # ISO date does not match d/M/y
-    assert rows["Tesco"]["Units"] is None  # overflow -> null, never an error
-    assert rows["Tesco"]["Sales"] == decimal.Decimal("200000.01")  # no float rounding
-    assert rows["Aldi"]["Units"] is None and rows["Aldi"]["Sales"] is None
+    assert rows["Halden"]["SKU"] is None and rows["Halden"]["Week Ending"] is None
+    assert rows["Halden"]["Units"] == -3  # truncated toward zero
+    assert rows["Northgate"]["Week Ending"] is None  # ISO date does not match d/M/y
+    assert rows["Northgate"]["Units"] is None  # overflow -> null, never an error
+    assert rows["Northgate"]["Sales"] == decimal.Decimal("200000.01")  # no float rounding
+    assert rows["Ostrava"]["Units"] is None and rows["Ostrava"]["Sales"] is None
 
 
 def test_export_round_trip(spark, tmp_root):
     src = spark.createDataFrame(
-        [(1002, "Marks", dt.date(2022, 1, 2), 600, decimal.Decimal("979.02")),
-         (2001, "Tesco", dt.date(2022, 1, 9), 700, decimal.Decimal("1979.20"))],
-        "SKU int, Retailer string, `Week Ending` date, Units int, Sales decimal(13,2)",
+        [(r * 10 + k, f"Retailer {r}", day, 5 * k + 1, decimal.Decimal(f"{k}.2{r}")) for r in range(3) for k in range(20, 0, -1) for day in (SUNDAY1, SUNDAY2)],
+        "SKU long, Retailer string, `Week Ending` date, Units int, Sales decimal(13,2)",
     )
     root = f"{tmp_root}/export"
     export_extract(src, root)
     back = read_extract(spark, root)
     assert sorted(back.collect()) == sorted(src.collect())
-    lines = {r["folder"]: r["line"] for r in read_extract_lines(spark, root).collect()}
-    assert lines == {"week=2022-01-02": "1002,Marks,02/01/2022,600,979.02", "week=2022-01-09": "2001,Tesco,09/01/2022,700,1979.20"}
-    deliveries = read_deliveries(spark, root)
-    assert {(r["week"], r["Week Ending"]) for r in deliveries.collect()} == {
-        (dt.date(2022, 1, 2), dt.date(2022, 1, 2)), (dt.date(2022, 1, 9), dt.date(2022, 1, 9))}
+    lines = {(r["folder"], r["line"]) for r in read_extract_lines(spark, root).collect()}
+    assert ("week=2023-03-05", "1,Retailer 0,05/03/2023,6,1.20") in lines and len(lines) == 120
+    assert {(r["week"], r["Week Ending"]) for r in read_deliveries(spark, root).collect()} == {(d, d) for d in (SUNDAY1, SUNDAY2)}
+    order = read_export_order(spark, root).collect()
+    assert len(order) == 120 and all(r["place"] == r["expected"] for r in order)
+
+
+def test_folders_come_from_the_listing(spark, tmp_root):
+    write_csv(f"{tmp_root}/in/week=2023-03-05", WEEK1)
+    write_csv(f"{tmp_root}/in/week=2023-03-12", [])
+    found = sorted(r.FilePath.rsplit("/", 1)[-1] for r in delivery_folders(spark, f"{tmp_root}/in").collect())
+    assert found == ["week=2023-03-05", "week=2023-03-12"]
+
+
+def test_line_amount_multiplies_the_price_as_it_is(spark):
+    rows = spark.createDataFrame([(0.333333, 3000), (1.005, 1), (1e14, 9), (None, 1)], "p double, n int")
+    got = [r.a for r in rows.select(line_amount("p", "n").alias("a")).collect()]
+    assert got == [decimal.Decimal("1000.00"), decimal.Decimal("1.01"), None, None]

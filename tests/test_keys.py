@@ -1,20 +1,19 @@
 import duckdb
+import pytest
+from fixtures import LEMON, MAPPER_ROWS, OAT
 from pyspark.sql import functions as F
 
-from tillroll.functions.keys import member_key, surrogate_key
-from tillroll.oracle_hash import spark_hash_sql, surrogate_key_sql
+from tillroll.functions.keys import KEY_SUFFIX, key_of, member_key, surrogate_key, wide_key
+from tillroll.operators.dimensions import settle_ids
+from tillroll.oracle_hash import spark_hash_sql, surrogate_key_sql, wide_key_sql
 
 
-def test_ids_match_contract_values(spark):
-    names = ["Coca Cola 2l", "Coca Cola 330ml Pack 8", "Marks", "Tesco", "Aldi", None]
-    df = spark.createDataFrame([(n,) for n in names], "n string")
-    got = {r["n"]: (r["k"], r["m"]) for r in df.select("n", surrogate_key("n").alias("k"), member_key("n").alias("m")).collect()}
-    assert got["Coca Cola 2l"][0] == 3220803316
-    assert got["Coca Cola 330ml Pack 8"][0] == 762857870
-    assert got["Marks"][0] == 811219712
-    assert got["Tesco"][0] == 3880926578
-    assert got["Aldi"][0] == 2646731466
-    assert got[None] == (2147483689, None)
+def test_ids_are_hashes_of_names(spark):
+    df = spark.createDataFrame([(n,) for n in (LEMON, OAT, "Halden", None)], "n string")
+    got = df.select("n", surrogate_key("n").alias("k"), F.hash(F.concat("n", F.lit(KEY_SUFFIX))).alias("h"), member_key("n").alias("m")).collect()
+    for r in got:
+        assert r.k == r.h + 2147483647 and r.k >= 0
+        assert (r.m is None) == (r.n is None)
 
 
 def test_duckdb_hash_equals_spark(spark):
@@ -28,6 +27,35 @@ def test_duckdb_hash_equals_spark(spark):
     assert sp == dd
 
 
-def test_wide_keys_are_64_bit(spark):
-    df = spark.createDataFrame([("Coca Cola 2l",)], "n string").select(surrogate_key("n", wide=True).alias("k"))
-    assert df.schema["k"].dataType.typeName() == "long"
+@pytest.mark.parametrize("bits", [63, 32, 8])
+def test_wide_keys_have_their_bits(spark, bits):
+    keys = [r.k for r in spark.range(2000).select(key_of(F.concat(F.lit("n"), "id"), bits).alias("k")).collect()]
+    assert min(keys) >= 0 and max(keys) < 2**bits
+    assert len(set(keys)) == {63: 2000, 32: 2000, 8: 256}[bits]
+
+
+def test_duckdb_wide_key_equals_spark(spark):
+    names = ["", "a", "Ostrava Foods", "héllo", "日本語" * 9]
+    sp = {r.n: r.k for r in spark.createDataFrame([(n,) for n in names], "n string").select("n", wide_key("n").alias("k")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(n VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?)", [(n,) for n in names])
+    assert sp == dict(con.execute(f"SELECT n, {wide_key_sql('n')} FROM t").fetchall())
+
+
+def test_many_names_have_ids_of_their_own(spark):
+    """Ten times the names at which 32-bit ids are likely to collide."""
+    names = spark.range(800_000).select(F.concat(F.lit("part #"), "id").alias("n"))
+    assert names.select(wide_key("n").alias("k")).distinct().count() == 800_000
+    assert names.select(surrogate_key("n").alias("k")).distinct().count() < 800_000
+
+
+def test_collisions_move_as_few_as_they_must(spark):
+    dim = spark.createDataFrame([(5, "old", None, None, None, None, None)], "ProductId long, ProductName string, ProductType string, a int, b int, c int, d int")
+    plain = {r.n: r.k for r in spark.range(200).select(F.concat(F.lit("m"), "id").alias("n")).select("n", key_of("n", 10).alias("k")).collect()}
+    fresh = spark.createDataFrame([(k, n, None, None, None, None, None) for n, k in plain.items()], dim.schema)
+    got, moved = settle_ids(fresh, dim, "ProductName", "ProductId", 10)
+    ids = {r.ProductName: r.ProductId for r in got.collect()}
+    assert len(set(ids.values())) == 200 and 5 not in ids.values()
+    assert {n for n in ids if ids[n] != plain[n]} <= {n for n, _ in moved}
+    assert len(moved) < 60

@@ -3,17 +3,19 @@ import decimal
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from fixtures import (
+    FIRST, LEMON, MAPPER_ROWS, NAMES, OAT, RYE, SECOND, SUNDAY1, SUNDAY2, SUNDAY3, TEA, WEEK1, WEEK2, line, warehouse_with_lookups, write_csv,
+)
 
-from fixtures import MAPPER_ROWS, WEEK1, WEEK2, warehouse_with_lookups, write_csv
 from tillroll.operators.diff import table_diff, tables_equal
 from tillroll.operators.quality import GateError
 from tillroll.operators.views import view_product, view_retailer, view_sales
 from tillroll.plans.weekly_load import backfill, run_weekly
-from tillroll.sources.tables import Warehouse
+from tillroll.sources.tables import Warehouse, write_table
 
-D = dt.date
 M = decimal.Decimal
+TS1, TS2, TS3 = "2023-03-06 06:00:00", "2023-03-13 06:00:00", "2023-03-20 06:00:00"
+AUDITED = ["DateId", "ProductId", "RetailerId", "DataSource", "SKU", "UnitsSold", "SalesAmount", "CreatedByBatchId", "UpdatedByBatchId"]
 
 
 def _sales(spark, wh):
@@ -21,117 +23,171 @@ def _sales(spark, wh):
     return sorted(tuple(r) for r in v.collect())
 
 
-def _setup(spark, tmp_root, mapper_rows=None):
-    wh = Warehouse(f"{tmp_root}/lake")
+def _expected(figures, day):
+    """The view's rows of one week, from the figures and the mapper."""
+    return [(day, NAMES[s, r][0], r, "MAT", s, u, M(v)) for s, r, u, v in figures]
+
+
+def _setup(spark, tmp_root, mapper_rows=None, name="lake"):
+    wh = Warehouse(f"{tmp_root}/{name}")
     warehouse_with_lookups(spark, wh, mapper_rows)
     raw = wh.raw_extracts
-    w1 = write_csv(f"{raw}/week=2022-01-02", WEEK1)
-    w2 = write_csv(f"{raw}/week=2022-01-09", WEEK2)
-    return wh, raw, w1, w2
+    return wh, raw, write_csv(f"{raw}/week=2023-03-05", WEEK1), write_csv(f"{raw}/week=2023-03-12", WEEK2)
 
 
-def test_two_week_golden_run(spark, tmp_root):
+def test_two_weeks(spark, tmp_root):
     wh, _, w1, w2 = _setup(spark, tmp_root)
-    run_weekly(spark, wh, w1, "2022-01-03 06:00:00")
-    assert [r["ProductName"] for r in view_product(wh.read_product(spark)).collect()] == ["Coca Cola 2l", "Coca Cola 330ml Pack 8"]
-    assert [r["RetailerName"] for r in view_retailer(wh.read_retailer(spark)).collect()] == ["Marks", "Tesco"]
-    assert _sales(spark, wh) == [
-        (D(2022, 1, 2), "Coca Cola 2l", "Tesco", "MAT", 2001, 700, M("1979.02")),
-        (D(2022, 1, 2), "Coca Cola 330ml Pack 8", "Marks", "MAT", 1002, 600, M("979.02")),
-    ]
-    run_weekly(spark, wh, w2, "2022-01-10 06:00:00")
-    products = {(r["ProductName"], r["ProductType"]) for r in view_product(wh.read_product(spark)).collect()}
-    assert products == {("Coca Cola 2l", "Beverage"), ("Coca Cola 330ml Pack 8", "Beverage"),
-                        ("Coca Cola 1.25l", "Beverage"), ("Warburtons Sliced Tiger Bread 600G", "Bakery")}
-    assert [r["RetailerName"] for r in view_retailer(wh.read_retailer(spark)).collect()] == ["Aldi", "Marks", "Tesco"]
-    assert _sales(spark, wh) == [
-        (D(2022, 1, 2), "Coca Cola 2l", "Tesco", "MAT", 2001, 700, M("1979.02")),
-        (D(2022, 1, 2), "Coca Cola 330ml Pack 8", "Marks", "MAT", 1002, 600, M("979.02")),
-        (D(2022, 1, 9), "Coca Cola 1.25l", "Aldi", "MAT", 3004, 100, M("279.02")),
-        (D(2022, 1, 9), "Coca Cola 2l", "Tesco", "MAT", 2001, 700, M("1979.02")),
-        (D(2022, 1, 9), "Coca Cola 330ml Pack 8", "Marks", "MAT", 1002, 600, M("979.02")),
-        (D(2022, 1, 9), "Warburtons Sliced Tiger Bread 600G", "Aldi", "MAT", 3005, 255, M("267.98")),
-    ]
-    ids = {r["ProductName"]: r["ProductId"] for r in view_product(wh.read_product(spark), with_ids=True).collect()}
-    assert ids["Coca Cola 2l"] == 3220803316 and ids["Coca Cola 330ml Pack 8"] == 762857870
-    log = sorted((r["BatchId"], os.path.basename(r["FilePath"])) for r in wh.read_batches(spark).collect())
-    assert log == [(1, "week=2022-01-02"), (2, "week=2022-01-09")]
-
-
-def test_replay_changes_nothing(spark, tmp_root):
+    run_weekly(spark, wh, w1, TS1)
+    assert [r.ProductName for r in view_product(wh.read_product(spark)).collect()] == [LEMON, OAT]
+    assert [r.RetailerName for r in view_retailer(wh.read_retailer(spark)).collect()] == ["Halden", "Northgate"]
+    assert _sales(spark, wh) == sorted(_expected(FIRST, SUNDAY1))
+    run_weekly(spark, wh, w2, TS2)
+    products = [tuple(r) for r in view_product(wh.read_product(spark)).collect()]
+    assert products == [(TEA, "Drinks"), (LEMON, "Drinks"), (OAT, "Snacks"), (RYE, "Bread")]
+    assert _sales(spark, wh) == sorted(_expected(FIRST, SUNDAY1) + _expected(SECOND, SUNDAY2))
+    log = sorted((r.BatchId, os.path.basename(r.FilePath)) for r in wh.read_batches(spark).collect())
+    assert log == [(1, "week=2023-03-05"), (2, "week=2023-03-12")]
+
+
+def test_replay_changes_and_writes_nothing(spark, tmp_root):
     wh, _, w1, w2 = _setup(spark, tmp_root)
-    run_weekly(spark, wh, w1, "2022-01-03 06:00:00")
-    run_weekly(spark, wh, w2, "2022-01-10 06:00:00")
+    run_weekly(spark, wh, w1, TS1)
+    run_weekly(spark, wh, w2, TS2)
     before = wh.read_sales(spark).collect()
-    run_weekly(spark, wh, w2, "2022-01-17 06:00:00")
+    files = sorted(f"{d}/{f}:{os.stat(f'{d}/{f}').st_mtime_ns}" for d, _, fs in os.walk(wh.sales) for f in fs if f.endswith(".parquet"))
+    result = run_weekly(spark, wh, w2, TS3)
+    assert result.touched_date_ids == [20230312] and result.written_date_ids == []
     after = wh.read_sales(spark)
     assert tables_equal(spark.createDataFrame(before, after.schema), after)
-    assert wh.read_batches(spark).count() == 2  # the folder is registered once
+    assert files == sorted(f"{d}/{f}:{os.stat(f'{d}/{f}').st_mtime_ns}" for d, _, fs in os.walk(wh.sales) for f in fs if f.endswith(".parquet"))
+    assert wh.read_batches(spark).count() == 2
 
 
 def test_changed_and_null_to_value_rows_update(spark, tmp_root):
     wh, raw, w1, _ = _setup(spark, tmp_root)
-    w1_null = write_csv(f"{raw}/v1", ["1002,Marks,02/01/2022,,979.02", "2001,Tesco,02/01/2022,700.0,1979.02"])
-    run_weekly(spark, wh, w1_null, "2022-01-03 06:00:00")
-    w1_fixed = write_csv(f"{raw}/v2", ["1002,Marks,02/01/2022,600.0,979.02", "2001,Tesco,02/01/2022,700.0,1979.02"])
-    run_weekly(spark, wh, w1_fixed, "2022-01-04 06:00:00")
-    rows = {r["SKU"]: r for r in wh.read_sales(spark).collect()}
-    assert rows[1002]["UnitsSold"] == 600  # null -> value is an update
-    assert rows[1002]["UpdatedTime"] == dt.datetime(2022, 1, 4, 6, 0)
-    assert rows[1002]["CreatedTime"] == dt.datetime(2022, 1, 3, 6, 0)
-    assert rows[2001]["UpdatedTime"] is None  # unchanged row kept as it was
-    assert rows[1002]["CreatedByBatchId"] == 1 and rows[1002]["UpdatedByBatchId"] == 2
+    run_weekly(spark, wh, write_csv(f"{raw}/v1", [line(52, "Halden", SUNDAY1, "", "61.20"), WEEK1[1]]), TS1)
+    run_weekly(spark, wh, write_csv(f"{raw}/v2", WEEK1), TS2)
+    rows = {r.SKU: r for r in wh.read_sales(spark).collect()}
+    assert rows[52].UnitsSold == 40  # null -> value is an update
+    assert rows[52].UpdatedTime == dt.datetime(2023, 3, 13, 6, 0) and rows[52].CreatedTime == dt.datetime(2023, 3, 6, 6, 0)
+    assert rows[710].UpdatedTime is None  # unchanged row kept as it was
+    assert rows[52].CreatedByBatchId == 1 and rows[52].UpdatedByBatchId == 2
 
 
 def test_unmapped_sku_aborts_and_writes_nothing(spark, tmp_root):
     wh, raw, w1, _ = _setup(spark, tmp_root)
-    bad = write_csv(f"{raw}/bad", ["9999,Marks,02/01/2022,1.0,1.00", *WEEK1])
-    with pytest.raises(GateError) as err:
-        run_weekly(spark, wh, bad, "2022-01-03 06:00:00")
-    assert str(err.value) == "ETL: Product Dimension Table - ProductName must NOT have null values"
+    bad = write_csv(f"{raw}/bad", [line(9999, "Halden", SUNDAY1, 1.0, 1), *WEEK1])
+    with pytest.raises(GateError, match="ETL: Product Dimension Table - ProductName must NOT have null values"):
+        run_weekly(spark, wh, bad, TS1)
     for read in (wh.read_product, wh.read_retailer, wh.read_sales, wh.read_batches):
         assert read(spark).count() == 0
+    run_weekly(spark, wh, w1, TS1)  # what was staged and refused is not published later
+    assert wh.read_batches(spark).count() == 1
 
 
 def test_mapper_duplicate_aborts(spark, tmp_root):
-    wh, _, w1, _ = _setup(spark, tmp_root, MAPPER_ROWS + [(1002, "Marks", "Other Name", "Beverage")])
-    with pytest.raises(GateError) as err:
-        run_weekly(spark, wh, w1, "2022-01-03 06:00:00")
-    assert "List(SKU, Retailer) must NOT have duplicates" in str(err.value)
+    wh, _, w1, _ = _setup(spark, tmp_root, MAPPER_ROWS + [(52, "Halden", "Other Name", "Snacks")])
+    with pytest.raises(GateError, match=r"List\(SKU, Retailer\) must NOT have duplicates"):
+        run_weekly(spark, wh, w1, TS1)
+
+
+def test_mapper_duplicate_of_other_pairs_does_not(spark, tmp_root):
+    wh, _, w1, _ = _setup(spark, tmp_root, MAPPER_ROWS + [(9, "Ostrava Foods", "Other Name", "Snacks")])
+    run_weekly(spark, wh, w1, TS1)
+    assert wh.read_sales(spark).count() == 2
 
 
 def test_duplicate_fact_key_aborts(spark, tmp_root):
     wh, raw, _, _ = _setup(spark, tmp_root)
-    dup = write_csv(f"{raw}/dup", ["1002,Marks,02/01/2022,600.0,979.02", "1002,Marks,02/01/2022,601.0,979.02"])
+    dup = write_csv(f"{raw}/dup", [WEEK1[0], line(52, "Halden", SUNDAY1, 41.0, "61.20")])
     with pytest.raises(GateError) as err:
-        run_weekly(spark, wh, dup, "2022-01-03 06:00:00")
+        run_weekly(spark, wh, dup, TS1)
     assert str(err.value) == "ETL: Sales Fact Table - List(DateId, ProductId, RetailerId) must NOT have duplicates"
     assert wh.read_sales(spark).count() == 0
 
 
 def test_date_outside_calendar_aborts(spark, tmp_root):
     wh, raw, _, _ = _setup(spark, tmp_root)
-    out = write_csv(f"{raw}/old", ["1002,Marks,02/01/22,600.0,979.02"])  # year 0022
-    with pytest.raises(GateError) as err:
-        run_weekly(spark, wh, out, "2022-01-03 06:00:00")
-    assert str(err.value) == "ETL: Sales Fact Table - DateId must NOT have null values"
+    with pytest.raises(GateError, match="ETL: Sales Fact Table - DateId must NOT have null values"):
+        run_weekly(spark, wh, write_csv(f"{raw}/old", ["52,Halden,05/03/23,40.0,61.20"]), TS1)  # year 0023
 
 
-def test_backfill_equals_week_by_week(spark, tmp_root):
+def test_backfill_equals_week_by_week_with_audit_ids(spark, tmp_root):
+    """A third delivery restates the first week, after the mapper has given a product another type."""
     wh, raw, w1, w2 = _setup(spark, tmp_root)
-    # a third delivery restating week 1 and changing a product's type (ignored: first delivery wins)
-    w3 = write_csv(f"{raw}/week=2022-01-16", ["1002,Marks,02/01/2022,650.0,1000.00", "2002,Tesco,16/01/2022,5.0,10.00"])
-    for path, ts in [(w1, "2022-01-03 06:00:00"), (w2, "2022-01-10 06:00:00"), (w3, "2022-01-17 06:00:00")]:
+    retyped = [(s, r, n, "Pantry" if n == OAT else k) for s, r, n, k in MAPPER_ROWS]
+    w3 = write_csv(f"{raw}/week=2023-03-19", [line(52, "Halden", SUNDAY1, 50.0, "70.00"), line(9, "Ostrava Foods", SUNDAY3, 5.0, 10)])
+    for path, ts in [(w1, TS1), (w2, TS2)]:
         run_weekly(spark, wh, path, ts)
+    warehouse_with_lookups(spark, wh, retyped)
+    run_weekly(spark, wh, w3, TS3)
+    assert {r.ProductName: r.ProductType for r in wh.read_product(spark).collect()}[OAT] == "Snacks"  # the first load's
+
     one_pass = Warehouse(f"{tmp_root}/lake2")
     warehouse_with_lookups(spark, one_pass)
-    backfill(spark, one_pass, raw, "2022-01-17 06:00:00")
+    backfill(spark, one_pass, raw, TS3)
     assert _sales(spark, one_pass) == _sales(spark, wh)
-    vals = ["DateId", "ProductId", "RetailerId", "DataSource", "SKU", "UnitsSold", "SalesAmount"]
-    assert table_diff(one_pass.read_sales(spark).select(*vals), wh.read_sales(spark).select(*vals)).count() == 0
-    assert {r["ProductName"] for r in one_pass.read_product(spark).collect()} == {
-        r["ProductName"] for r in wh.read_product(spark).collect()}
-    assert one_pass.read_batches(spark).count() == 3
+    assert table_diff(one_pass.read_sales(spark).select(*AUDITED), wh.read_sales(spark).select(*AUDITED)).count() == 0
+    restated = [r for r in one_pass.read_sales(spark).collect() if r.SKU == 52 and r.DateId == 20230305]
+    assert [(r.CreatedByBatchId, r.UpdatedByBatchId) for r in restated] == [(1, 3)]
+    batches = lambda w: sorted((r.ProductName, r.CreatedByBatchId) for r in w.read_product(spark).collect())
+    assert batches(one_pass) == batches(wh) and one_pass.read_batches(spark).count() == 3
+
+
+def test_second_source_is_tagged(spark, tmp_root):
+    wh, _, w1, _ = _setup(spark, tmp_root)
+    run_weekly(spark, wh, w1, TS1, data_source="OTHER")
+    assert {r.DataSource for r in wh.read_sales(spark).collect()} == {"OTHER"} == {r.DataSource for r in wh.read_batches(spark).collect()}
+
+
+def test_delivery_without_rows_is_registered(spark, tmp_root):
+    wh, raw, _, _ = _setup(spark, tmp_root)
+    empty = write_csv(f"{raw}/week=2023-03-26", [])
+    run_weekly(spark, wh, empty, TS1)
+    assert [os.path.basename(r.FilePath) for r in wh.read_batches(spark).collect()] == ["week=2023-03-26"]
+    assert wh.read_sales(spark).count() == 0
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_default_load_time_is_now_in_any_zone(spark, tmp_root, zone):
+    wh, _, w1, _ = _setup(spark, tmp_root)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        run_weekly(spark, wh, w1)
+        late = wh.read_sales(spark).selectExpr("unix_timestamp(current_timestamp()) - unix_timestamp(CreatedTime) AS s").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(0 <= r.s < 600 for r in late)
+
+
+def test_ids_of_a_warehouse(spark, tmp_root):
+    """The width is stored and another one refused; narrow ids are the contract's; tampered dimensions are noticed."""
+    wh, _, w1, w2 = _setup(spark, tmp_root)
+    run_weekly(spark, wh, w1, TS1, bits=32)
+    with pytest.raises(ValueError, match="32 bits"):
+        run_weekly(spark, wh, w2, TS2, bits=63)
+    run_weekly(spark, wh, w2, TS2)
+    assert len(_sales(spark, wh)) == 5
+    assert all(r.ProductId < 2**32 for r in wh.read_product(spark).collect())
+    broken = wh.read_product(spark).selectExpr("ProductId + 1 AS ProductId", "* EXCEPT (ProductId)").collect()
+    write_table(spark.createDataFrame(broken, wh.read_product(spark).schema), wh.product, "overwrite")
+    with pytest.raises(GateError, match="ProductId must be in the Product Dimension Table"):
+        run_weekly(spark, wh, w1, TS3)
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3])
+def test_colliding_ids_are_settled(spark, tmp_root, bits):
+    """With four products and three retailers on a few bits: unique ids, the same sales."""
+    wh, raw, w1, w2 = _setup(spark, tmp_root)
+    if bits == 1:
+        with pytest.raises(GateError, match="no free id"):
+            run_weekly(spark, wh, write_csv(f"{raw}/all", WEEK1 + WEEK2), TS1, bits=bits)
+        return
+    run_weekly(spark, wh, w1, TS1, bits=bits)
+    run_weekly(spark, wh, w2, TS2)
+    ids = [r.ProductId for r in wh.read_product(spark).collect()]
+    assert len(set(ids)) == 4 and max(ids) < 2**bits
+    assert _sales(spark, wh) == sorted(_expected(FIRST, SUNDAY1) + _expected(SECOND, SUNDAY2))
 
 
 def test_table_diff_counts_copies(spark):

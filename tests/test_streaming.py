@@ -1,7 +1,9 @@
 import os
-import time
 
-from fixtures import WEEK1, WEEK2, warehouse_with_lookups, write_csv
+import pytest
+from fixtures import SUNDAY1, WEEK1, WEEK2, line, warehouse_with_lookups, write_csv
+from pyspark.errors import StreamingQueryException
+
 from tillroll.operators.diff import table_diff
 from tillroll.plans.weekly_load import run_weekly
 from tillroll.sources.tables import Warehouse
@@ -10,29 +12,47 @@ from tillroll.streaming.arrivals import start_arrivals
 VALUES = ["DateId", "ProductId", "RetailerId", "DataSource", "SKU", "UnitsSold", "SalesAmount"]
 
 
-def test_stream_equals_week_by_week(spark, tmp_root):
+def _run(spark, wh, raw, ckpt):
+    q = start_arrivals(spark, wh, raw, name=None, checkpoint=ckpt)
+    q.awaitTermination()
+
+
+def _warehouse(spark, path):
+    wh = Warehouse(path)
+    warehouse_with_lookups(spark, wh)
+    return wh
+
+
+def test_stream_equals_week_by_week_whatever_arrives_first(spark, tmp_root):
+    """The third delivery arrives first; the second, older one restates the same key; one delivery has no rows."""
+    raw, source = f"{tmp_root}/raw", f"{tmp_root}/source"
+    made = {
+        "week=2023-03-05": WEEK1,
+        "week=2023-03-12": [*WEEK2, line(52, "Halden", SUNDAY1, 70.0, "7.00")],
+        "week=2023-03-19": [line(52, "Halden", SUNDAY1, 50.0, "5.00")],
+    }
+    expected = _warehouse(spark, f"{tmp_root}/lake1")
+    for name, lines in made.items():
+        run_weekly(spark, expected, write_csv(f"{source}/{name}", lines), "2023-03-20 06:00:00")
+
+    streamed, ckpt = _warehouse(spark, f"{tmp_root}/lake2"), f"{tmp_root}/ckpt"
+    for name in ("week=2023-03-05", "week=2023-03-19"):
+        write_csv(f"{raw}/{name}", made[name])
+    _run(spark, streamed, raw, ckpt)
+    write_csv(f"{raw}/week=2023-03-12", made["week=2023-03-12"])
+    write_csv(f"{raw}/week=2023-03-26", [])
+    _run(spark, streamed, raw, ckpt)
+    assert table_diff(streamed.read_sales(spark).select(*VALUES), expected.read_sales(spark).select(*VALUES)).count() == 0
+    assert {os.path.basename(r.FilePath) for r in streamed.read_batches(spark).collect()} == {*made, "week=2023-03-26"}
+
+
+def test_split_delivery_is_one_delivery(spark, tmp_root):
+    """A second file of a loaded delivery repeats a key with another value: refused, as in a weekly load."""
     raw = f"{tmp_root}/raw"
-    w1 = write_csv(f"{raw}/week=2022-01-02", WEEK1)
-    w2 = write_csv(f"{raw}/week=2022-01-09", WEEK2)
-    w3 = write_csv(f"{raw}/week=2022-01-16", ["1002,Marks,02/01/2022,650.0,1000.00"])
-    # deliveries arrive a week apart: the file source takes them in arrival order
-    now = time.time()
-    for i, folder in enumerate((w1, w2, w3)):
-        stamp = now - 3600 * (3 - i)
-        os.utime(os.path.join(folder, "retail.csv"), (stamp, stamp))
-
-    expected = Warehouse(f"{tmp_root}/lake1")
-    warehouse_with_lookups(spark, expected)
-    for path in (w1, w2, w3):
-        run_weekly(spark, expected, path, "2022-01-17 06:00:00")
-
-    streamed = Warehouse(f"{tmp_root}/lake2")
-    warehouse_with_lookups(spark, streamed)
-    q = start_arrivals(spark, streamed, raw, name="t_arrivals", checkpoint=f"{tmp_root}/ckpt", max_files_per_trigger=1)
-    q.awaitTermination(300)
-    assert q.exception() is None
-    a = streamed.read_sales(spark).select(*VALUES)
-    b = expected.read_sales(spark).select(*VALUES)
-    assert a.count() == 6
-    assert table_diff(a, b).count() == 0
-    assert streamed.read_batches(spark).count() == 3
+    wh, ckpt = _warehouse(spark, f"{tmp_root}/lake"), f"{tmp_root}/ckpt"
+    folder = write_csv(f"{raw}/week=2023-03-05", WEEK1)
+    _run(spark, wh, raw, ckpt)
+    write_csv(folder, [line(52, "Halden", SUNDAY1, 41.0, "60.00")], name="more.csv")
+    with pytest.raises(StreamingQueryException, match="must NOT have duplicates"):
+        _run(spark, wh, raw, ckpt)
+    assert {r.UnitsSold for r in wh.read_sales(spark).collect()} == {40, 15}

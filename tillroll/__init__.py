@@ -4,10 +4,10 @@ Typical use (the caller owns the session)::
 
     from tillroll import Warehouse, write_date_dimension, publish_lookup, run_weekly, view_sales
 
-    wh = Warehouse("s3a://lake/retail")                 # or any shared file system root
+    wh = Warehouse("hdfs:///lake/retail")               # a shared file system that renames atomically
     write_date_dimension(spark, wh.date, "01/01/2022", "01/01/2023")
     publish_lookup(sku_mapper_df, wh.sku_mapper, wh.sku_mapper_raw)
-    run_weekly(spark, wh, "s3a://lake/raw/mat/week=2022-01-02")
+    run_weekly(spark, wh, "hdfs:///lake/deliveries/week=2022-01-02")
     view_sales(wh.read_sales(spark), wh.read_product(spark), wh.read_retailer(spark), wh.read_date(spark))
 """
 

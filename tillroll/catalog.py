@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from . import schemas
 from .functions.calendar import date_parts, date_range, is_week_end
-from .functions.keys import surrogate_key
-from .functions.money import extract_date_text, line_amount
+from .functions.keys import surrogate_key, wide_key
+from .functions.money import extract_date_text, line_amount, parse_date, to_money
 from .operators import quality as Q
 from .operators.batches import register_batches
 from .operators.diff import table_diff
@@ -50,7 +50,7 @@ from .plans.weekly_load import backfill, run_weekly
 from .schemas import FACT_KEY, FACT_VALUES
 from .session import scratch_dir
 from .sources import retail_model as RM
-from .sources.extract import export_extract, read_deliveries, read_extract, read_extract_lines
+from .sources.extract import delivery_folders, export_extract, read_export_order, read_extract, read_extract_lines
 from .sources.tables import Warehouse, publish_lookup, read_or_empty, write_table
 
 # Load times of the example deliveries, the retailer list of the
@@ -62,7 +62,7 @@ EXAMPLE_RETAILERS = ["Supplier#000000001", "Supplier#000000002", "Supplier#00000
 DELIVERY_A = _dt.date(1998, 12, 27)
 DELIVERY_B = _dt.date(2001, 11, 4)
 FIRST_WEEK = _dt.date(1995, 1, 8)
-STREAM_TIMEOUT_SECONDS = 3600
+EMPTY_DELIVERY = _dt.date(2099, 1, 4)
 
 _memo: dict[tuple, object] = {}
 
@@ -133,6 +133,9 @@ def _weekly_root(spark: SparkSession, sf_dir: str) -> str:
     if k not in _memo:
         root = scratch_dir(spark, "weekly")
         export_extract(RM.full_extract(spark, sf_dir), root)
+        # a delivery with a header line and no rows
+        nothing = RM.full_extract(spark, sf_dir).limit(0).coalesce(1)
+        nothing.write.option("header", "true").csv(_folder(root, EMPTY_DELIVERY))
         _memo[k] = root
     return _memo[k]
 
@@ -148,7 +151,7 @@ def _classified_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = resolve_keys(enriched, wh.read_date(spark))
     touched = touched_date_ids(resolved)
     existing = wh.read_sales(spark).where(F.col("DateId").isin(touched))
-    return merge_fact(existing, resolved, TS_B, 2)
+    return merge_fact(existing, resolved, TS_B, 2, data_source=schemas.DATA_SOURCE_MAT)
 
 
 def _fact_values(df: DataFrame) -> DataFrame:
@@ -239,7 +242,9 @@ def q_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10: keys of delivery B already loaded with different values (null-safe), old and new side by side."""
     wh = _after_a(spark, sf_dir)
     enriched = enrich_extract(conform_extract(RM.restated_delivery(spark, sf_dir)), wh.read_sku_mapper(spark))
-    return changed_rows(wh.read_sales(spark), resolve_keys(enriched, wh.read_date(spark)))
+    resolved = resolve_keys(enriched, wh.read_date(spark))
+    existing = wh.read_sales(spark).where(F.col("DateId").isin(touched_date_ids(resolved)))
+    return changed_rows(existing, resolved)
 
 
 def q_week_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +266,8 @@ def q_resolve_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _first_week_dim(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """A dimension as loaded from the first weekly delivery only (in memory)."""
-    week1 = RM.full_extract(spark, sf_dir).where(F.col("Week Ending") == F.lit(FIRST_WEEK))
+    lineitem, supplier = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "supplier"))
+    week1 = RM.weekly_extract(lineitem, supplier, weeks_from=FIRST_WEEK, weeks_before=FIRST_WEEK + _dt.timedelta(days=7))
     if kind == "product":
         enriched = enrich_extract(conform_extract(week1), RM.mapper_for(spark, sf_dir))
         empty = spark.createDataFrame([], schemas.PRODUCT)
@@ -377,6 +383,51 @@ def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.unionByName(retailers).select("Kind", "Name", surrogate_key("Name").alias("Id"))
 
 
+def q_surrogate_key_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """63-bit ids of every product description of the mapper, as a warehouse has them by default."""
+    names = RM.mapper_for(spark, sf_dir).select(F.col("Description").alias("Name")).distinct()
+    return names.select("Name", wide_key("Name").alias("Id"))
+
+
+def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """week texts of every shipped line parsed back (dd/MM/yyyy), and the same texts under a pattern they don't fit."""
+    from .functions.calendar import week_ending
+
+    week = week_ending(F.to_date("l_shipdate"))
+    texts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(extract_date_text(week).alias("Text")).distinct()
+    return texts.select("Text", parse_date("Text").alias("Date"), parse_date("Text", "yyyy-MM-dd").alias("Other"))
+
+
+def q_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: lines of the exported files that stand where their sort key (Retailer, SKU) puts them, by week folder."""
+    order = read_export_order(spark, _weekly_root(spark, sf_dir))
+    return order.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("place") == F.col("expected")).alias("in_order")
+    )
+
+
+def q_line_amount_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """round(price x units, 2) of discounted prices, which have four decimals."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    units = F.col("l_quantity").try_cast("int")
+    price = to_money("p_retailprice") * (F.lit(1) - to_money("l_discount"))
+    return li.join(part, "l_partkey", "left").select(
+        F.col("l_partkey").cast("long").alias("SKU"), price.try_cast("decimal(16,4)").alias("Price"), units.alias("Units"),
+        line_amount(price, units).alias("Sales"),
+    )
+
+
+def q_view_product_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product view as it is by default, without ids."""
+    return view_product(_after_ab(spark, sf_dir).read_product(spark))
+
+
+def q_view_retailer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retailer view as it is by default, without ids."""
+    return view_retailer(_after_ab(spark, sf_dir).read_retailer(spark))
+
+
 def q_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar columns of every shipping date."""
     days = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("d")).distinct()
@@ -399,7 +450,7 @@ def q_line_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     units = F.col("l_quantity").try_cast("int")
     return li.join(part, "l_partkey", "left").select(
-        F.col("l_partkey").try_cast("int").alias("SKU"),
+        F.col("l_partkey").cast("long").alias("SKU"),
         extract_date_text(week_ending(F.to_date("l_shipdate"))).alias("Week Ending"),
         units.alias("Units"),
         line_amount("p_retailprice", units).alias("Sales"),
@@ -451,12 +502,10 @@ def q_view_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_register_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every weekly folder registered at once (ids in folder order), then a second, idempotent pass."""
+    """Every weekly folder registered at once (ids in folder order), one without rows too, then a second, idempotent pass."""
     root = _weekly_root(spark, sf_dir)
     path = scratch_dir(spark, "batches") + "/batch"
-    folders = read_deliveries(spark, root).select(
-        F.regexp_replace("file_path", r"/[^/]*$", "").alias("FilePath")
-    )
+    folders = delivery_folders(spark, root)
     for _ in range(2):
         log = read_or_empty(spark, path, schemas.BATCH)
         fresh = register_batches(log, folders, schemas.DATA_SOURCE_MAT)
@@ -466,11 +515,11 @@ def q_register_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both deliveries loaded in one pass - equal in values to loading A then B."""
+    """Both deliveries loaded in one pass - equal to loading A then B, batch ids included (times are the one run's)."""
     root = _deliveries_root(spark, sf_dir)
     wh = _base_warehouse(spark, sf_dir, "wh-backfill")
     backfill(spark, wh, root, TS_A)
-    return _fact_values(wh.read_sales(spark))
+    return _fact_with_audit(wh.read_sales(spark))
 
 
 def q_stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,12 +529,8 @@ def q_stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _deliveries_root(spark, sf_dir)
     wh = _base_warehouse(spark, sf_dir, "wh-stream")
     query = start_arrivals(spark, wh, root, name=None, checkpoint=scratch_dir(spark, "stream-ckpt"))
-    if not query.awaitTermination(STREAM_TIMEOUT_SECONDS):
-        query.stop()
-        raise TimeoutError("delivery stream did not finish the available files in time")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return _fact_values(wh.read_sales(spark))
+    query.awaitTermination()
+    return wh.read_sales(spark).select(*FACT_KEY, *FACT_VALUES, "CreatedByBatchId", "UpdatedByBatchId")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -518,6 +563,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_dim": q_merge_dim,
     "table_diff": q_table_diff,
     "surrogate_key": q_surrogate_key,
+    "surrogate_key_wide": q_surrogate_key_wide,
+    "parse_dates": q_parse_dates,
+    "export_order": q_export_order,
+    "line_amount_net": q_line_amount_net,
+    "view_product_names": q_view_product_names,
+    "view_retailer_names": q_view_retailer_names,
     "date_parts": q_date_parts,
     "date_range": q_date_range,
     "line_amount": q_line_amount,

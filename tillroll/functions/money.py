@@ -26,10 +26,16 @@ def to_units(value: Column | str) -> Column:
 
 
 def line_amount(unit_price: Column | str, units: Column | str) -> Column:
-    """round(price * units, 2) in exact decimal arithmetic."""
-    return F.round(to_money(unit_price) * _c(units).cast("decimal(10,0)"), 2).cast(MONEY)
+    """round(price * units, 2): the price is multiplied as it is, to ten decimals; out of range -> null."""
+    price, n = _c(unit_price).try_cast("decimal(24,10)"), _c(units).try_cast("decimal(10,0)")
+    return F.round(price * n, 2).try_cast(MONEY)
 
 
 def extract_date_text(date: Column | str) -> Column:
     """Week-ending date as written in a CSV extract (dd/MM/yyyy)."""
     return F.date_format(_c(date), EXTRACT_DATE_FORMAT)
+
+
+def parse_date(text: Column | str, pattern: str = EXTRACT_DATE_FORMAT) -> Column:
+    """Date of a text in ``pattern``; null if it isn't one."""
+    return F.try_to_timestamp(_c(text), F.lit(pattern)).cast("date")

@@ -2,9 +2,10 @@
 
 A member, once present, is never updated - not even its product type.  New
 members are the batch's distinct names that the dimension does not hold
-(anti join); their id is the surrogate key of the name.  The next dimension
-is ``old + new`` and is gated as a whole before anything is written; only the
-new rows are then appended, so the existing table is never rewritten.
+(anti join); their id is the key of the name, and ``settle_ids`` gives another
+to the few whose id is taken.  New rows are gated among themselves and against
+the stored rows with an equal id (``gate_scope``): stored rows passed before, so
+the cost follows the batch.  Only new rows are appended.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import surrogate_key
+from ..functions.keys import WIDE_BITS, key_of
 from . import quality as Q
 
 # Table names in gate messages and the gates of each table,
@@ -39,11 +40,13 @@ RETAILER_GATE = [
 def batch_time(batch_ts: _dt.datetime | str | None) -> Column:
     """Load time stamped on rows: the run's ``batch_ts``, or now.
 
-    A datetime is passed as text and cast in the session time zone, so the
-    stored instant reads back as the same wall-clock text.
+    Text without an offset and a naive datetime are wall-clock times of the
+    session's zone; an aware datetime or text with an offset is that instant.
     """
     if batch_ts is None:
         return F.current_timestamp()
+    if isinstance(batch_ts, _dt.datetime) and batch_ts.tzinfo is not None:
+        batch_ts = batch_ts.isoformat(" ")
     return F.lit(str(batch_ts)).cast("timestamp")
 
 
@@ -86,7 +89,7 @@ def new_members(
     id_col: str,
     batch_ts: _dt.datetime | None = None,
     batch_id: int | None = None,
-    wide: bool = False,
+    bits: int = WIDE_BITS,
     batch_id_col: str | None = None,
 ) -> DataFrame:
     """Candidates not yet in ``dim`` (by name), with ids and audit columns.
@@ -99,7 +102,7 @@ def new_members(
     attrs = [c for c in candidates.columns if c not in (name, batch_id_col)]
     bid = F.col(batch_id_col) if batch_id_col else F.lit(batch_id)
     return fresh.select(
-        surrogate_key(name, wide).alias(id_col),
+        key_of(name, bits).alias(id_col),
         F.col(name),
         *[F.col(c) for c in attrs],
         batch_time(batch_ts).alias("CreatedTime"),
@@ -109,6 +112,41 @@ def new_members(
     )
 
 
+def taken_ids(fresh: DataFrame, dim: DataFrame, name: str, id_col: str) -> DataFrame:
+    """(id, first): ids that a new member shares with another one, and the name that keeps it (null: a stored one)."""
+    stored_ids = dim.join(fresh.select(id_col), id_col, "left_semi").select(id_col, F.lit(None).cast("string").alias(name), F.lit(1).alias("old"))
+    both = fresh.select(id_col, name, F.lit(0).alias("old")).unionByName(stored_ids)
+    found = both.groupBy(id_col).agg(F.count_distinct(F.coalesce(name, F.lit("\0"))).alias("n"), F.max("old").alias("old"), F.min(name).alias("least"))
+    return found.where("n > 1").select(id_col, F.when(F.col("old") == 0, F.col("least")).alias("first"))
+
+
+def settle_ids(fresh: DataFrame, dim: DataFrame, name: str, id_col: str, bits: int, tries: int = 64) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """``fresh`` with unique ids, and the (name, id) that were changed: as few as collide at ``bits`` bits.
+
+    A member whose id another one holds gets a salted id, until none collides;
+    the smallest of new names keeps the plain id, a stored member always does.
+    """
+    changed: dict[str, int] = {}
+    for salt in range(1, tries + 1):
+        taken = taken_ids(fresh, dim, name, id_col)
+        losers = fresh.where(F.col(name).isNotNull()).join(taken, id_col).where(~F.col(name).eqNullSafe(F.col("first")))
+        moved = {r[0]: r[1] for r in losers.select(name, key_of(name, bits, salt).alias("k")).distinct().collect()}
+        if not moved:
+            return fresh, sorted(changed.items())
+        changed.update(moved)
+        spark = fresh.sparkSession
+        frame = spark.createDataFrame(sorted(moved.items()), "__name string, __id long")
+        fresh = fresh.join(F.broadcast(frame), fresh[name] == F.col("__name"), "left").select(
+            *[F.coalesce("__id", id_col).alias(c) if c == id_col else F.col(c) for c in fresh.columns]
+        )
+    raise Q.GateError(f"ETL: {id_col} - no free id of {bits} bits found; the warehouse needs wider ids")
+
+
+def gate_scope(fresh: DataFrame, dim: DataFrame, id_col: str) -> DataFrame:
+    """New rows and the stored rows that share an id with one: what the gate has to look at."""
+    return fresh.unionByName(dim.join(fresh.select(id_col), id_col, "left_semi").select(*fresh.columns))
+
+
 def merge_dim(dim: DataFrame, fresh: DataFrame) -> DataFrame:
     """The next dimension: existing members plus new ones (duplicates kept, for the gate)."""
     return dim.unionByName(fresh.select(*dim.columns))

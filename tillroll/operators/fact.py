@@ -5,8 +5,9 @@ SKUs of one product from one retailer in one week collide on the key and stop
 the load at the uniqueness gate.
 
 The merge (``merge_fact``) takes the fact rows of the touched ``DateId``
-partitions and the incoming rows, and classifies every key in ONE
-aggregation over their union, grouped by the key:
+partitions and the incoming rows.  The incoming rows are reduced to one row per
+key, counting repeats; a full outer join with the stored rows, unique by
+contract, then classifies every key:
 
 * ``insert``    - key only in the batch: new row, created now;
 * ``update``    - key in both, some value differs (null-safe): batch values,
@@ -15,22 +16,21 @@ aggregation over their union, grouped by the key:
                   (replaying a batch changes nothing);
 * ``keep``      - key only in the table: the stored row.
 
-With several deliveries in one run the latest delivery of a key wins.  The
-same pass counts rows that repeat a key within a delivery (``_extra``), so
-the uniqueness gate needs no second shuffle.
+With several deliveries in one run a key's deliveries are applied in order, as
+week-by-week loading would: its creation belongs to the first, its last update to
+the last one that changed a value.  The reduction also counts rows that repeat a
+key within a delivery (``_extra``), so the uniqueness gate needs no shuffle.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_id
-from ..functions.keys import member_key
+from ..functions.keys import WIDE_BITS, member_key
 from ..functions.money import to_money
-from ..plans.joins import bounded_broadcast
 from ..schemas import AUDIT, DATA_SOURCE_MAT, FACT_KEY, FACT_VALUES
 from . import quality as Q
 from .dimensions import batch_time
@@ -43,11 +43,9 @@ SALES_GATE = [
     Q.not_null("RetailerId", weight="_rows"),
     Q.unique_by_count(FACT_KEY, "_extra"),
 ]
-# Delivery order of incoming rows that came without one (a single weekly load).
-_NO_DELIVERY = "0001-01-01"
 
 
-def conform_extract(extract: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def conform_extract(extract: DataFrame, carry: list[str] | None = None, data_source: str = DATA_SOURCE_MAT) -> DataFrame:
     """Extract rows renamed to fact vocabulary, with the source tag."""
     return extract.select(
         F.col("Week Ending").alias("Date"),
@@ -55,64 +53,91 @@ def conform_extract(extract: DataFrame, carry: list[str] | None = None) -> DataF
         F.col("Retailer"),
         F.col("Units").alias("UnitsSold"),
         to_money("Sales").alias("SalesAmount"),
-        F.lit(DATA_SOURCE_MAT).alias("DataSource"),
+        F.lit(data_source).alias("DataSource"),
         *[F.col(c) for c in (carry or [])],
     )
 
 
-def enrich_extract(rows: DataFrame, mapper: DataFrame, with_multiplicity: bool = False) -> DataFrame:
-    """Left join to the SKU mapper on (SKU, Retailer): adds Description, ProductType.
+def used_mapper(rows: DataFrame, mapper: DataFrame) -> DataFrame:
+    """The mapper rows of the (SKU, Retailer) pairs that ``rows`` have: a week touches a small part of the mapper."""
+    return mapper.join(rows.select("SKU", "Retailer").distinct(), ["SKU", "Retailer"], "left_semi")
+
 
-    An unmapped SKU keeps its row with null names (stopped later by gates).
-    The mapper is a lookup of every (part, supplier) pair and can be large,
-    so the join strategy is left to the planner and adaptive execution.
+def mapper_repeats(used: DataFrame) -> DataFrame:
+    """(_mapper_extra): rows beside the first of each pair of ``used``; any > 0 would double count."""
+    return used.groupBy("SKU", "Retailer").count().select((F.col("count") - 1).alias("_mapper_extra"))
 
-    ``with_multiplicity``: the mapper is first reduced to one row per
-    (SKU, Retailer) carrying ``_mapper_rows`` (how many rows it had), so the
-    join can never fan out, and the lookup's uniqueness gate reads that
-    column from the enriched rows - no separate pass over the mapper.  The
-    reduction shuffles the mapper on the join key, which the join then
-    reuses.
+
+def enrich_extract(rows: DataFrame, mapper: DataFrame) -> DataFrame:
+    """Left join to the SKU mapper on (SKU, Retailer): adds Description, ProductType.
+
+    An unmapped SKU keeps its row with null names (stopped later by gates).  The
+    mapper is cut to the rows' pairs first; the join strategy is the planner's.
     """
-    if with_multiplicity:
-        m = mapper.groupBy("SKU", "Retailer").agg(
-            F.count(F.lit(1)).alias("_mapper_rows"),
-            F.first("Description").alias("Description"),
-            F.first("ProductType").alias("ProductType"),
-        )
-        extra = ["_mapper_rows"]
-    else:
-        m = mapper.select("SKU", "Retailer", "Description", "ProductType")
-        extra = []
-    return rows.join(m, ["SKU", "Retailer"], "left").select(*rows.columns, "Description", "ProductType", *extra)
+    used = used_mapper(rows, mapper).select("SKU", "Retailer", "Description", "ProductType")
+    return rows.join(used, ["SKU", "Retailer"], "left").select(*rows.columns, "Description", "ProductType")
+
 
+def _with_exceptions(rows: DataFrame, exceptions: DataFrame | None, kind: str, name: str, id_col: str) -> DataFrame:
+    if exceptions is None:
+        return rows
+    few = exceptions.where(F.col("Kind") == kind).select(F.col("Name").alias(f"_{id_col}_name"), F.col("Id").alias(f"_{id_col}"))
+    return rows.join(few, F.col(name) == F.col(f"_{id_col}_name"), "left").drop(f"_{id_col}_name")
 
-def resolve_keys(enriched: DataFrame, dates: DataFrame, wide: bool = False, carry: list[str] | None = None) -> DataFrame:
+
+def resolve_keys(
+    enriched: DataFrame, dates: DataFrame, bits: int = WIDE_BITS, carry: list[str] | None = None, exceptions: DataFrame | None = None
+) -> DataFrame:
     """Fact rows with surrogate keys.
 
-    ``ProductId``/``RetailerId`` are the surrogate keys of the names (the
-    id a lookup into the insert-only dimension returns; null name -> null
-    id).  ``DateId`` comes from the calendar, so a date outside it gets a
-    null id; the calendar is bounded, and broadcast only after a size check.
+    ``ProductId``/``RetailerId`` are the keys of the names, or the id that the key
+    ``exceptions`` (Kind, Name, Id) hold (null name -> null id).  ``DateId`` comes
+    from the calendar, so a date outside it gets a null id; the calendar, a row a
+    day of the years it was built for, is broadcast.
     """
-    cal = bounded_broadcast(dates.select("Date", "DateId"))
-    out = enriched.join(cal, "Date", "left")
+    out = enriched.join(F.broadcast(dates.select("Date", "DateId")), "Date", "left")
+    out = _with_exceptions(out, exceptions, "product", "Description", "ProductId")
+    out = _with_exceptions(out, exceptions, "retailer", "Retailer", "RetailerId")
+
+    def key(name: str, id_col: str) -> Column:
+        plain = member_key(name, bits)
+        return (plain if exceptions is None else F.coalesce(f"_{id_col}", plain)).alias(id_col)
+
     return out.select(
         F.col("DateId"),
-        member_key("Description", wide).alias("ProductId"),
-        member_key("Retailer", wide).alias("RetailerId"),
+        key("Description", "ProductId"),
+        key("Retailer", "RetailerId"),
         *[F.col(c) for c in FACT_VALUES],
         *[F.col(c) for c in (carry or [])],
     )
 
 
-def _null_audit() -> list:
-    return [
-        F.lit(None).cast("timestamp").alias("CreatedTime"),
-        F.lit(None).cast("int").alias("CreatedByBatchId"),
-        F.lit(None).cast("timestamp").alias("UpdatedTime"),
-        F.lit(None).cast("int").alias("UpdatedByBatchId"),
-    ]
+def orphans(resolved: DataFrame, dim_ids: DataFrame, id_col: str) -> DataFrame:
+    """Ids of the batch that the dimension (its ids and the new ones) does not hold."""
+    ids = resolved.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    return ids.join(dim_ids.select(id_col), id_col, "left_anti")
+
+
+def _values_differ(a, b) -> Column:
+    """Null-safe: does any fact value differ?  ``a``, ``b``: column getters by name."""
+    return ~F.struct(*[a(c).alias(c) for c in FACT_VALUES]).eqNullSafe(F.struct(*[b(c).alias(c) for c in FACT_VALUES]))
+
+
+def _reduced(incoming: DataFrame, bid: Column, delivery: str | None, data_source: str | None) -> DataFrame:
+    """One row per key: rows, repeats within a delivery, and the values (``_next``) or the deliveries in order (``_steps``)."""
+    if delivery:
+        step = F.struct(F.coalesce(F.col(delivery).cast("date"), F.lit("0001-01-01").cast("date")).alias("ord"), bid.cast("int").alias("bid"), *FACT_VALUES)
+        # bounded by the deliveries of the run: one row each, or the gate stops the load
+        steps = incoming.groupBy(*FACT_KEY).agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(step)).alias("_steps"))
+        return steps.withColumn("_repeats", F.col("_n") - F.size(F.array_distinct(F.transform("_steps", lambda s: s["ord"]))))
+    # any row's values do: with more than one row the gate stops the load
+    plain = [c for c in FACT_VALUES if not (c == "DataSource" and data_source)]
+    out = incoming.withColumn("_bid", bid.cast("int")).groupBy(*FACT_KEY).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_bid").alias("_bid"), *[F.min(c).alias(f"_next_{c}") for c in plain]
+    )
+    if len(plain) < len(FACT_VALUES):
+        out = out.withColumn("_next_DataSource", F.lit(data_source))
+    return out.withColumn("_repeats", F.col("_n") - 1)
 
 
 def merge_fact(
@@ -122,6 +147,7 @@ def merge_fact(
     batch_id: int | None = None,
     delivery: str | None = None,
     batch_id_col: str | None = None,
+    data_source: str | None = None,
 ) -> DataFrame:
     """Classified fact rows of the touched partitions (see module doc), one row per key.
 
@@ -130,62 +156,54 @@ def merge_fact(
     any > 0 fails the uniqueness gate, so a repeated key is never written).
     ``existing`` must hold only the partitions the batch touches (the caller
     prunes by DateId).  ``delivery`` (optional DATE column of ``incoming``)
-    orders deliveries; ``batch_id_col`` (optional) gives a per-row batch id.
+    orders deliveries; ``batch_id_col`` (optional) gives a per-row batch id;
+    ``data_source`` is the tag of all incoming rows, if they have one.
 
-    Plan: ONE exchange, hash on the key.  Every aggregate is partial on the
-    map side, so copies of a key - even a key holding a third of the batch -
-    are combined before the shuffle and no reducer receives a hot group.
+    Plan: the incoming rows are combined per key on the map side and shuffled
+    once; that order serves the join, whose sides are both unique by key.
     """
     now = batch_time(batch_ts)
     bid = F.col(batch_id_col) if batch_id_col else F.lit(batch_id)
-    old = existing.select(
-        *FACT_KEY,
-        *FACT_VALUES,
-        *AUDIT,
-        F.lit(False).alias("_incoming"),
-        F.lit(None).cast("date").alias("_ord"),
-        F.lit(None).cast("int").alias("_bid"),
-    )
-    new = incoming.select(
-        *FACT_KEY,
-        *FACT_VALUES,
-        *_null_audit(),
-        F.lit(True).alias("_incoming"),
-        F.coalesce((F.col(delivery) if delivery else F.lit(None)).cast("date"), F.lit(_NO_DELIVERY).cast("date")).alias("_ord"),
-        bid.cast("int").alias("_bid"),
-    )
-    inc = F.col("_incoming")
-    per_key = old.unionByName(new).groupBy(*FACT_KEY).agg(
-        F.count_if(~inc).alias("_n_old"),
-        F.count_if(inc).alias("_n_new"),
-        # distinct deliveries of the key: a set bounded by the deliveries in this run
-        F.size(F.collect_set(F.when(inc, F.col("_ord")))).alias("_n_deliveries"),
-        F.max(F.when(~inc, F.struct(*FACT_VALUES, *AUDIT))).alias("_prev"),
-        # the latest delivery's row (null ordering = stored row, skipped)
-        F.max_by(F.struct(*FACT_VALUES, "_bid"), F.when(inc, F.col("_ord"))).alias("_next"),
-    )
-    has_new = F.col("_n_new") > 0
-    has_prev = F.col("_prev").isNotNull()
-    same = F.struct(*[F.col(f"_next.{c}") for c in FACT_VALUES]).eqNullSafe(
-        F.struct(*[F.col(f"_prev.{c}") for c in FACT_VALUES])
-    )
+    new = _reduced(incoming, bid, delivery, data_source)
+    old = existing.select(*FACT_KEY, *[F.col(c).alias(f"_prev_{c}") for c in (*FACT_VALUES, *AUDIT)], F.lit(True).alias("_has_prev"))
+    both = old.join(new, FACT_KEY, "full_outer")
+    has_prev, has_new = F.col("_has_prev").isNotNull(), F.col("_n").isNotNull()
+    prev = lambda c: F.col(f"_prev_{c}")
+    fields = [(c, existing.schema[c].dataType) for c in FACT_VALUES]
+
+    def state(has, value, created, updated, changed) -> Column:
+        return F.struct(
+            has.alias("has"), *[value(c).cast(t).alias(c) for c, t in fields], created.cast("int").alias("created"), updated.cast("int").alias("updated"),
+            changed.alias("changed"),
+        )
+
+    start = state(has_prev, prev, prev("CreatedByBatchId"), prev("UpdatedByBatchId"), F.lit(False))
+
+    def apply(s, value, b) -> Column:
+        first = state(F.lit(True), value, b, F.lit(None), F.lit(False))
+        changed = state(F.lit(True), value, s["created"], b, F.lit(True))
+        return F.when(~s["has"], first).when(_values_differ(lambda c: s[c], value), changed).otherwise(s)
+
+    if delivery:
+        end = F.aggregate(F.coalesce("_steps", F.array().cast(new.schema["_steps"].dataType)), start, lambda s, d: apply(s, lambda c: d[c], d["bid"]))
+    else:
+        nxt = lambda c: F.col(f"_next_{c}")
+        end = F.when(has_new, apply(start, nxt, F.col("_bid"))).otherwise(start)
+    both = both.withColumn("_end", end)
+    changed = F.col("_end.changed")
     action = (
-        F.when(~has_new, F.lit("keep"))
-        .when(~has_prev, F.lit("insert"))
-        .when(same, F.lit("unchanged"))
-        .otherwise(F.lit("update"))
+        F.when(~has_new, F.lit("keep")).when(~has_prev, F.lit("insert")).when(changed, F.lit("update")).otherwise(F.lit("unchanged"))
     )
-    a = F.col("_action")
-    return per_key.withColumn("_action", action).select(
+    return both.select(
         *FACT_KEY,
-        *[F.when(has_new, F.col(f"_next.{c}")).otherwise(F.col(f"_prev.{c}")).alias(c) for c in FACT_VALUES],
-        F.when(a == "insert", now).otherwise(F.col("_prev.CreatedTime")).alias("CreatedTime"),
-        F.when(a == "insert", F.col("_next._bid")).otherwise(F.col("_prev.CreatedByBatchId")).alias("CreatedByBatchId"),
-        F.when(a == "update", now).when(a != "insert", F.col("_prev.UpdatedTime")).alias("UpdatedTime"),
-        F.when(a == "update", F.col("_next._bid")).when(a != "insert", F.col("_prev.UpdatedByBatchId")).alias("UpdatedByBatchId"),
-        a,
-        F.when(has_new, F.col("_n_new")).otherwise(F.col("_n_old")).alias("_rows"),
-        F.when(has_new, F.col("_n_new") - F.col("_n_deliveries")).otherwise(F.col("_n_old") - 1).alias("_extra"),
+        *[F.col(f"_end.{c}").alias(c) for c in FACT_VALUES],
+        F.when(has_prev, prev("CreatedTime")).otherwise(now).alias("CreatedTime"),
+        F.col("_end.created").alias("CreatedByBatchId"),
+        F.when(changed, now).otherwise(prev("UpdatedTime")).alias("UpdatedTime"),
+        F.col("_end.updated").alias("UpdatedByBatchId"),
+        action.alias("_action"),
+        F.coalesce("_n", F.lit(1)).cast("long").alias("_rows"),
+        F.coalesce("_repeats", F.lit(0)).cast("long").alias("_extra"),
     )
 
 
@@ -200,10 +218,10 @@ def touched_date_ids(resolved: DataFrame) -> list[int]:
 
 
 def changed_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Keys present in both with some value different (null-safe), old and new values side by side."""
+    """Keys present in both with some value different (null-safe), old and new values side by side.
+
+    As in the merge, ``existing`` should hold the touched partitions only.
+    """
     o = existing.select(*FACT_KEY, *[F.col(c).alias(f"Old{c}") for c in FACT_VALUES])
     n = incoming.select(*FACT_KEY, *[F.col(c).alias(f"New{c}") for c in FACT_VALUES])
-    differs = ~F.struct(*[F.col(f"Old{c}") for c in FACT_VALUES]).eqNullSafe(
-        F.struct(*[F.col(f"New{c}") for c in FACT_VALUES])
-    )
-    return o.join(n, FACT_KEY, "inner").where(differs)
+    return o.join(n, FACT_KEY, "inner").where(_values_differ(lambda c: F.col(f"Old{c}"), lambda c: F.col(f"New{c}")))

@@ -101,6 +101,18 @@ def row_count(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+def none_left(df: DataFrame, columns: str, message: str) -> DataFrame:
+    """A report row that fails with ``message`` if ``df`` has any row."""
+    n = F.count(F.lit(1)).cast("long")
+    return df.agg(
+        F.lit(1).alias("seq"),
+        F.lit("none").alias("check"),
+        F.lit(columns).alias("columns"),
+        n.alias("violations"),
+        F.when(n > 0, F.lit(message)).alias("message"),
+    )
+
+
 def run_reports(reports: Sequence[tuple[str, DataFrame]]) -> list:
     """Evaluate several reports in ONE job; rows come back tagged with their report name.
 

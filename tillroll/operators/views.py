@@ -1,7 +1,7 @@
 """Read views: names instead of ids, ordered at the consumer edge.
 
 All lazy: nothing is collected to the driver.  The sales view is one star
-join; the calendar is broadcast after a size check and the dimensions are
+join; the calendar (a row a day: bounded by its years) is broadcast, and the dimensions are
 left to the planner (a large product dimension is a shuffle join, and a hot
 product is split by adaptive skew-join handling).
 """
@@ -9,9 +9,9 @@ product is split by adaptive skew-join handling).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
-
+# The view's columns in order.
 SALES_VIEW_COLUMNS = ["Date", "ProductName", "RetailerName", "DataSource", "SKU", "UnitsSold", "SalesAmount"]
 
 
@@ -31,7 +31,7 @@ def view_sales(sales: DataFrame, product: DataFrame, retailer: DataFrame, dates:
     out = (
         facts.join(product.select("ProductId", "ProductName"), "ProductId", "inner")
         .join(retailer.select("RetailerId", "RetailerName"), "RetailerId", "inner")
-        .join(bounded_broadcast(dates.select("DateId", "Date")), "DateId", "inner")
+        .join(F.broadcast(dates.select("DateId", "Date")), "DateId", "inner")
         .select(*SALES_VIEW_COLUMNS)
     )
     return out.orderBy("Date", "ProductName", "RetailerName") if ordered else out

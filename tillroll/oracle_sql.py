@@ -8,15 +8,12 @@ semantics.  Column names and types equal the Spark outputs.
 
 from __future__ import annotations
 
-from .oracle_hash import surrogate_key_sql
+from .oracle_hash import surrogate_key_sql, wide_key_sql
 
 
 def _key(expr: str) -> str:
-    return surrogate_key_sql(expr)
-
-
-def _member_key(expr: str) -> str:
-    return f"(CASE WHEN {expr} IS NULL THEN NULL ELSE {_key(expr)} END)"
+    """Id of a member in a warehouse: 63 bits."""
+    return wide_key_sql(expr)
 
 
 def _date_id(expr: str) -> str:
@@ -38,14 +35,14 @@ _LI = """li AS (
   FROM lineitem)"""
 
 _GROSS = """gross AS (
-  SELECT CAST(g.l_partkey AS INTEGER) AS "SKU", s.s_name AS "Retailer", g.wk AS "Week Ending",
+  SELECT CAST(g.l_partkey AS BIGINT) AS "SKU", s.s_name AS "Retailer", g.wk AS "Week Ending",
          CAST(g.units AS INTEGER) AS "Units", CAST(g.sales AS DECIMAL(13,2)) AS "Sales"
   FROM (SELECT wk, l_partkey, l_suppkey, SUM(l_quantity) AS units, SUM(price) AS sales
         FROM li GROUP BY wk, l_partkey, l_suppkey) g
   LEFT JOIN supplier s ON s.s_suppkey = g.l_suppkey)"""
 
 _NET = """net AS (
-  SELECT CAST(g.l_partkey AS INTEGER) AS "SKU", s.s_name AS "Retailer", g.wk AS "Week Ending",
+  SELECT CAST(g.l_partkey AS BIGINT) AS "SKU", s.s_name AS "Retailer", g.wk AS "Week Ending",
          CAST(g.units AS INTEGER) AS "Units", CAST(g.sales AS DECIMAL(13,2)) AS "Sales"
   FROM (SELECT wk, l_partkey, l_suppkey, SUM(l_quantity) AS units,
                SUM(price * (1 - CAST(l_discount AS DECIMAL(13,2)))) AS sales
@@ -53,7 +50,7 @@ _NET = """net AS (
   LEFT JOIN supplier s ON s.s_suppkey = g.l_suppkey)"""
 
 _MAPPER = """mapper AS (
-  SELECT CAST(x.l_partkey AS INTEGER) AS "SKU", s.s_name AS "Retailer",
+  SELECT CAST(x.l_partkey AS BIGINT) AS "SKU", s.s_name AS "Retailer",
          p.p_name || ' #' || CAST(p.p_partkey AS VARCHAR) AS "Description", p.p_type AS "ProductType"
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) x
   JOIN part p ON p.p_partkey = x.l_partkey
@@ -280,17 +277,17 @@ counted AS (SELECT {_FACT_COLS}, sum(w) AS net FROM tagged GROUP BY ALL)
 SELECT {_FACT_COLS}, CASE WHEN net > 0 THEN 'left_only' ELSE 'right_only' END AS side, CAST(abs(net) AS BIGINT) AS copies
 FROM counted WHERE net <> 0""",
     "surrogate_key": _with(_MAPPER)
-    + f"""SELECT 'product' AS "Kind", n AS "Name", {_key('n')} AS "Id" FROM (SELECT DISTINCT "Description" AS n FROM mapper)
+    + f"""SELECT 'product' AS "Kind", n AS "Name", {surrogate_key_sql('n')} AS "Id" FROM (SELECT DISTINCT "Description" AS n FROM mapper)
 UNION ALL
-SELECT 'retailer' AS "Kind", n AS "Name", {_key('n')} AS "Id" FROM (SELECT DISTINCT "Retailer" AS n FROM mapper)""",
+SELECT 'retailer' AS "Kind", n AS "Name", {surrogate_key_sql('n')} AS "Id" FROM (SELECT DISTINCT "Retailer" AS n FROM mapper)""",
     "date_parts": "WITH days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)\nSELECT "
     + _date_cols("d") + " FROM days",
     "date_range": """WITH b AS (SELECT CAST(min(l_shipdate) AS DATE) AS lo, CAST(max(l_shipdate) AS DATE) AS hi FROM lineitem)
 SELECT CAST(d AS DATE) AS "Date" FROM b, range(b.lo, b.hi, INTERVAL 1 DAY) t(d)""",
-    "line_amount": """SELECT CAST(l.l_partkey AS INTEGER) AS "SKU",
+    "line_amount": """SELECT CAST(l.l_partkey AS BIGINT) AS "SKU",
        strftime(CAST(date_trunc('week', l.l_shipdate) AS DATE) + 6, '%d/%m/%Y') AS "Week Ending",
        CAST(l.l_quantity AS INTEGER) AS "Units",
-       CAST(round(CAST(p.p_retailprice AS DECIMAL(13,2)) * CAST(CAST(l.l_quantity AS INTEGER) AS DECIMAL(10,0)), 2) AS DECIMAL(13,2)) AS "Sales"
+       CAST(round(CAST(p.p_retailprice AS DECIMAL(24,10)) * CAST(CAST(l.l_quantity AS INTEGER) AS DECIMAL(10,0)), 2) AS DECIMAL(13,2)) AS "Sales"
 FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey""",
     "date_dimension": _with(_CALENDAR) + "SELECT " + _date_cols("d") + " FROM cal",
     "load_product": _SCENARIO + "," + _DIMS_AB + "\nSELECT * FROM prod",
@@ -302,7 +299,24 @@ FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey""",
     "register_batches": _with(_LI, _GROSS)
     + """SELECT CAST(row_number() OVER (ORDER BY wk) AS BIGINT) AS "BatchId", 'MAT' AS "DataSource",
        'week=' || strftime(wk, '%Y-%m-%d') AS "Folder"
-FROM (SELECT DISTINCT "Week Ending" AS wk FROM gross)""",
-    "backfill_weeks": _SCENARIO + "," + _AFTER_AB + f"\nSELECT {_FACT_COLS} FROM ab",
-    "stream_deliveries": _SCENARIO + "," + _AFTER_AB + f"\nSELECT {_FACT_COLS} FROM ab",
+FROM (SELECT DISTINCT "Week Ending" AS wk FROM gross UNION SELECT DATE '2099-01-04')""",
+    "backfill_weeks": _SCENARIO + "," + _AFTER_AB
+    + f"""
+SELECT {_FACT_COLS}, {_TS_A} AS "CreatedTime", "CreatedByBatchId",
+       CASE WHEN "UpdatedTime" IS NOT NULL THEN {_TS_A} END AS "UpdatedTime", "UpdatedByBatchId" FROM ab""",
+    "stream_deliveries": _SCENARIO + "," + _AFTER_AB + f'\nSELECT {_FACT_COLS}, "CreatedByBatchId", "UpdatedByBatchId" FROM ab',
+    "surrogate_key_wide": _with(_MAPPER)
+    + f"""SELECT n AS "Name", {_key('n')} AS "Id" FROM (SELECT DISTINCT "Description" AS n FROM mapper)""",
+    "parse_dates": """WITH t AS (SELECT DISTINCT strftime(CAST(date_trunc('week', l_shipdate) AS DATE) + 6, '%d/%m/%Y') AS x FROM lineitem)
+SELECT x AS "Text", CAST(try_strptime(x, '%d/%m/%Y') AS DATE) AS "Date", CAST(try_strptime(x, '%Y-%m-%d') AS DATE) AS "Other" FROM t""",
+    "export_order": _with(_LI, _GROSS)
+    + """SELECT 'week=' || strftime("Week Ending", '%Y-%m-%d') AS folder, count(*) AS lines, count(*) AS in_order FROM gross GROUP BY ALL""",
+    "line_amount_net": """WITH x AS (
+  SELECT l.l_partkey, CAST(l.l_quantity AS INTEGER) AS units,
+         CAST(p.p_retailprice AS DECIMAL(13,2)) * (1 - CAST(l.l_discount AS DECIMAL(13,2))) AS price
+  FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey)
+SELECT CAST(l_partkey AS BIGINT) AS "SKU", CAST(price AS DECIMAL(16,4)) AS "Price", units AS "Units",
+       CAST(round(CAST(price AS DECIMAL(24,10)) * CAST(units AS DECIMAL(10,0)), 2) AS DECIMAL(13,2)) AS "Sales" FROM x""",
+    "view_product_names": _SCENARIO + "," + _DIMS_AB + '\nSELECT "ProductName", "ProductType" FROM prod',
+    "view_retailer_names": _SCENARIO + "," + _DIMS_AB + '\nSELECT "RetailerName" FROM ret',
 }

@@ -1,36 +1,32 @@
 """Weekly load: product -> retailer -> sales fact for one extract, and backfill.
 
-Order of work for one batch (every gate runs before the first write, so a
-failed gate leaves every table as it was; all gates are evaluated in one
-job and the first failure in the order below is raised):
-
-1. lookup gate: the SKU mapper must be unique on (SKU, Retailer) for the
-   pairs the batch uses, else the enrichment would double count (the
-   multiplicity comes out of the enrichment join itself);
-2. product dimension: new members + gate over (old + new);
-3. retailer dimension: the same;
-4. sales fact: keys resolved, touched ``DateId`` partitions read (literal
-   partition filter), one-window merge, gate;
-5. batch log gate (when batches are registered);
-6. writes: append new members, append new batches, replace the touched
-   fact partitions (dynamic partition overwrite).
-
-The batch is enriched once and kept (memory, spilling to disk) for the
-dimension candidates, the touched dates and the merge; the merged rows are
-kept for the gate and the write.  Lost blocks are recomputed from lineage,
-whose sources (extract files, old fact partitions) stay intact until the
-final commit.
+Order of work for one batch:
+
+1. a publishing run that was cut short is finished (``plans.publish``);
+2. the batch's folders are registered, from the file listing;
+3. new members, with settled ids, and the merged fact rows of the touched weeks
+   are written once to the warehouse's staging folder;
+4. all gates are evaluated on what was staged, in one job; the first failure in
+   the order below is raised, and no table has changed:
+   lookup (the SKU mapper must be unique for the pairs the batch uses), batch
+   log, product, retailer, sales fact, ids the dimensions don't hold;
+5. the staged rows are published: exactly the rows that passed.
+
+Weeks in which no row differs are not written.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
+from ..functions.keys import WIDE_BITS
 from ..operators import quality as Q
 from ..operators.batches import BATCH_GATE, BATCH_TABLE, delivery_folder, register_batches
 from ..operators.dimensions import (
@@ -38,50 +34,46 @@ from ..operators.dimensions import (
     PRODUCT_TABLE,
     RETAILER_GATE,
     RETAILER_TABLE,
+    gate_scope,
     merge_dim,
     new_members,
     product_candidates,
     retailer_candidates,
+    settle_ids,
 )
 from ..operators.fact import (
     SALES_GATE,
     SALES_TABLE,
     conform_extract,
     enrich_extract,
-    fact_table_rows,
+    mapper_repeats,
     merge_fact,
+    orphans,
     resolve_keys,
     touched_date_ids,
+    used_mapper,
 )
-from ..plans.joins import bounded_broadcast
 from ..schemas import DATA_SOURCE_MAT
-from ..sources.extract import DELIVERY_COLUMN, read_deliveries, read_extract
+from ..sources.extract import DELIVERY_COLUMN, delivery_folders, read_deliveries, read_extract
 from ..sources.tables import Warehouse, write_table
+from .publish import publish, recover
 
-# Fixed value: table name of the lookup in gate messages.  The lookup must be
-# unique on (SKU, Retailer) for every pair the batch uses: checked on the
-# enriched rows from the multiplicity the enrichment join carries.
+# Fixed value: table name of the lookup in gate messages.
 MAPPER_TABLE = "SKU Mapper Table"
 MAPPER_GATE = [Q.unique_by_count(["SKU", "Retailer"], "_mapper_extra")]
 
-# A batch touching more fact partitions than this is clustered by DateId
-# before the write (adaptive rebalance: a big week is split into several
-# right-sized files, small weeks are packed together).  A weekly load touches
-# one or two partitions and writes straight from the merge, with no extra
-# shuffle.
-REBALANCE_ABOVE_PARTITIONS = 4
-
 
 @dataclass
 class LoadResult:
     touched_date_ids: list[int]
+    written_date_ids: list[int]
     new_products: int
     new_retailers: int
     new_batches: int
 
 
 def _now() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    return _dt.datetime.now(_dt.timezone.utc).isoformat(" ", "seconds")
 
 
 def load_batch(
@@ -92,79 +84,86 @@ def load_batch(
     batch_id: int | None = None,
     delivery: str | None = None,
     folder: str | None = None,
+    folders: DataFrame | None = None,
     data_source: str = DATA_SOURCE_MAT,
-    wide: bool = False,
+    bits: int | None = None,
 ) -> LoadResult:
     """Load one scanned extract into the warehouse ``wh``.
 
     ``delivery``: DATE column ordering several deliveries in one run.
-    ``folder``: column naming the delivery folder of each row; the folders
-    are registered in the batch log and their ids stamped on the rows
-    (otherwise ``batch_id``, possibly None, is stamped).
+    ``folder``: column naming the delivery folder of each row; ``folders``
+    (FilePath), by default those that have rows, are registered in the batch log
+    and their ids stamped on the rows (otherwise ``batch_id``, possibly None, is
+    stamped).  ``bits``: id width of a new warehouse; another one than a
+    warehouse has is refused.
     """
     ts = batch_ts if batch_ts is not None else _now()
+    recover(spark, wh)
+    width = wh.key_bits(spark, bits, WIDE_BITS)
+    run = uuid.uuid4().hex[:12]
+    stage = wh.stage(run)
     kept: list[DataFrame] = []
 
-    def keep(df: DataFrame) -> DataFrame:
-        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{stage}/{name}", "overwrite")
+        return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
 
     try:
         mapper = wh.read_sku_mapper(spark)
-        carry = [c for c in (delivery, folder) if c]
-        enriched = keep(enrich_extract(conform_extract(extract, carry), mapper, with_multiplicity=True))
-        mapper_use = enriched.select((F.coalesce(F.col("_mapper_rows"), F.lit(1)) - 1).alias("_mapper_extra"))
-        reports = [("mapper", Q.gate_report(mapper_use, MAPPER_TABLE, MAPPER_GATE))]
-
-        new_batches, bid_col = None, None
+        conformed = conform_extract(extract, [c for c in (delivery, folder) if c], data_source)
+        used = used_mapper(conformed, mapper)
+        reports = [("mapper", Q.gate_report(mapper_repeats(used), MAPPER_TABLE, MAPPER_GATE))]
+        # what the extract files and the mapper give: nothing that this load writes
+        enriched = enrich_extract(conformed, mapper).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(enriched)
+        rows = enriched
+
+        bid_col, n_batches = None, 0
         if folder:
+            given = folders if folders is not None else enriched.select(F.col(folder).alias("FilePath")).distinct()
             log = wh.read_batches(spark)
-            new_batches = keep(register_batches(log, enriched.select(F.col(folder).alias("FilePath")), data_source))
+            new_batches = staged(register_batches(log, given, data_source), "batch")
             reports.append(("batch", Q.gate_report(merge_dim(log, new_batches), BATCH_TABLE, BATCH_GATE)))
-            reports.append(("new_batches", Q.row_count(new_batches, "batch")))
-            # One row per delivery folder: tiny, and checked before it is broadcast.
-            ids = log.unionByName(new_batches).select(
-                F.col("FilePath").alias(folder), F.col("BatchId").cast("int").alias("_batch_id")
-            )
-            enriched = enriched.join(bounded_broadcast(ids), folder, "left")
+            known = log.join(given, "FilePath", "left_semi").unionByName(new_batches)
+            # a row for each delivery of this run, as literals: no table that is published below is in the plan
+            ids = [(r.FilePath, int(r.BatchId)) for r in known.select("FilePath", "BatchId").collect()]
+            n_batches = new_batches.count()
+            frame = spark.createDataFrame(ids, f"`{folder}` string, _batch_id int")
+            rows = enriched.join(F.broadcast(frame), folder, "left")
             bid_col = "_batch_id"
         bid_carry = [bid_col] if bid_col else []
 
-        prod_old = wh.read_product(spark)
-        prod_cand = product_candidates(enriched, delivery, bid_carry)
-        prod_new = keep(new_members(prod_cand, prod_old, "ProductName", "ProductId", ts, batch_id, wide, bid_col))
-        reports.append(("product", Q.gate_report(merge_dim(prod_old, prod_new), PRODUCT_TABLE, PRODUCT_GATE)))
+        prod_old, ret_old = wh.read_product(spark), wh.read_retailer(spark)
+        prod_new = new_members(product_candidates(rows, delivery, bid_carry), prod_old, "ProductName", "ProductId", ts, batch_id, width, bid_col)
+        ret_new = new_members(retailer_candidates(rows, delivery, bid_carry), ret_old, "RetailerName", "RetailerId", ts, batch_id, width, bid_col)
+        prod_new, prod_moved = settle_ids(staged(prod_new, "product_found"), prod_old, "ProductName", "ProductId", width)
+        ret_new, ret_moved = settle_ids(staged(ret_new, "retailer_found"), ret_old, "RetailerName", "RetailerId", width)
+        prod_new, ret_new = staged(prod_new, "product"), staged(ret_new, "retailer")
+        moved = [("product", n, i) for n, i in prod_moved] + [("retailer", n, i) for n, i in ret_moved]
+        new_exceptions = staged(spark.createDataFrame(moved, schemas.KEY_EXCEPTIONS), "key_exceptions")
+        exceptions = wh.read_key_exceptions(spark).unionByName(new_exceptions)
+        reports.append(("product", Q.gate_report(gate_scope(prod_new, prod_old, "ProductId"), PRODUCT_TABLE, PRODUCT_GATE)))
         reports.append(("new_products", Q.row_count(prod_new, "product")))
-
-        ret_old = wh.read_retailer(spark)
-        ret_cand = retailer_candidates(enriched, delivery, bid_carry)
-        ret_new = keep(new_members(ret_cand, ret_old, "RetailerName", "RetailerId", ts, batch_id, wide, bid_col))
-        reports.append(("retailer", Q.gate_report(merge_dim(ret_old, ret_new), RETAILER_TABLE, RETAILER_GATE)))
+        reports.append(("retailer", Q.gate_report(gate_scope(ret_new, ret_old, "RetailerId"), RETAILER_TABLE, RETAILER_GATE)))
         reports.append(("new_retailers", Q.row_count(ret_new, "retailer")))
 
-        resolved = resolve_keys(enriched, wh.read_date(spark), wide, [c for c in (delivery, bid_col) if c])
+        resolved = resolve_keys(rows, wh.read_date(spark), width, [c for c in (delivery, bid_col) if c], None if exceptions.isEmpty() else exceptions)
         touched = touched_date_ids(resolved)
         existing = wh.read_sales(spark).where(F.col("DateId").isin(touched))
-        merged = keep(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col))
+        merged = staged(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col, data_source), "merged")
         reports.append(("sales", Q.gate_report(merged, SALES_TABLE, SALES_GATE)))
+        for label, dim, new, id_col in ((PRODUCT_TABLE, prod_old, prod_new, "ProductId"), (RETAILER_TABLE, ret_old, ret_new, "RetailerId")):
+            held = dim.select(id_col).unionByName(new.select(id_col))
+            lost = orphans(merged.where("_action <> 'keep'"), held, id_col)
+            reports.append((f"orphan_{id_col}", Q.none_left(lost, id_col, f"ETL: {SALES_TABLE} - {id_col} must be in the {label}")))
 
         # Every gate of every table in one job; the first failure in check order stops the load.
-        rows = Q.run_reports(reports)
-        Q.raise_first(rows)
-        counts = {r["name"]: r["violations"] for r in rows if r["check"] == "rows"}
-        n_prod, n_ret, n_batches = counts["new_products"], counts["new_retailers"], counts.get("new_batches", 0)
-
-        if n_prod:
-            write_table(prod_new, wh.product, "append")
-        if n_ret:
-            write_table(ret_new, wh.retailer, "append")
-        if n_batches:
-            write_table(new_batches, wh.batch, "append")
-        fact_rows = fact_table_rows(merged)
-        if len(touched) > REBALANCE_ABOVE_PARTITIONS:
-            fact_rows = fact_rows.hint("rebalance", "DateId")
-        write_table(fact_rows, wh.sales, "partitions", "DateId")
-        return LoadResult(touched, n_prod, n_ret, n_batches)
+        found = Q.run_reports(reports)
+        Q.raise_first(found)
+        counts = {r["name"]: r["violations"] for r in found if r["check"] == "rows"}
+        written = touched_date_ids(merged.where(F.col("_action").isin("insert", "update")))
+        publish(spark, wh, run)
+        return LoadResult(touched, written, counts["new_products"], counts["new_retailers"], n_batches)
     finally:
         for df in kept:
             df.unpersist()
@@ -176,12 +175,12 @@ def run_weekly(
     path: str,
     batch_ts: _dt.datetime | str | None = None,
     data_source: str = DATA_SOURCE_MAT,
-    wide: bool = False,
+    bits: int | None = None,
 ) -> LoadResult:
-    """Scan one weekly extract folder, register it as a batch, and load it."""
+    """Scan one weekly extract folder, register it as a batch (with or without rows), and load it."""
     rows = read_extract(spark, path, with_file_path=True)
     rows = rows.withColumn("_folder", delivery_folder("file_path")).drop("file_path")
-    return load_batch(spark, wh, rows, batch_ts, folder="_folder", data_source=data_source, wide=wide)
+    return load_batch(spark, wh, rows, batch_ts, folder="_folder", folders=delivery_folders(spark, path), data_source=data_source, bits=bits)
 
 
 def backfill(
@@ -190,15 +189,16 @@ def backfill(
     root: str,
     batch_ts: _dt.datetime | str | None = None,
     data_source: str = DATA_SOURCE_MAT,
-    wide: bool = False,
+    bits: int | None = None,
+    folders: list[str] | None = None,
 ) -> LoadResult:
-    """Load every delivery folder under ``root`` in one pass.
+    """Load every delivery folder under ``root`` (or the given ones of them) in one pass.
 
-    Equal in table contents to loading the folders one by one in date
-    order: for a fact key the latest delivery wins; a dimension member
-    counts from its first delivery only.  (Audit times are those of this one
-    run.)  Unlike week-by-week loading, a bad delivery stops the whole run,
-    not just the weeks after it.
+    Equal to loading the folders one by one in date order, audit ids included: a
+    fact key's deliveries are applied in order, and a dimension member counts from
+    its first delivery.  Audit times are those of this one run.  Unlike
+    week-by-week loading, a bad delivery stops the whole run.
     """
-    rows = read_deliveries(spark, root).withColumn("_folder", delivery_folder(F.col("file_path"))).drop("file_path")
-    return load_batch(spark, wh, rows, batch_ts, delivery=DELIVERY_COLUMN, folder="_folder", data_source=data_source, wide=wide)
+    rows = read_deliveries(spark, root, folders).withColumn("_folder", delivery_folder(F.col("file_path"))).drop("file_path")
+    given = delivery_folders(spark, folders or root)
+    return load_batch(spark, wh, rows, batch_ts, delivery=DELIVERY_COLUMN, folder="_folder", folders=given, data_source=data_source, bits=bits)

@@ -31,7 +31,7 @@ AUDIT = ["CreatedTime", "CreatedByBatchId", "UpdatedTime", "UpdatedByBatchId"]
 # Sales are read straight into DECIMAL(13,2) so no pence are lost in a float.
 EXTRACT_CSV = StructType(
     [
-        StructField("SKU", IntegerType()),
+        StructField("SKU", LongType()),
         StructField("Retailer", StringType()),
         StructField("Week Ending", DateType()),
         StructField("Units", DoubleType()),
@@ -39,20 +39,9 @@ EXTRACT_CSV = StructType(
     ]
 )
 
-# Weekly extract after the scan (and as produced from transaction tables).
-EXTRACT = StructType(
-    [
-        StructField("SKU", IntegerType()),
-        StructField("Retailer", StringType()),
-        StructField("Week Ending", DateType()),
-        StructField("Units", IntegerType()),
-        StructField("Sales", MONEY),
-    ]
-)
-
 SKU_MAPPER = StructType(
     [
-        StructField("SKU", IntegerType()),
+        StructField("SKU", LongType()),
         StructField("Retailer", StringType()),
         StructField("Description", StringType()),
         StructField("ProductType", StringType()),
@@ -89,7 +78,7 @@ SALES = StructType(
         StructField("ProductId", LongType()),
         StructField("RetailerId", LongType()),
         StructField("DataSource", StringType()),
-        StructField("SKU", IntegerType()),
+        StructField("SKU", LongType()),
         StructField("UnitsSold", IntegerType()),
         StructField("SalesAmount", MONEY),
         *_AUDIT_FIELDS,
@@ -121,3 +110,12 @@ BATCH = StructType(
         StructField("FilePath", StringType()),
     ]
 )
+
+# Members whose id isn't the plain function of their name (see functions.keys).
+KEY_EXCEPTIONS = StructType(
+    [StructField("Kind", StringType()), StructField("Name", StringType()), StructField("Id", LongType())]
+)
+
+# Stored properties of a warehouse, and the log of its publishing runs.
+PROPERTIES = StructType([StructField("Name", StringType()), StructField("Value", LongType())])
+RUNS = StructType([StructField("Run", StringType()), StructField("State", StringType())])

@@ -45,8 +45,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_root(spark: SparkSession) -> str:
     """Root of the shared scratch folder (``spark.checkpoint.dir``).
 
-    Read from the session; only an unset value (local tests) gets a
-    folder of our own, which is then registered as the checkpoint dir so
+    Read from the session; only an unset value in a session with a local master
+    gets a folder of our own, which is then registered as the checkpoint dir so
     that ``DataFrame.checkpoint`` lands in the same place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +55,8 @@ def shared_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # no SparkContext handle (e.g. a remote session)
             root = None
+    if not root and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TILLROLL_LOCAL_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)

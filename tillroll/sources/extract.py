@@ -13,7 +13,7 @@ spread over several tasks and files instead of being forced into one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -49,8 +49,14 @@ def read_extract(spark: SparkSession, path: str | list[str], with_file_path: boo
     )
 
 
-def read_deliveries(spark: SparkSession, root: str) -> DataFrame:
-    """Scan every weekly delivery folder under ``root`` in one pass.
+def delivery_folders(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(FilePath) of every folder with extract files under ``path``, from the file listing: also files without rows."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(path)
+    return files.select(F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "").alias("FilePath")).distinct()
+
+
+def read_deliveries(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
+    """Scan every weekly delivery folder under ``root`` (or the given ones of them) in one pass.
 
     Adds ``week`` (DATE), the delivery the row came in, from the folder
     name; used to decide which delivery wins for a key (latest).
@@ -63,7 +69,7 @@ def read_deliveries(spark: SparkSession, root: str) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("basePath", root)
         .schema(schema)
-        .load(root)
+        .load(folders or root)
     )
     return raw.select(
         "SKU",
@@ -76,7 +82,7 @@ def read_deliveries(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def export_extract(df: DataFrame, root: str, delivery: str | None = None, partitions: int | None = None) -> None:
+def export_extract(df: DataFrame, root: str, delivery: str | None = None) -> None:
     """Write an extract as CSV folders, one per delivery week.
 
     ``delivery`` names a DATE column giving the delivery week of each row
@@ -85,7 +91,6 @@ def export_extract(df: DataFrame, root: str, delivery: str | None = None, partit
     holds more than its range, however uneven the weeks are.
     """
     week = F.col(delivery) if delivery else F.col("Week Ending")
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.select(
         F.date_format(week, "yyyy-MM-dd").alias(DELIVERY_COLUMN),
         "SKU",
@@ -95,7 +100,7 @@ def export_extract(df: DataFrame, root: str, delivery: str | None = None, partit
         "Sales",
     )
     (
-        out.repartitionByRange(n, DELIVERY_COLUMN, "Retailer", "SKU")
+        out.repartitionByRange(DELIVERY_COLUMN, "Retailer", "SKU")
         .sortWithinPartitions(DELIVERY_COLUMN, "Retailer", "SKU")
         .write.mode("overwrite")
         .partitionBy(DELIVERY_COLUMN)
@@ -105,6 +110,21 @@ def export_extract(df: DataFrame, root: str, delivery: str | None = None, partit
     )
 
 
+def read_export_order(spark: SparkSession, root: str) -> DataFrame:
+    """Each data line of exported files with its place in its file, and the place its sort key gives it there."""
+    files = spark.read.text(root + "/*/*.csv", wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.split(F.rtrim(F.col("value")), "\\R").alias("lines")
+    )
+    lines = files.select(
+        "file",
+        F.posexplode(F.filter("lines", lambda x: ~x.startswith("SKU,") & (x != ""))).alias("place", "line"),
+    )
+    cells = F.split("line", ",")
+    key = Window.partitionBy("file").orderBy(F.get(cells, 1), F.get(cells, 0).cast("long"))
+    folder = F.regexp_extract("file", r"/(week=[^/]+)/[^/]+$", 1)
+    return lines.select(folder.alias("folder"), "line", "place", (F.row_number().over(key) - 1).alias("expected"))
+
+
 def read_extract_lines(spark: SparkSession, root: str) -> DataFrame:
     """Data lines of exported CSV files, with their delivery folder (headers dropped)."""
     text = spark.read.text(root + "/*/*.csv").select(

@@ -3,7 +3,7 @@
 Mapping (one row of the weekly extract = one supplier's sales of one part in
 one week):
 
-* ``SKU``         = ``l_partkey`` (unique within a retailer; fits INT)
+* ``SKU``         = ``l_partkey`` (unique within a retailer)
 * ``Retailer``    = ``s_name`` of ``l_suppkey``
 * ``Week Ending`` = Sunday on or after ``l_shipdate``
 * ``Units``       = ``sum(l_quantity)`` as INT
@@ -88,7 +88,7 @@ def weekly_extract(
     )
     sup = supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("Retailer"))
     return grain.join(sup, "l_suppkey", "left").select(
-        F.col("l_partkey").try_cast("int").alias("SKU"),
+        F.col("l_partkey").cast("long").alias("SKU"),
         "Retailer",
         F.col("week").alias("Week Ending"),
         F.col("units").try_cast("int").alias("Units"),
@@ -108,7 +108,7 @@ def sku_mapper(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> Dat
     return (
         pairs.join(prt, "l_partkey", "inner")
         .join(sup, "l_suppkey", "inner")
-        .select(F.col("l_partkey").try_cast("int").alias("SKU"), "Retailer", "Description", "ProductType")
+        .select(F.col("l_partkey").cast("long").alias("SKU"), "Retailer", "Description", "ProductType")
     )
 
 
@@ -137,5 +137,5 @@ def mapper_for(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[_dt.date, _dt.date]:
     """[1 Jan of the first shipping year, 1 Jan after the last) - one tiny aggregate."""
     (lineitem,) = _tables(spark, sf_dir, "lineitem")
-    row = lineitem.agg(F.min(F.year("l_shipdate")).alias("lo"), F.max(F.year("l_shipdate")).alias("hi")).first()
-    return _dt.date(row["lo"], 1, 1), _dt.date(row["hi"] + 1, 1, 1)
+    row = lineitem.agg(F.to_date(F.min("l_shipdate")).alias("lo"), F.to_date(F.max("l_shipdate")).alias("hi")).first()
+    return _dt.date(row["lo"].year, 1, 1), _dt.date(row["hi"].year + 1, 1, 1)

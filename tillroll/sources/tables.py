@@ -6,8 +6,9 @@ Write modes never destroy what they read:
                  are added; a failed job commits nothing.
 * ``partitions`` - the fact: ``partitionBy("DateId")`` with dynamic
                  partition overwrite; only the partitions present in the
-                 frame are replaced, at job commit, after every task has read
-                 the old files.  Re-running a failed load is safe.
+                 frame are replaced, at job commit.  A job killed within its
+                 commit can leave a partition out: ``plans.publish`` applies
+                 staged rows again until they are all there.
 * ``overwrite`` - whole-table rebuild from sources other than the target
                  (date dimension, published lookups); refused when the plan
                  reads the target path.
@@ -100,39 +101,65 @@ class Warehouse:
 
     @property
     def product(self) -> str:
-        return f"{self.root}/edw/retail_sales/product"
+        return f"{self.root}/tables/product"
 
     @property
     def retailer(self) -> str:
-        return f"{self.root}/edw/retail_sales/retailer"
+        return f"{self.root}/tables/retailer"
 
     @property
     def sales(self) -> str:
-        return f"{self.root}/edw/retail_sales/sales"
+        return f"{self.root}/tables/sales"
 
     @property
     def date(self) -> str:
-        return f"{self.root}/edw/retail_sales/date"
+        return f"{self.root}/tables/date"
 
     @property
     def sku_mapper(self) -> str:
-        return f"{self.root}/edw/etl/sku_mapper"
+        return f"{self.root}/lookups/sku_mapper"
 
     @property
     def sku_mapper_raw(self) -> str:
-        return f"{self.root}/raw/internal/marketing/sku_mapper"
+        return f"{self.root}/lookups/sku_mapper_raw"
 
     @property
     def batch(self) -> str:
-        return f"{self.root}/edw/control/retail_sales/batch"
+        return f"{self.root}/control/batch"
 
     @property
-    def raw_extracts(self) -> str:
-        return f"{self.root}/raw/external/mat/retail_sales"
+    def key_exceptions(self) -> str:
+        return f"{self.root}/control/key_exceptions"
+
+    @property
+    def properties(self) -> str:
+        return f"{self.root}/control/properties"
 
     @property
-    def staging(self) -> str:
-        return f"{self.root}/staging"
+    def runs(self) -> str:
+        return f"{self.root}/control/runs"
+
+    @property
+    def raw_extracts(self) -> str:
+        return f"{self.root}/deliveries"
+
+    def stage(self, run: str) -> str:
+        """Folder of one run's rows before they are published."""
+        return f"{self.root}/staging/{run}"
+
+    def key_bits(self, spark: SparkSession, wanted: int | None, default: int) -> int:
+        """Id width of this warehouse, stored when it is first used; another ``wanted`` one is refused."""
+        stored = read_or_empty(spark, self.properties, schemas.PROPERTIES).where("Name = 'key_bits'").select("Value").first()
+        if stored is None:
+            bits = wanted or default
+            write_table(spark.createDataFrame([("key_bits", bits)], schemas.PROPERTIES), self.properties, "append")
+            return bits
+        if wanted and wanted != stored["Value"]:
+            raise ValueError(f"the warehouse has ids of {stored['Value']} bits, not {wanted}")
+        return int(stored["Value"])
+
+    def read_key_exceptions(self, spark: SparkSession) -> DataFrame:
+        return read_or_empty(spark, self.key_exceptions, schemas.KEY_EXCEPTIONS)
 
     def read_product(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.product, schemas.PRODUCT)

@@ -1,16 +1,15 @@
 """Weekly deliveries as a stream: new extract files are loaded as they arrive.
 
-The weekly arrival loop (one load per delivered folder) expressed with
-Structured Streaming: a CSV file source over the delivery root (folders
-``week=<yyyy-MM-dd>``), and ``foreachBatch`` running the same load as
-``plans.weekly_load.backfill`` on each micro-batch.  Within a micro-batch the
-latest delivery of a key wins; across micro-batches the later batch wins.
+A CSV file source over the delivery root (folders ``week=<yyyy-MM-dd>``) tells
+which folders have new files; ``foreachBatch`` then loads those folders whole,
+as ``plans.weekly_load.backfill`` does, so a delivery whose files arrive in
+several micro-batches is judged as one delivery.  A delivery older than some that
+are loaded already is applied before them: the later folders are loaded again
+behind it, so the outcome is that of the deliveries' order, not of their arrival.
 
 Exactly-once in effect: a micro-batch re-run after a failure loads the same
-rows again, which changes nothing (replay leaves unchanged rows and their
-audit as they are, and a folder is registered in the batch log only once).
-The stream's checkpoint lives under the shared folder named by
-``spark.checkpoint.dir``.
+folders again, which changes nothing.  The stream's checkpoint lives under the
+shared folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -22,35 +21,37 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from .. import schemas
 from ..operators.batches import delivery_folder
-from ..plans.weekly_load import load_batch
+from ..plans.weekly_load import LoadResult, backfill
 from ..session import shared_root
-from ..sources.extract import DELIVERY_COLUMN, EXTRACT_SCAN_DATE_FORMAT
+from ..sources.extract import DELIVERY_COLUMN, EXTRACT_SCAN_DATE_FORMAT, delivery_folders
 from ..sources.tables import Warehouse
-from ..functions.money import to_money, to_units
 
 
-def delivery_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the delivery folders (same parsing rules as the batch scan)."""
+def arrived_folders(spark: SparkSession, root: str) -> DataFrame:
+    """Streaming (FilePath): the delivery folder of each row that arrives."""
     schema = StructType([*schemas.EXTRACT_CSV.fields, StructField(DELIVERY_COLUMN, DateType())])
-    reader = (
+    raw = (
         spark.readStream.format("csv")
         .option("header", "true")
         .option("dateFormat", EXTRACT_SCAN_DATE_FORMAT)
         .option("mode", "PERMISSIVE")
         .schema(schema)
+        .load(root)
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.load(root)
-    return raw.select(
-        "SKU",
-        "Retailer",
-        "Week Ending",
-        to_units("Units").alias("Units"),
-        to_money("Sales").alias("Sales"),
-        F.col(DELIVERY_COLUMN),
-        delivery_folder(F.col("_metadata.file_path")).alias("_folder"),
-    )
+    return raw.select(delivery_folder(F.col("_metadata.file_path")).alias("FilePath"))
+
+
+def load_arrived(spark: SparkSession, wh: Warehouse, root: str, arrived: list[str], batch_ts=None) -> LoadResult | None:
+    """Load the given folders, those of ``root`` that were never registered, and again all loaded ones behind the first of them.
+
+    Folder names sort by their date.  One row a delivery reaches the driver.
+    """
+    every = sorted(r.FilePath for r in delivery_folders(spark, root).collect())
+    known = {r.FilePath for r in wh.read_batches(spark).select("FilePath").collect()}
+    new = [f for f in every if f in arrived or f not in known]
+    if not new:
+        return None
+    return backfill(spark, wh, root, batch_ts, folders=[f for f in every if f >= new[0]])
 
 
 def start_arrivals(
@@ -60,21 +61,15 @@ def start_arrivals(
     name: str | None = "weekly_arrivals",
     checkpoint: str | None = None,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start loading deliveries under ``root`` into ``wh``; returns the running query."""
     location = checkpoint or f"{shared_root(spark)}/tillroll/streams/{name or 'weekly_arrivals'}"
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        load_batch(batch.sparkSession, wh, batch, delivery=DELIVERY_COLUMN, folder="_folder")
+        arrived = [r.FilePath for r in batch.distinct().collect()]
+        load_arrived(batch.sparkSession, wh, root, arrived)
 
-    writer = (
-        delivery_stream(spark, root, max_files_per_trigger)
-        .writeStream.option("checkpointLocation", location)
-        .foreachBatch(load)
-    )
+    writer = arrived_folders(spark, root).writeStream.option("checkpointLocation", location).foreachBatch(load)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
