@@ -44,7 +44,8 @@ def wide_key(name: Column | str, bits: int = WIDE_BITS, salt: int = 0) -> Column
     """Non-negative id of ``bits`` bits (63 at most) from two hashes of the name."""
     text = _salted(name, salt)
     high = F.hash(text).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-    low = F.hash(F.concat(text, F.lit("*"))).cast("long").bitwiseAND(F.lit(0x7FFFFFFF))
+    # a mark before the text: after it, texts that share the first hash could share the second
+    low = F.hash(F.concat(F.lit("*"), text)).cast("long").bitwiseAND(F.lit(0x7FFFFFFF))
     key = F.shiftleft(high, 31).bitwiseOR(low)
     return key if bits >= WIDE_BITS else key.bitwiseAND(F.lit((1 << bits) - 1))
 

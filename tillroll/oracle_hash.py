@@ -76,5 +76,5 @@ def wide_key_sql(name_expr: str) -> str:
     """DuckDB twin of ``functions.keys.wide_key`` (63 bits)."""
     salted = f"({name_expr}) || ' Product'"
     high = f"((CAST({spark_hash_sql(salted)} AS BIGINT) + {_M}) % {_M})"
-    low = f"((CAST({spark_hash_sql(salted + chr(32) + '|| ' + chr(39) + '*' + chr(39))} AS BIGINT) + {_M}) % {_M // 2})"
+    low = f"((CAST({spark_hash_sql(chr(39) + '*' + chr(39) + ' || ' + salted)} AS BIGINT) + {_M}) % {_M // 2})"
     return f"({high} * {_M // 2} + {low})"
