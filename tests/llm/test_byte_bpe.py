@@ -38,27 +38,18 @@ def test_empty_table(spark, tmp_root):
     assert B.op1_byte_bpe(spark, folder(spark, tmp_root, [])).count() == 0
 
 
-@pytest.mark.parametrize("ordered", [True, False])
-def test_folds_agree_with_the_library(spark, ranks, reference, ordered):
-    """The pass in rank order, the general fold and the fold of long pieces give the same ids."""
+def test_folds_agree_with_the_library(spark, ranks, reference):
+    """The fold and that of long pieces give the same ids."""
     r = rng(1)
     words = ["a" * n for n in (1, 2, 7, 61, 63, 130)] + ["".join(r.choice("abcehinorst é") for _ in range(n)) for n in range(1, 40)]
     words += ["".join(r.choice("ab") for _ in range(600)), "the" * 300, "=" * 700]
     vocabulary = B.Vocabulary(spark, ranks)
-    assert vocabulary.ordered
-    vocabulary.ordered = ordered
     frame = spark.createDataFrame([(w,) for w in words], "w string")
-    got = B.project(frame, "ids", lambda ranks: B.Merges(ranks, vocabulary).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
+    got = B.project(frame, "ids", lambda ranks: B.Merges(ranks).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
     for row in got.collect():
         assert row.ids == reference._encode_single_piece(row.w.encode()), row.w
 
 
-def test_a_vocabulary_out_of_order_is_noticed():
-    ranks = {b"a": 0, b"b": 1, b"c": 2, b"ab": 5, b"abc": 3}
-    assert not B.merges_in_order(ranks)
-    assert B.merges_in_order({b"a": 0, b"b": 1, b"c": 2, b"ab": 3, b"abc": 5})
-
-
 def test_decode_is_the_inverse(spark, ranks):
     vocabulary = B.Vocabulary(spark, ranks)
     docs = documents(spark, odd_rows(), clash=True).drop("ids")

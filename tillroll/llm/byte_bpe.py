@@ -31,10 +31,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: No pair to join; above every rank.
 NONE = 2**31 - 1
 LONG_PIECE = 512
-#: Bytes of a piece whose places fit a long.
-MASK_BYTES = 62
 #: Pieces encoded ahead, and the share of documents (one in so many) that picks them.
-HEAD = 150_000
+HEAD = 200_000
 HEAD_ONE_IN = 16
 BUCKETS = 1 << 16
 
@@ -64,7 +62,6 @@ class Vocabulary:
     """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        self.ordered, self.longest = merges_in_order(ranks), max(map(len, ranks), default=1)
         self.ranks = _in_buckets(spark.createDataFrame([(bytearray(k), v) for k, v in ranks.items()], "k binary, v int"), "k", "v")
         pieces = [""] * (max(ranks.values(), default=-1) + 1)
         for k, v in ranks.items():
@@ -99,9 +96,8 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str =
 class Merges:
     """The fold of ranked merges, over a rank map in buckets."""
 
-    def __init__(self, ranks: Column, vocabulary: Vocabulary):
+    def __init__(self, ranks: Column):
         self._map = ranks
-        self._ordered, self._longest = vocabulary.ordered, vocabulary.longest
 
     def rank(self, piece: Column) -> Column:
         """Rank of a byte string, ``NONE`` if it has none."""
@@ -191,61 +187,8 @@ class Merges:
 
         whole = self.rank(piece)
         found = F.when(whole != NONE, F.array(whole))
-        if self._ordered:
-            found = found.when(F.octet_length(piece) <= MASK_BYTES, self._fold_in_order(piece))
         return found.when(F.octet_length(piece) <= LONG_PIECE, run(self._join)).otherwise(run(self._join_all))
 
-    def _fold_in_order(self, piece: Column) -> Column:
-        """The same for a vocabulary whose merges always come in rank order (``merges_in_order``).
-
-        One pass over the piece's ranked substrings, best first, folds a mask of
-        the places between parts: a substring that is just two parts now is
-        joined by clearing the place between them.
-        """
-        n, one = F.octet_length(piece), F.lit(1).cast("long")
-
-        def bit(i: Column) -> Column:
-            return F.call_function("shiftleft", one, i)
-
-        def spans(i: Column) -> Column:  # rank << 12 | from << 6 | to
-            ends = F.sequence(i + 2, F.least(n, i + self._longest))
-            ranked = F.transform(ends, lambda j: F.shiftleft(self.rank(F.substring(piece, i + 1, j - i)).cast("long"), 12) + 64 * i + j)
-            return F.filter(ranked, lambda c: c < NONE * 4096)
-
-        def join(mask: Column, c: Column) -> Column:
-            i, j = F.shiftright(c, 6).bitwiseAND(F.lit(63)).cast("int"), c.bitwiseAND(F.lit(63)).cast("int")
-            ends = bit(i).bitwiseOR(bit(j))
-            span = mask.bitwiseAND(2 * bit(j) - bit(i))
-            return F.when((F.bit_count(span) == 3) & (span.bitwiseAND(ends) == ends), mask - span + ends).otherwise(mask)
-
-        ranked = F.sort_array(F.flatten(F.transform(F.sequence(F.lit(0), n - 2), spans)))
-        places = let(
-            F.aggregate(ranked, 2 * bit(n) - 1, join),
-            lambda mask: F.filter(F.sequence(F.lit(0), n), lambda i: F.getbit(mask, i) == 1),
-        )
-        return let(
-            places,
-            lambda p: F.transform(
-                F.slice(p, F.lit(1), F.size(p) - 1), lambda i, k: self.rank(F.substring(piece, i + 1, F.get(p, k + 1) - i))
-            ),
-        )
-
-
-def merges_in_order(ranks: dict[bytes, int]) -> bool:
-    """Whether every entry comes from its own bytes by merges of ascending rank.
-
-    Then so does every text: a pair that could be joined after one of a higher
-    rank would be an entry whose own merges go down in rank.
-    """
-    for token, rank in ranks.items():
-        parts, last = [token[i : i + 1] for i in range(len(token))], -1
-        while len(parts) > 1:
-            best, i = min((ranks.get(parts[i] + parts[i + 1], NONE), i) for i in range(len(parts) - 1))
-            if best == NONE or best < last:
-                return False
-            last, parts[i : i + 2] = best, [parts[i] + parts[i + 1]]
-    return True
-
 
 def split_text(text: Column, pattern: str = public_tokenizers.PATTERN) -> Column:
     """The pattern's matches; (?U) gives \\s its Unicode meaning."""
@@ -295,7 +238,7 @@ def encode(
     something else of the ids before they reach a row.
     """
     ahead = common_pieces(docs, text, head, one_in).repartition(16, "w")
-    folded = project(ahead, "v", lambda ranks: Merges(ranks, vocabulary).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
+    folded = project(ahead, "v", lambda ranks: Merges(ranks).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
     known = _in_buckets(folded, "w", "v")
 
     def ids_of(words, done, merges):
@@ -312,7 +255,7 @@ def encode(
     words = split_text(F.col(text), pattern)
 
     def body(ranks, done, **rest):
-        ids = let(words, lambda w: ids_of(w, done, Merges(ranks, vocabulary)))
+        ids = let(words, lambda w: ids_of(w, done, Merges(ranks)))
         return let(ids, lambda i: digest(i, **rest)) if digest else ids
 
     return project(docs, into, body, ranks=vocabulary.ranks, done=known, **values)
