@@ -44,11 +44,10 @@ def main() -> None:
     out = ["# Physical plans (sf %s, local[8], AQE on; initial plans before runtime re-planning)\n" % sf.rsplit("sf", 1)[-1],
            "Generated by `python tools/plans.py`.  Only the operator tree and the scan / exchange / join lines are kept.\n",
            "Reading notes: dimensions and the SKU mapper appear as broadcast joins here only because their Parquet size is\n"
-           "under Spark's broadcast threshold at this scale (the planner's own size check; explicit `broadcast()` is used only\n"
-           "for the calendar and batch ids after a row-count check).  With a 20M-row product dimension the view's product\n"
-           "join is a sort-merge join, and adaptive skew handling splits a hot product.  The merge has exactly one\n"
-           "exchange (hash on the fact key) between a partial and a final aggregate, above the touched-partition\n"
-           "scan (`PartitionFilters`).\n"]
+           "under Spark's broadcast threshold at this scale (explicit `broadcast()` is used only for the calendar and a run's\n"
+           "batch ids).  With a 20M-row product dimension the view's product join is a sort-merge join, and adaptive skew\n"
+           "handling splits a hot product.  The merge reduces the batch (partial and final aggregate around one exchange),\n"
+           "whose order then serves the full outer join with the touched partitions (`PartitionFilters`).\n"]
     for title, df in items:
         out.append(f"## {title}\n\n```\n{summary(df)}\n```\n")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
