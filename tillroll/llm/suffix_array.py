@@ -44,6 +44,8 @@ WIDTH = REACH + LENGTH
 PASSES = 4
 #: Bytes of text a task works on at once; longer texts are worked on in overlapping pieces.
 SEGMENT = 8 << 20
+#: Windows whose hashes a task holds at once.
+STEP = 1 << 18
 #: Words of eight bytes that the multikey quicksort looks at.
 SHALLOW = 3
 _LOW = np.uint64((1 << 24) - 1)
@@ -52,54 +54,67 @@ _LOW = np.uint64((1 << 24) - 1)
 # -- anchors -----------------------------------------------------------------
 
 
-def _hashes(b: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ``GRAM`` (8 + 4) bytes at each position."""
-    n = len(b) - GRAM + 1
-    h = np.ndarray((n,), "<u8", b, 0, (1,)) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= np.ndarray((n,), "<u4", b, 8, (1,)) * np.uint64(0xC2B2AE3D27D4EB4F)
+def _mixed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    h = low * np.uint64(0x9E3779B97F4A7C15)
+    h ^= high * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
     return h
 
 
-def anchors(b: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor, first window, last window, hash) of each run of windows with one anchor.
+def _grams(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``GRAM`` (8 + 4) bytes at each position as two numbers, without a copy."""
+    n = len(b) - GRAM + 1
+    return np.ndarray((n,), "<u8", b, 0, (1,)), np.ndarray((n,), "<u4", b, 8, (1,))
 
-    ``bounds``: where each text begins in ``b``, and the end.
-    """
-    none = np.zeros(0, np.int64)
-    if len(b) < LENGTH:
-        return none, none, none, np.zeros(0, np.uint64)
-    h = _hashes(b)
-    least = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
+
+def _least(b: np.ndarray) -> np.ndarray:
+    """For each window, the position of its smallest hash (the leftmost of equal ones)."""
+    h = _mixed(*_grams(b))
+    h &= ~_LOW
+    h |= np.arange(len(h), dtype=np.uint64)
     width = REACH + 1
     span = 1
     while span * 2 <= width:
-        least = np.minimum(least[:-span], least[span:])
+        h = np.minimum(h[:-span], h[span:])
         span *= 2
     if span < width:
-        least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-    valid = np.ones(len(least), bool)
+        h = np.minimum(h[: len(h) - (width - span)], h[width - span :])
+    h &= _LOW
+    return h
+
+
+def anchors(b: np.ndarray, bounds: np.ndarray, step: int = STEP) -> tuple[np.ndarray, ...]:
+    """(anchor, first window, last window, hash) of each run of windows with one anchor.
+
+    ``bounds``: where each text begins in ``b``, and the end.  Hashes are held for
+    ``step`` windows at a time, and four bytes of result for every window.
+    """
+    n = max(0, len(b) - LENGTH + 1)
+    p = np.empty(n, np.int32)
+    for a in range(0, n, step):
+        z = min(n, a + step)
+        p[a:z] = _least(b[a : z + LENGTH - 1])
+        p[a:z] += a
+    valid = np.ones(n, bool)
     for end in bounds[1:-1]:  # windows that would cross into the next text
         valid[max(0, end - LENGTH + 1) : end] = False
-    at = np.nonzero(valid)[0]
-    if not len(at):
-        return none, none, none, np.zeros(0, np.uint64)
-    p = (least[at] & _LOW).astype(np.int64)
-    first = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(p) != 0)])
-    start = np.nonzero(first)[0]
-    last = np.append(start[1:], len(at)) - 1
-    return p[start], at[start], at[last], h[p[start]]
+    new = np.ones(n + 1, bool)  # a run begins here, or the windows end
+    new[1:n] = (p[1:] != p[:-1]) | (valid[1:] != valid[:-1])
+    first = np.nonzero(new[:n] & valid)[0]
+    last = np.nonzero(new[1:] & valid)[0]
+    p = p[first].astype(np.int64)
+    return p, first, last, _mixed(*(x[p] for x in _grams(b))) if len(p) else np.zeros(0, np.uint64)
 
 
 def contexts(b: np.ndarray, p: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
     """Bytes around each anchor that its windows reach, zero elsewhere, and how many there are before and from it."""
-    before, after = p - first, last + LENGTH - p
-    offset = np.arange(-REACH, LENGTH)
-    c = b[np.clip(p[:, None] + offset, 0, len(b) - 1)]
-    c[(offset < -before[:, None]) | (offset >= after[:, None])] = 0
-    return c, before.astype(np.uint8), after.astype(np.uint8)
+    before, after = (p - first).astype(np.uint8), (last + LENGTH - p).astype(np.uint8)
+    c = np.lib.stride_tricks.sliding_window_view(np.pad(b, (REACH, LENGTH)), WIDTH)[p]
+    place = np.arange(WIDTH, dtype=np.uint8)
+    c[(place < REACH - before[:, None]) | (place >= REACH + after[:, None])] = 0
+    return c, before, after
 
 
 def same_rows(c: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
