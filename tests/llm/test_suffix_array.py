@@ -87,3 +87,13 @@ def test_deep_shallow_sorts_with_common_prefixes(strings, shallow):
     for k in range(1, len(out)):
         want = next((p for p in range(50) if out[k][p] != out[k - 1][p]), 50)
         assert lcp[k] == want
+
+
+def test_anchors_are_the_same_for_any_step():
+    r = np.random.default_rng(3)
+    for n, letters in ((0, 2), (49, 2), (50, 2), (51, 2), (4000, 1), (4000, 3)):
+        b = r.integers(97, 97 + letters, n).astype(np.uint8)
+        bounds = np.sort(np.concatenate([[0, n], r.integers(0, n + 1, 5)]))
+        whole = S.anchors(b, bounds)
+        for step in (1, 37, 1000):
+            assert all((x == y).all() for x, y in zip(whole, S.anchors(b, bounds, step), strict=True))
