@@ -72,3 +72,39 @@ def test_no_labels_and_empty_table(spark, tmp_root):
     model = L.train(unlabelled)
     assert {r.lang_pred for r in L.predict(unlabelled, model, ["doc_id"]).collect()} == {"und"}
     assert L.op6_language_id(spark, folder(spark, tmp_root, [])).count() == 0
+
+
+def test_copies_neither_hide_nor_fill_a_language(spark):
+    """Languages of few distinct texts with many copies each keep all of them; one large group takes one place."""
+    r = rng(11)
+    common = [(i, text(r, "en", 30), "en", "s", 0) for i in range(60)] + [(100 + i, "copied the thing wher", "en", "s", 0) for i in range(400)]
+    few = [(f"l{k:02d}", f"wort{k} {j} " + text(r, "de", 8)) for k in range(30) for j in range(2)]
+    rare = [(1000 + i, t, l, "s", 0) for i, (l, t) in enumerate(few * 20)]
+    seen = []
+    fit, L.fit = L.fit, lambda rows: seen.extend(rows) or fit([])
+    try:
+        L.train(documents(spark, common + rare).repartition(5), per_language=4)
+    finally:
+        L.fit = fit
+    taken = [x for x in seen if x[1] != "en"]
+    assert sorted(taken) == sorted({(t, l) for l, t in few})
+    assert len([x for x in seen if x[1] == "en"]) == 4 and len(seen) == len(set(seen))
+
+
+def test_long_texts_are_trained_on_by_an_excerpt(spark):
+    r = rng(12)
+    short = [(i, text(r, "en", 40), "en", "s", 0) for i in range(30)]
+    long = [(100 + i, "12 %% " * 5_000 + text(r, "fr", 9_000), "fr", "s", 0) for i in range(30)]
+    assert all(len(x[1]) > L.SAMPLE_CHARS for x in long)
+    model = L.train(documents(spark, short + long))
+    assert model.languages == ["en", "fr"]
+    assert L.classify(model, [text(r, "fr", 50)])[0] == ["fr"]
+
+
+def test_no_language_is_only_held_for_calibration(monkeypatch):
+    r = rng(13)
+    alone = {(f"kw{k}ma nzo{k}ro " * 12, f"l{k}") for k in range(12)}
+    held = []
+    monkeypatch.setattr(L, "_calibrated", lambda model, rows: held.extend(rows) or model)
+    L.fit([(text(r, "en", 30), "en") for _ in range(80)] + list(alone))
+    assert held and not alone & set(held)

@@ -1,17 +1,18 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
 ``train`` fits the model by stochastic gradient descent in numpy on a bounded
-sample of labelled rows (``PER_LANGUAGE`` rows of each of the ``MAX_LANGUAGES``
-commonest values, texts of up to ``SAMPLE_CHARS`` characters); ``predict`` reads
-every whole text.  A text's features are its hashed byte trigrams and four-grams,
+sample of labelled texts (``PER_LANGUAGE`` distinct texts of each of the
+``MAX_LANGUAGES`` values with most of them; of a longer text an excerpt of
+``SAMPLE_CHARS`` characters from its first letter on); ``predict`` reads every
+whole text.  A text's features are its hashed byte trigrams and four-grams,
 lower-cased, all that is not a letter turned into single spaces.  Part of the
 sample, not trained on, sets the softmax temperature and the score under which a
 prediction counts as rejected.
 
 Null text and text without a letter give ``und`` with score 0, rejected; so does
 everything if no row has a language.  Null languages are not learned from.
-Repeated rows get the same answer; the language, source and id of a row are
-never inputs, nor are other columns.
+Copies count once in the sample.  Repeated rows get the same answer; the
+language, source and id of a row are never inputs, nor are other columns.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ SNIPPETS, SNIPPET_CHARS = 2, 120
 #: At most this share of right predictions in the calibration part is rejected; no score above the cap is.
 REJECTED_SHARE, THRESHOLD_CAP = 0.002, 0.5
 
+# A letter, or a character that the JVM's Unicode version may not know yet.
+_ANY_LETTER = r"[\p{L}\p{Cn}]"
 # ASCII that is no letter becomes a space; bytes of other characters stay.
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -111,6 +114,11 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     held = set(order[: len(rows) // 5].tolist()) if len(rows) >= 50 else set()
+    trained = {lang for i, (_, lang) in enumerate(rows) if i not in held}
+    for i in sorted(held):  # every language is trained on
+        if rows[i][1] not in trained:
+            trained.add(rows[i][1])
+            held.remove(i)
     examples = []
     for i, (text, lang) in enumerate(rows):
         if i in held:
@@ -164,22 +172,26 @@ def _calibrated(model: Model, rows: list[tuple[str, str]]) -> Model:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on a bounded sample of the labelled rows of ``docs``, the same whatever the partitions."""
-    rows = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(
-        F.col("l").isNotNull() & F.col("t").isNotNull() & (F.length("t") <= SAMPLE_CHARS)
-    )
-    counts = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()
+    """Fit on a bounded sample of the distinct labelled texts of ``docs``, the same whatever the partitions."""
+    rows = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("l").isNotNull() & F.col("t").rlike(_ANY_LETTER))
+    rows = rows.withColumn("h", F.xxhash64("t"))
+    texts = rows.select("l", "h").distinct()  # copies are one text of their language
+    counts = {r["l"]: r["count"] for r in texts.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return fit([])
-    # a row's place in [0, 1) by its text's hash; of each language the lowest ones, twice the rows on average
-    place = F.pmod(F.xxhash64("t"), F.lit(1 << 30)) / float(1 << 30)
-    most = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["l"], 2.0 * per_language / r["count"])]), F.col("l"))
-    sample = rows.where(F.col("l").isin([r["l"] for r in counts])).where(place < most)
-    picked = sample.select("t", "l", place.alias("p")).orderBy("p", "t", "l").limit(2 * per_language * len(counts)).collect()
-    taken: dict[str, list] = {}
-    for r in picked:
-        taken.setdefault(r["l"], []).append((r["t"], r["l"]))
-    return fit([x for v in taken.values() for x in v[:per_language]])
+    # a text's place in [0, 1) by its hash; twice the texts wanted of each language and more on average, the lowest of them are taken
+    place = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    most = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, (2.0 * per_language + 40) / n)]), F.col("l"))
+    lowest: dict[str, list] = {}
+    for r in texts.where(F.col("l").isin(list(counts))).where(place < most).select("l", place.alias("p"), "h").collect():
+        lowest.setdefault(r["l"], []).append((r["p"], r["h"]))
+    picked = [(l, h) for l, v in lowest.items() for _, h in sorted(v)[:per_language]]
+    excerpt = F.when(F.length("t") <= SAMPLE_CHARS, F.col("t")).otherwise(
+        F.substring(F.regexp_replace("t", r"^[^\p{L}\p{Cn}]+", ""), 1, SAMPLE_CHARS)
+    )
+    chosen = docs.sparkSession.createDataFrame(picked, T.StructType([T.StructField("l", T.StringType()), T.StructField("h", T.LongType())]))
+    found = rows.join(F.broadcast(chosen), ["l", "h"]).select("l", "h", excerpt.alias("x")).groupBy("l", "h").agg(F.min("x").alias("x"))
+    return fit([(r["x"], r["l"]) for r in found.collect()])
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
