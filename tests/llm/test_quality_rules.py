@@ -61,3 +61,21 @@ def test_keep_returns_the_columns_and_runs_no_python(spark):
 
 def test_empty_table(spark, tmp_root):
     assert Q.op3_quality_rules(spark, folder(spark, tmp_root, [])).count() == 0
+
+
+RU = "быстрая лиса прыгает через ленивую собаку а потом бежит домой по узкой тропе мимо старого дома где живёт её добрая хозяйка {}"
+PL = "szybki lis przeskoczył nad leniwą śpiącą łanią potem pobiegł wąską ścieżką obok starego młyna gdzie mieszkał żółty gęsi król {}"
+ID = "rubah cokelat cepat melompati anjing malas lalu pulang lewat jalan sempit dekat rumah tua tempat tinggal pemilik baik hati sekali {}"
+SPAM = "cheap shoes online discount offer best price quality brand sale deal shop buy now free delivery worldwide store outlet men {}"
+
+
+def test_stop_words_bind_only_the_listed_languages(spark, tmp_root):
+    rows = [(i, t.format(i), lang, None, 0) for i, (t, lang) in enumerate(
+        [(RU, "ru"), (RU, None), (RU, "en"), (PL, "pl"), (PL, None), (ID, "id"), (ID, "id-ID"), (SPAM, "en"), (SPAM, "en-US"), (SPAM, None), (SPAM, "und")]
+    )]
+    root = folder(spark, tmp_root, rows)
+    kept = {r.doc_id for r in Q.op3_quality_rules(spark, root).collect() if r.kept}
+    assert kept == set(range(7))
+    docs = documents(spark, rows, clash=True)
+    assert {r.doc_id for r in Q.keep(docs).collect()} == kept
+    assert {r.doc_id for r in Q.keep(docs.drop("lang")).collect()} == {0, 1, 2, 3, 4}

@@ -4,8 +4,13 @@ Every measure is a built-in expression over the whole text; ``RULES`` names
 measures and their bounds and becomes one boolean expression.  No Python runs on
 the executors, and no row leaves its task.
 
+The bound on stop words counts for texts of a language with a list: not where a
+column ``lang`` names another language, nor where one letter in a hundred or more
+is outside the alphabets of the listed ones.  Without a name (null, empty, ``und``
+or no such column) the letters alone decide.
+
 Null and empty texts have no words, so they fail the base rule.  Repeated rows
-are judged each for itself; other columns are not looked at.
+are judged each for itself; columns but text and ``lang`` are not looked at.
 """
 
 from __future__ import annotations
@@ -28,6 +33,13 @@ STOP_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me",
 }
 
+# Names that the languages of STOP_WORDS and no language have in a column ``lang``, before any region.
+LISTED = [*STOP_WORDS, "eng", "deu", "ger", "fra", "fre", "spa"]
+UNNAMED = ["", "und"]
+# The listed languages' letters besides A to Z, and the share of other letters that shows another language.
+LETTERS = "ÄÖÜẞÀÂÆÇÉÈÊËÎÏÔŒÙÛŸÑÁÍÓÚäöüßàâæçéèêëîïôœùûÿñáíóúªº"
+FOREIGN_PERCENT = 1
+
 #: Words in a window whose repetition counts.
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
@@ -103,8 +115,15 @@ def measures(text: Column, stop_words: list[str] | None = None, window: int = WI
     return let(F.coalesce(text, F.lit("")), parts)
 
 
-def verdict(m: Column, rules=None) -> tuple[Column, Column]:
-    """(base_failed, kept) from the struct of counts."""
+def listed(text: Column, lang: Column) -> Column:
+    """Whether the stop-word lists are for this text, by its language's name and its letters."""
+    name = F.lower(F.regexp_extract(F.coalesce(lang, F.lit("")), r"^\s*([^-_\s]*)", 1))
+    count = lambda others: F.length(F.regexp_replace(text, rf"[\P{{L}}{others}]+", ""))
+    return name.isin(LISTED + UNNAMED) & ((100 * count("A-Za-z" + LETTERS) < FOREIGN_PERCENT * count("")) | (count("") == 0))
+
+
+def verdict(m: Column, rules=None, is_listed: Column | None = None) -> tuple[Column, Column]:
+    """(base_failed, kept) from the struct of counts; ``is_listed`` false frees from the bound on stop words."""
     n = m["n_words"]
     base_failed = (n < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
     share = lambda c, of: m[c] / F.greatest(m[of], F.lit(1))
@@ -118,14 +137,22 @@ def verdict(m: Column, rules=None) -> tuple[Column, Column]:
     }
     kept = ~base_failed
     for name, least, most in RULES if rules is None else rules:
+        if name == "stop_words_per_word" and is_listed is not None:
+            kept = kept & ((known[name] >= least) | ~is_listed)
+            continue
         kept = kept & (known[name] >= least) if least is not None else kept
         kept = kept & (known[name] <= most) if most is not None else kept
     return base_failed, kept
 
 
-def keep(docs: DataFrame, text: str = "text") -> DataFrame:
+def _listed_in(docs: DataFrame, text: str, lang: str) -> Column:
+    name = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
+    return listed(F.coalesce(F.col(text), F.lit("")), name)
+
+
+def keep(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text passes every rule; columns as they are."""
-    return docs.where(let(measures(F.col(text)), lambda m: verdict(m)[1]))
+    return docs.where(let(measures(F.col(text)), lambda m: verdict(m, is_listed=_listed_in(docs, text, lang))[1]))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +160,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
 
     def judged(m):
-        base_failed, kept = verdict(m)
+        base_failed, kept = verdict(m, is_listed=_listed_in(docs, "text", "lang"))
         return F.struct(m.alias("m"), base_failed.alias("base_failed"), kept.alias("kept"))
 
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
