@@ -53,3 +53,12 @@ def test_sql_agrees(spark, tmp_root):
 def test_empty_table(spark, tmp_root):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_root}/embeddings.parquet")
     assert S.op9_va_search(spark, tmp_root).count() == 0
+
+
+def test_repeated_query_rows_do_not_push_out_equal_vectors(spark, tmp_root):
+    same, lower = [0.5, 0.25], [0.25, 0.25]
+    data = [(i, v, None, "a", "b", "c") for i, v in [(0, same)] * 4 + [(i, same) for i in (1, 2, 3, 4, 5, 7)] + [(8, lower)] * 2 + [(50, lower)] * 7 + [(51, lower)] * 7]
+    spark.createDataFrame(data, SCHEMA).repartition(3).write.parquet(f"{tmp_root}/embeddings.parquet")
+    got = sorted(map(tuple, S.op9_va_search(spark, tmp_root).collect()))
+    assert [r[2] for r in got if r[0] == 0] == [1, 2, 3, 4, 5]
+    assert got == slow(data)

@@ -15,7 +15,7 @@ no block is dealt by a value that rows share.
 Null vectors and those with a null or non-finite component take no part.
 Vectors of another length than the query's are not its candidates.  Rows with
 the query's own id are not candidates; other repeated rows are, each for itself
-(of equal vectors the k + 1 smallest ids are enough), and a repeated query row
+(of equal vectors k rows of each of the k + 1 smallest ids are enough), and a repeated query row
 of equal content is one query.  Ties go to the smaller
 id.  Other columns are not looked at; an empty table gives no rows.  Scores must
 fit 64 bits.
@@ -73,9 +73,11 @@ def approximate(v: pd.Series, ends: dict, cells: int) -> pd.Series:
 def top_k(rows: DataFrame, is_query: Column, k: int = K, cells: int = CELLS) -> DataFrame:
     """query_id, rank, vec_id and score over (vec_id, v) ``rows``; ``is_query`` over the same columns."""
     spark = rows.sparkSession
-    # of equal vectors only the k + 1 smallest ids can be in any result
+    # of equal vectors only the k + 1 smallest distinct ids can be in any result, each with k of its rows at most
     same = Window.partitionBy("v").orderBy("vec_id")
-    few = rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("vec_id", "v")
+    ids = rows.groupBy("v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("c"))
+    few = ids.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1)
+    few = few.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.col("c").cast("int")))).select("vec_id", "v")
     few = stored(few.withColumn("rid", F.monotonically_increasing_id()), "vectors")
     queries = rows.where(is_query).distinct().select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     queries = stored(queries.withColumn("qid", F.monotonically_increasing_id()), "queries")
