@@ -39,6 +39,8 @@ from .common import crc_of_id, stored, table
 LOWEST, HIGHEST, BITS = 3, 6, 22
 FEATURES, PER_CLASS = 1 << 14, 4000
 PENALTY, CUT = 1e-4, 0.7
+#: Labels (an id and a number each) that are broadcast, at most.
+SENT_LABELS = 2_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Texts are read in blocks of about so many characters; a task holds about so many words.
 BLOCK, KNOWN = 1 << 22, 500_000
@@ -259,6 +261,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     """Fit on the rows of ``docs`` that ``labels`` (id, label 0 or 1) marks."""
     empty = Model(np.zeros(0, np.int32), np.zeros(0), 0.0)
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(f"`{doc_id}`").alias("i")).agg(F.max(label).cast("int").alias("y"))
+    marks = stored(marks.where("i is not null"), "labels")
+    # few labels go to the texts; more than that, and texts and labels meet in a shuffle
+    marks = F.broadcast(marks) if marks.count() <= SENT_LABELS else marks
     rows = docs.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("x")).where("x is not null").join(marks, "i").select("x", "y")
     rows = stored(rows, "labelled")  # texts are joined to their labels once
     counts = stored(gram_counts(rows), "grams")
