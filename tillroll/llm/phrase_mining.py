@@ -6,18 +6,19 @@ be frequent if the two phrases left by taking off its first or its last word are
 
 * **Sample**: documents picked by a hash are mined level by level with a lowered
   bound.  What is frequent there is the set of proposed phrases.
-* **Full pass**: every phrase whose two shorter parts are proposed is counted
-  exactly over all documents: the proposed ones and their negative border (words
-  have no parts, so all words are counted).
-* **Expansion**: frequent phrases outside the proposed set are border failures.
-  They join the set, and another full pass counts what they newly admit, and what
-  that could admit in turn: a part not counted yet counts as possibly frequent.  So
-  this pass closes the set: every frequent phrase was counted, whatever the sample
-  held.  (The sample has no such pass: it goes on level by level.)
-
-Tasks ask a bit filter whether a phrase is in the set.  Its size is bounded
+* **Bound pass**: the proposed phrases and their negative border (phrases whose
+  two shorter parts are proposed; words have no parts, so all words) are counted
+  over all documents under their 64-bit hashes.  A hash counts no less than any of
+  its phrases, so only phrases with a large enough hash can be frequent.
+* **Exact pass**: these are counted by their words, over all documents.  Those that
+  were not proposed are border failures; the same pass expands them until closed: it
+  also counts each phrase that was neither proposed nor on the border and whose parts
+  are counted in this pass.  So every frequent phrase is counted, by its words,
+  whatever the sample held.
+
+Tasks ask bit filters whether a phrase is in a set.  Their size is bounded
 (``FILTER_BITS``); a wrong yes only has one more phrase counted, and a fuller filter
-more of them, never fewer.  Nothing else of the set reaches a task or the driver.
+more of them, never fewer.  Nothing else of a set reaches a task or the driver.
 
 ``collocations`` scores frequent phrases of two words and more by their weakest cut
 and drops those that a longer one holds as often.  Null texts count as empty, null
@@ -42,11 +43,11 @@ from .common import ASCII_UPPER, stored, table
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Documents of the sample: one in so many; its bound is this share of the one expected there.
 SAMPLE_ONE_IN, LOWERED = 8, 0.5
-#: The filter has a bit for each ``WORDS_A_BIT`` words of the corpus, within these bounds (128 MB at most).
-FILTER_BITS, WORDS_A_BIT, PROBES = (1 << 16, 1 << 30), 8, 3
+#: A filter has a bit for so many characters of the corpus, within these bounds (128 MB at most).
+FILTER_BITS, CHARS_A_BIT, PROBES = (1 << 16, 1 << 30), 16, 3
 UNKNOWN = "und"
 #: Characters that a task counts at a time.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
 
 # Marks that end a piece, and white space between words.
 _ENDS, _SPACE = b".,;:!?\x0a\x0b\x0c\x0d", b" \t"
@@ -82,6 +83,7 @@ class Filter:
         return found
 
 
+_COUNTED = "lang string, k int, phrase string, h long, f long"
 EMPTY = Filter(np.zeros(0, np.uint8))
 
 
@@ -91,11 +93,12 @@ def _mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h * _SPREAD
 
 
-def count_block(texts: list[str], lang: str, known: Filter, counted: Filter | None, eager: bool, longest: int = LONGEST):
-    """(k, phrases, hashes, in ``known``, counts) for each length k, of phrases that ``known`` admits.
+def walk(texts: list[str], lang: str, known: Filter, bound: Filter | None = None, longest: int = LONGEST):
+    """(k, hashes, counts, phrases) for each length k of what a pass counts, after the number of words as k = 0.
+    ``phrases()`` gives the words.
 
-    With ``counted``, the set of an earlier pass, only of those that it did not admit;
-    ``eager``: parts that it did not admit admit as well.
+    Without ``bound``: what ``known`` admits, that is proposed phrases and their border.
+    With it: of these, those in ``bound``, and what they admit beyond the border.
     """
     raw = _END.join(t.encode("utf-8", "surrogatepass") for t in texts).translate(_SIGNS)
     words = (raw.replace(_END, b" \xff ") + b" \xff").split()
@@ -106,76 +109,80 @@ def count_block(texts: list[str], lang: str, known: Filter, counted: Filter | No
     word_hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in codes), np.uint64, n_words)
 
     at = np.flatnonzero(one)  # where phrases of k words begin
-    code = one  # of the phrase that begins at each place
+    code = one[at]  # the phrase that begins there
     hashes, size = word_hash, n_words
-    now, before = np.ones(len(at), bool), np.zeros(len(at), bool)  # admitted in this pass, in the earlier one
-    if counted is not None:
-        before[:] = True
+    bordered = np.ones(len(at), bool)  # counted in the bound pass
+    yield 0, np.zeros(1, np.uint64), np.array([len(at)]), lambda: [""]
     for k in range(1, longest + 1):
-        # the distinct phrases of k words: number, first place, count
-        n = np.bincount(code[at], minlength=size)
+        n = np.bincount(code, minlength=size)
         first = np.zeros(size, np.int64)
-        first[code[at][::-1]] = at[::-1]
-        inside = known.has(hashes)
-        new = np.zeros(size, bool)
-        new[code[at[now & ~before]]] = True
-        some = np.flatnonzero(new)
-        phrases = [b" ".join(words[i : i + k]).decode("utf-8", "surrogatepass") for i in first[some].tolist()]
-        yield k, phrases, hashes[some].view(np.int64), inside[some], n[some]
-        if k == longest or not known.bits:
+        first[code] = at
+        counted = n > 0
+        if bound is not None:
+            beyond = np.zeros(size, bool)
+            beyond[code[~bordered]] = True
+            counted &= bound.has(hashes) | beyond
+        some = np.flatnonzero(counted)
+        yield k, hashes[some], n[some], lambda i=first[some], k=k: [b" ".join(words[j : j + k]).decode("utf-8", "surrogatepass") for j in i.tolist()]
+        if k == longest:
             return
-        ok = np.zeros(len(one) + 1, bool)
-        ok[at] = now & (inside[code[at]] | ~before) if eager else now & inside[code[at]]
-        old = np.zeros(len(one) + 1, bool)
-        if counted is not None:
-            old[at] = before & counted.has(hashes)[code[at]]
-        at = np.flatnonzero(ok[:-1] & ok[1:])
-        before = old[at] & old[at + 1]
-        now = np.ones(len(at), bool)
-        key, pick, number = np.unique(code[at] * n_words + one[at + k], return_index=True, return_inverse=True)
-        hashes = _mixed(hashes[key // n_words], word_hash[key % n_words])
-        code = np.zeros(len(one), np.int64)
-        code[at] = number
-        size = len(key)
+        inside = known.has(hashes)
+        go = np.zeros(len(one) + 1, bool)
+        go[at] = (counted if bound is not None else inside)[code]
+        near = np.zeros(len(one) + 1, bool)
+        near[at] = bordered & inside[code]
+        number = np.zeros(len(one), np.int64)
+        number[at] = code
+        at = np.flatnonzero(go[:-1] & go[1:])
+        bordered = near[at] & near[at + 1]
+        key, code = np.unique(number[at] * n_words + one[at + k], return_inverse=True)
+        hashes, size = _mixed(hashes[key // n_words], word_hash[key % n_words]), len(key)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """(language, texts): about ``BLOCK`` characters at a time, by language."""
+    for batch in batches:
+        by: dict[str, list[str]] = {}
+        size, last = 0, batch.num_rows - 1
+        for i, (t, lang) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            by.setdefault(lang, []).append(t)
+            size += len(t)
+            if size >= BLOCK or i == last:
+                yield from by.items()
+                by, size = {}, 0
 
 
-_COUNTED = "lang string, k int, phrase string, h long, inside boolean, f long"
+def hash_sums(docs: DataFrame, known: Filter) -> DataFrame:
+    """(h, f): occurrences, by hash, of the phrases of ``docs`` (x text, l language) that ``known`` admits."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in _blocks(batches):
+            for k, h, n, _ in walk(texts, lang, sent.value):
+                if k:
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "f"])
 
-def count_phrases(docs: DataFrame, known: Filter, counted: Filter | None, least: int, eager: bool = False) -> DataFrame:
-    """(lang, k, phrase, h, inside, f) of the phrases of ``docs`` (x text, l language) with f >= ``least``; k = 0: all words."""
-    sent = docs.sparkSession.sparkContext.broadcast((known, counted))
+    return docs.select("x", "l").mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+
+
+def count_phrases(docs: DataFrame, known: Filter, bound: Filter | None = None, only: int | None = None) -> DataFrame:
+    """(lang, k, phrase, h, f) of what ``walk`` counts, of length ``only`` if given; k = 0: all words."""
+    sent = docs.sparkSession.sparkContext.broadcast((known, bound))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counted = sent.value
-        for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            by: dict[str, list[str]] = {}
-            size, last = 0, len(texts) - 1
-            for i, (t, lang) in enumerate(zip(texts, langs)):
-                by.setdefault(lang, []).append(t)
-                size += len(t)
-                if size < BLOCK and i < last:
-                    continue
-                for name, some in by.items():
-                    total = 0
-                    for k, phrases, h, inside, n in count_block(some, name, known, counted, eager):
-                        total += int(n.sum()) if k == 1 else 0
-                        for j in range(0, len(phrases), 1 << 16):
-                            cut = slice(j, j + (1 << 16))
-                            yield _rows(name, k, phrases[cut], h[cut], inside[cut], n[cut])
-                    if counted is None:
-                        yield _rows(name, 0, [""], np.zeros(1, np.int64), np.ones(1, bool), np.array([total]))
-                by, size = {}, 0
+        known, bound = sent.value
+        for lang, texts in _blocks(batches):
+            for k, h, n, phrases in walk(texts, lang, known, bound, only or LONGEST):
+                if only in (None, k):
+                    yield _rows(lang, k, phrases(), h, n)
 
-    found = docs.select("x", "l").mapInArrow(run, _COUNTED)
-    return found.groupBy("lang", "k", "phrase", "h", "inside").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("k") == 0))
+    return docs.select("x", "l").mapInArrow(run, _COUNTED).groupBy("lang", "k", "phrase", "h").agg(F.sum("f").alias("f"))
 
 
-def _rows(lang: str, k: int, phrases: list[str], h: np.ndarray, inside: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _rows(lang: str, k: int, phrases: list[str], h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     size = len(phrases)
-    cells = [pa.array([lang] * size, pa.string()), pa.array(np.full(size, k, np.int32)), pa.array(phrases, pa.string()), pa.array(h), pa.array(inside), pa.array(n, pa.int64())]
-    return pa.RecordBatch.from_arrays(cells, names=["lang", "k", "phrase", "h", "inside", "f"])
+    cells = [pa.array([lang] * size, pa.string()), pa.array(np.full(size, k, np.int32)), pa.array(phrases, pa.string()), pa.array(h.view(np.int64)), pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(cells, names=["lang", "k", "phrase", "h", "f"])
 
 
 def _with(known: Filter, phrases: DataFrame, bits: int) -> Filter:
@@ -200,18 +207,14 @@ def _with(known: Filter, phrases: DataFrame, bits: int) -> Filter:
     return Filter(out)
 
 
-def propose(sample: DataFrame, least: int, scale: int) -> Filter:
-    """The phrases of ``sample`` that occur ``least`` times or more, level by level; the filter fits ``scale`` times as many words."""
-    known, counted, bits = EMPTY, None, 0
-    for _ in range(LONGEST - 1):
-        found = stored(count_phrases(sample, known, counted, least), "phrase-sample")
-        if not bits:
-            words = (found.where("k = 0").agg(F.sum("f")).first()[0] or 0) * scale
-            bits = 1 << (int(min(max(words // WORDS_A_BIT, FILTER_BITS[0]), FILTER_BITS[1])) - 1).bit_length()
-        more = found.where("k > 0 and not inside")
-        if counted is not None and more.isEmpty():
+def propose(sample: DataFrame, least: int, bits: int) -> Filter:
+    """The phrases of ``sample`` that occur ``least`` times or more, level by level."""
+    known = EMPTY
+    for k in range(1, LONGEST):
+        found = stored(count_phrases(sample, known, only=k).where((F.col("k") == k) & (F.col("f") >= least)), "phrase-sample")
+        known = _with(known, found, bits)
+        if found.isEmpty():
             break
-        counted, known = known, _with(known, more, bits)
     return known
 
 
@@ -219,16 +222,14 @@ def frequent_phrases(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, one_in: int = SAMPLE_ONE_IN, lowered: float = LOWERED
 ) -> DataFrame:
     """(lang, k, phrase, f) of all phrases that occur ``least`` times or more; k = 0 with an empty phrase: all words of the language."""
-    rows = docs.select(F.col(f"`{text}`").alias("x"), F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("l"))
-    whole = rows.select(F.coalesce("x", F.lit("")).alias("x"), "l")
+    whole = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("x"), F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("l"))
+    chars = whole.agg(F.sum(F.length("x").cast("long"))).first()[0] or 0
+    bits = 1 << (min(max(chars // CHARS_A_BIT, FILTER_BITS[0]), FILTER_BITS[1]) - 1).bit_length()
     sample = whole.where(F.pmod(F.xxhash64("x", "l"), F.lit(one_in)) == 0)
-    known = propose(sample, max(2, int(lowered * least / one_in)), one_in)
-    found = stored(count_phrases(whole, known, None, least), "phrase-pass")
-    failures = found.where(f"k between 1 and {LONGEST - 1} and not inside")
-    if not failures.isEmpty():
-        wider = _with(known, failures, known.bits)
-        found = found.unionByName(stored(count_phrases(whole, wider, known, least, eager=True), "phrase-expansion"))
-    return found.select("lang", "k", "phrase", "f")
+    known = propose(sample, max(2, int(lowered * least / one_in)), bits)
+    bound = _with(EMPTY, stored(hash_sums(whole, known).where(F.col("f") >= least).select("h"), "phrase-bound"), bits)
+    counted = count_phrases(whole, known, bound).where((F.col("f") >= least) | (F.col("k") == 0))
+    return stored(counted.select("lang", "k", "phrase", "f"), "phrases")
 
 
 def cut_scores(phrases: DataFrame, frequent: DataFrame) -> DataFrame:
