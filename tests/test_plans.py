@@ -74,3 +74,36 @@ def test_hot_duplicate_key_is_combined_before_the_shuffle_and_rejected(spark):
     rows = {r["seq"]: r for r in Q.gate_report(merged, SALES_TABLE, SALES_GATE).collect()}
     assert rows[4]["violations"] == 299  # count(*) - count(DISTINCT key), as in the contract
     assert merged.count() == 601  # one row per key after the merge
+
+
+def test_lookups_go_to_the_dimension(spark, tmp_root):
+    """New members, orphans and taken ids filter the stored dimension where it is read: none of its rows are shuffled."""
+    from tillroll.operators.dimensions import new_members, taken_ids
+    from tillroll.operators.fact import orphans
+
+    path = f"{tmp_root}/product"
+    names = spark.range(0, 20_000).select(F.col("id").alias("ProductId"), F.concat(F.lit("name "), F.col("id")).alias("ProductName"), F.lit("t").alias("ProductType"))
+    audit = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PRODUCT.fields[3:]]
+    write_table(names.select("*", *audit), path, "overwrite")
+    dim = read_or_empty(spark, path, schemas.PRODUCT)
+    batch = spark.createDataFrame([("name 5", "t"), ("fresh", "t"), (None, "t")], "ProductName string, ProductType string")
+    ids = spark.createDataFrame([(5,), (10**6,), (None,)], "ProductId long")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the planner would not broadcast: the count does
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for found in (new_members(batch, dim, "ProductName", "ProductId"), orphans(ids, dim, "ProductId")):
+            p = plan(found)
+            assert "BroadcastHashJoin" in p and "LeftSemi, BuildRight" in p
+            # between the semi join and the scan of the dimension stands no shuffle
+            lines = p.splitlines()
+            at = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+            end = next(i for i, x in enumerate(lines) if "product]" in x)
+            assert not any("Exchange hashpartitioning" in x for x in lines[at:end])
+        assert {r.ProductName for r in new_members(batch, dim, "ProductName", "ProductId").collect()} == {"fresh", None}
+        assert [r.ProductId for r in orphans(ids, dim, "ProductId").collect()] == [10**6]
+        fresh = spark.createDataFrame([(5, "other"), (10**6, "fresh")], "ProductId long, ProductName string")
+        assert [tuple(r) for r in taken_ids(fresh, dim, "ProductName", "ProductId").collect()] == [(5, None)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

@@ -522,6 +522,27 @@ def q_backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_with_audit(wh.read_sales(spark))
 
 
+def q_backfill_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries loaded in one pass, and again in another - the repeat writes nothing, so times are the first run's."""
+    root = _deliveries_root(spark, sf_dir)
+    wh = _base_warehouse(spark, sf_dir, "wh-again")
+    backfill(spark, wh, root, TS_A)
+    again = backfill(spark, wh, root, TS_C)
+    if again.written_date_ids:
+        raise RuntimeError(f"a repeated backfill wrote {again.written_date_ids}")
+    return _fact_with_audit(wh.read_sales(spark))
+
+
+def q_late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery B arrives before A - values as in date order, and each row with the dates of the deliveries behind it."""
+    root = _deliveries_root(spark, sf_dir)
+    wh = _base_warehouse(spark, sf_dir, "wh-late")
+    run_weekly(spark, wh, _folder(root, DELIVERY_B), TS_A)
+    run_weekly(spark, wh, _folder(root, DELIVERY_A), TS_B)
+    dates = F.array_join(F.transform(schemas.HISTORY, lambda d: F.date_format(d["ord"], "yyyy-MM-dd")), ",")
+    return wh.read_sales_history(spark).select(*FACT_KEY, *FACT_VALUES, dates.alias("Dates"))
+
+
 def q_stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C10 (streaming): both delivery folders picked up by a file stream and loaded per micro-batch."""
     from .streaming.arrivals import start_arrivals
@@ -581,5 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_product": q_view_product,
     "register_batches": q_register_batches,
     "backfill_weeks": q_backfill_weeks,
+    "backfill_replay": q_backfill_replay,
+    "late_delivery": q_late_delivery,
     "stream_deliveries": q_stream_deliveries,
 }

@@ -82,6 +82,23 @@ def retailer_candidates(
     return _first_delivery_only(extract.select(*cols).distinct(), "RetailerName", delivery).distinct()
 
 
+#: Keys of a batch that are broadcast to look them up in a stored table; more of them meet it in a shuffle.
+SENT_KEYS = 1_000_000
+
+
+def held_keys(keys: DataFrame, table: DataFrame, key: str, limit: int = SENT_KEYS) -> DataFrame:
+    """(key): the distinct ``keys`` that ``table`` holds, with the cost of a scan of one column of the table.
+
+    The batch goes to the table, not the table to the batch: up to ``limit`` keys
+    (counted, not estimated) are broadcast and the table is filtered where it is read;
+    with more, both meet in a shuffle.  What comes back is no larger than the batch.
+    Null keys are never held.
+    """
+    few = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    few = F.broadcast(few) if few.limit(limit + 1).count() <= limit else few
+    return table.select(key).join(few, key, "left_semi").distinct()
+
+
 def new_members(
     candidates: DataFrame,
     dim: DataFrame,
@@ -96,9 +113,10 @@ def new_members(
 
     A null name never matches, so it comes out as a new member and is
     stopped by the not-null gate.  ``batch_id_col`` (a candidate column)
-    gives each member the batch it first arrived in.
+    gives each member the batch it first arrived in.  The dimension is filtered
+    to the candidates' names first (``held_keys``), never shuffled for them.
     """
-    fresh = candidates.join(dim.select(name), name, "left_anti")
+    fresh = candidates.join(held_keys(candidates, dim, name), name, "left_anti")
     attrs = [c for c in candidates.columns if c not in (name, batch_id_col)]
     bid = F.col(batch_id_col) if batch_id_col else F.lit(batch_id)
     return fresh.select(
@@ -114,7 +132,7 @@ def new_members(
 
 def taken_ids(fresh: DataFrame, dim: DataFrame, name: str, id_col: str) -> DataFrame:
     """(id, first): ids that a new member shares with another one, and the name that keeps it (null: a stored one)."""
-    stored_ids = dim.join(fresh.select(id_col), id_col, "left_semi").select(id_col, F.lit(None).cast("string").alias(name), F.lit(1).alias("old"))
+    stored_ids = held_keys(fresh, dim, id_col).select(id_col, F.lit(None).cast("string").alias(name), F.lit(1).alias("old"))
     both = fresh.select(id_col, name, F.lit(0).alias("old")).unionByName(stored_ids)
     found = both.groupBy(id_col).agg(F.count_distinct(F.coalesce(name, F.lit("\0"))).alias("n"), F.max("old").alias("old"), F.min(name).alias("least"))
     return found.where("n > 1").select(id_col, F.when(F.col("old") == 0, F.col("least")).alias("first"))

@@ -16,10 +16,19 @@ contract, then classifies every key:
                   (replaying a batch changes nothing);
 * ``keep``      - key only in the table: the stored row.
 
-With several deliveries in one run a key's deliveries are applied in order, as
-week-by-week loading would: its creation belongs to the first, its last update to
-the last one that changed a value.  The reduction also counts rows that repeat a
-key within a delivery (``_extra``), so the uniqueness gate needs no shuffle.
+Deliveries have an order of their own, their date, and each stored row keeps the
+deliveries that gave it values (``Deliveries``: a step with date, batch and values
+for each).  A dated load puts its steps among them, in place of an earlier one of the
+same date, and the row becomes what the deliveries give in their order: created by
+the first, last updated by the last that changed a value.  So the outcome depends on
+the deliveries alone: one that is loaded again changes nothing, a late older one takes
+its place without the later ones being read again, and the newest delivery of a key
+holds whatever arrives after it.  A load without dates applies its rows on arrival; a
+row that it changes has no history from then on, and the next dated load starts
+from the row as it is.
+
+The reduction also counts rows that repeat a key within a delivery (``_extra``), so
+the uniqueness gate needs no shuffle.
 """
 
 from __future__ import annotations
@@ -31,9 +40,9 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import WIDE_BITS, member_key
 from ..functions.money import to_money
-from ..schemas import AUDIT, DATA_SOURCE_MAT, FACT_KEY, FACT_VALUES
+from ..schemas import AUDIT, DATA_SOURCE_MAT, FACT_KEY, FACT_VALUES, HISTORY, STEP
 from . import quality as Q
-from .dimensions import batch_time
+from .dimensions import batch_time, held_keys
 
 # Fixed value: table name in gate messages, and the fact gates in check order.
 SALES_TABLE = "Sales Fact Table"
@@ -115,7 +124,7 @@ def resolve_keys(
 def orphans(resolved: DataFrame, dim_ids: DataFrame, id_col: str) -> DataFrame:
     """Ids of the batch that the dimension (its ids and the new ones) does not hold."""
     ids = resolved.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return ids.join(dim_ids.select(id_col), id_col, "left_anti")
+    return ids.join(held_keys(ids, dim_ids, id_col), id_col, "left_anti")
 
 
 def _values_differ(a, b) -> Column:
@@ -123,21 +132,26 @@ def _values_differ(a, b) -> Column:
     return ~F.struct(*[a(c).alias(c) for c in FACT_VALUES]).eqNullSafe(F.struct(*[b(c).alias(c) for c in FACT_VALUES]))
 
 
-def _reduced(incoming: DataFrame, bid: Column, delivery: str | None, data_source: str | None) -> DataFrame:
-    """One row per key: rows, repeats within a delivery, and the values (``_next``) or the deliveries in order (``_steps``)."""
+def _reduced(incoming: DataFrame, bid: Column, delivery: str | None, day: _dt.date | None, data_source: str | None) -> DataFrame:
+    """One row per key: rows, repeats within a delivery, and the values (``_next``), for dated loads the deliveries (``_steps``) too.
+
+    Rows of one key and delivery are combined before the shuffle, however many they are.
+    """
+    rows = incoming.withColumn("_bid", bid.cast("int"))
     if delivery:
-        step = F.struct(F.coalesce(F.col(delivery).cast("date"), F.lit("0001-01-01").cast("date")).alias("ord"), bid.cast("int").alias("bid"), *FACT_VALUES)
-        # bounded by the deliveries of the run: one row each, or the gate stops the load
-        steps = incoming.groupBy(*FACT_KEY).agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(step)).alias("_steps"))
-        return steps.withColumn("_repeats", F.col("_n") - F.size(F.array_distinct(F.transform("_steps", lambda s: s["ord"]))))
+        rows = rows.withColumn("_ord", F.coalesce(F.col(delivery).cast("date"), F.lit("0001-01-01").cast("date")))
     # any row's values do: with more than one row the gate stops the load
     plain = [c for c in FACT_VALUES if not (c == "DataSource" and data_source)]
-    out = incoming.withColumn("_bid", bid.cast("int")).groupBy(*FACT_KEY).agg(
+    out = rows.groupBy(*FACT_KEY, *(["_ord"] if delivery else [])).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_bid").alias("_bid"), *[F.min(c).alias(f"_next_{c}") for c in plain]
     )
     if len(plain) < len(FACT_VALUES):
         out = out.withColumn("_next_DataSource", F.lit(data_source))
-    return out.withColumn("_repeats", F.col("_n") - 1)
+    out = out.withColumn("_repeats", F.col("_n") - 1)
+    step = F.struct(F.col("_ord") if delivery else F.lit(day).cast("date").alias("ord"), "_bid", *[f"_next_{c}" for c in FACT_VALUES]).cast(STEP)
+    if delivery:  # bounded by the deliveries of the run
+        return out.groupBy(*FACT_KEY).agg(F.sum("_n").alias("_n"), F.sum("_repeats").alias("_repeats"), F.collect_list(step).alias("_steps"))
+    return out.withColumn("_steps", F.array(step)) if day else out
 
 
 def merge_fact(
@@ -148,15 +162,18 @@ def merge_fact(
     delivery: str | None = None,
     batch_id_col: str | None = None,
     data_source: str | None = None,
+    day: _dt.date | None = None,
 ) -> DataFrame:
     """Classified fact rows of the touched partitions (see module doc), one row per key.
 
-    Output: fact columns + ``_action`` + ``_rows`` (input rows the output row
-    stands for) + ``_extra`` (rows that repeat the key within their delivery;
-    any > 0 fails the uniqueness gate, so a repeated key is never written).
+    Output: fact columns + ``Deliveries`` + ``_action`` + ``_noted`` (the row's
+    deliveries differ from the stored ones, its values may not) + ``_rows`` (input
+    rows the output row stands for) + ``_extra`` (rows that repeat the key within their
+    delivery; any > 0 fails the uniqueness gate, so a repeated key is never written).
+    ``existing`` may come without ``Deliveries``: then no row has a history.
     ``existing`` must hold only the partitions the batch touches (the caller
     prunes by DateId).  ``delivery`` (optional DATE column of ``incoming``)
-    orders deliveries; ``batch_id_col`` (optional) gives a per-row batch id;
+    orders deliveries, ``day`` is the date of all rows if they are one delivery; ``batch_id_col`` (optional) gives a per-row batch id;
     ``data_source`` is the tag of all incoming rows, if they have one.
 
     Plan: the incoming rows are combined per key on the map side and shuffled
@@ -164,44 +181,63 @@ def merge_fact(
     """
     now = batch_time(batch_ts)
     bid = F.col(batch_id_col) if batch_id_col else F.lit(batch_id)
-    new = _reduced(incoming, bid, delivery, data_source)
-    old = existing.select(*FACT_KEY, *[F.col(c).alias(f"_prev_{c}") for c in (*FACT_VALUES, *AUDIT)], F.lit(True).alias("_has_prev"))
+    new = _reduced(incoming, bid, delivery, day, data_source)
+    dated = bool(delivery or day)
+    history = F.col(HISTORY) if HISTORY in existing.columns else F.lit(None)
+    old = existing.select(
+        *FACT_KEY, *[F.col(c).alias(f"_prev_{c}") for c in (*FACT_VALUES, *AUDIT)], history.cast(f"array<{STEP.simpleString()}>").alias("_history"), F.lit(True).alias("_has_prev")
+    )
     both = old.join(new, FACT_KEY, "full_outer")
     has_prev, has_new = F.col("_has_prev").isNotNull(), F.col("_n").isNotNull()
     prev = lambda c: F.col(f"_prev_{c}")
     fields = [(c, existing.schema[c].dataType) for c in FACT_VALUES]
+    none = F.array().cast(f"array<{STEP.simpleString()}>")
 
-    def state(has, value, created, updated, changed) -> Column:
-        return F.struct(
-            has.alias("has"), *[value(c).cast(t).alias(c) for c, t in fields], created.cast("int").alias("created"), updated.cast("int").alias("updated"),
-            changed.alias("changed"),
-        )
+    def state(has, value, created, updated) -> Column:
+        return F.struct(has.alias("has"), *[value(c).cast(t).alias(c) for c, t in fields], created.cast("int").alias("created"), updated.cast("int").alias("updated"))
 
-    start = state(has_prev, prev, prev("CreatedByBatchId"), prev("UpdatedByBatchId"), F.lit(False))
+    stored = state(has_prev, prev, prev("CreatedByBatchId"), prev("UpdatedByBatchId"))
 
     def apply(s, value, b) -> Column:
-        first = state(F.lit(True), value, b, F.lit(None), F.lit(False))
-        changed = state(F.lit(True), value, s["created"], b, F.lit(True))
+        first = state(F.lit(True), value, b, F.lit(None))
+        changed = state(F.lit(True), value, s["created"], b)
         return F.when(~s["has"], first).when(_values_differ(lambda c: s[c], value), changed).otherwise(s)
 
-    if delivery:
-        end = F.aggregate(F.coalesce("_steps", F.array().cast(new.schema["_steps"].dataType)), start, lambda s, d: apply(s, lambda c: d[c], d["bid"]))
+    if dated:
+        # the row's deliveries in order, those of this load in place of earlier ones of their dates
+        given = F.coalesce("_steps", none)
+        others = F.filter(F.coalesce("_history", none), lambda h: ~F.exists(given, lambda g: g["ord"] == h["ord"]))
+        both = both.withColumn("_all", F.array_sort(F.concat(others, given)))
+        nothing = state(F.lit(False), lambda c: F.lit(None), F.lit(None), F.lit(None))
+        start = F.when(has_prev & F.col("_history").isNull(), stored).otherwise(nothing)
+        end = F.aggregate("_all", start, lambda s, d: apply(s, lambda c: d[c], d["bid"]))
+        # a row from before there were histories starts one only where nothing of it is lost
+        kept = F.when(~has_prev | F.col("_history").isNotNull(), F.col("_all"))
+        end, kept = F.when(has_new, end).otherwise(stored), F.when(has_new, kept).otherwise(F.col("_history"))
     else:
         nxt = lambda c: F.col(f"_next_{c}")
-        end = F.when(has_new, apply(start, nxt, F.col("_bid"))).otherwise(start)
-    both = both.withColumn("_end", end)
-    changed = F.col("_end.changed")
+        end = F.when(has_new, apply(stored, nxt, F.col("_bid"))).otherwise(stored)
+        kept = F.when(has_prev & (~has_new | ~_values_differ(prev, nxt)), F.col("_history"))
+    both = both.withColumn("_end", end).withColumn("_kept", kept)
+    updated = ~F.col("_end.updated").eqNullSafe(prev("UpdatedByBatchId")) | _values_differ(prev, lambda c: F.col(f"_end.{c}"))
+    changed = has_prev & (updated | ~F.col("_end.created").eqNullSafe(prev("CreatedByBatchId")))
     action = (
         F.when(~has_new, F.lit("keep")).when(~has_prev, F.lit("insert")).when(changed, F.lit("update")).otherwise(F.lit("unchanged"))
     )
+    # a new row that a later delivery of the same load changed was updated too
+    stamped = F.when(has_prev, updated).otherwise(F.col("_end.updated").isNotNull() | F.col("_twice")) if dated else has_prev & updated
+    if dated:
+        both = both.withColumn("_twice", F.size("_all") > 1).withColumn("_twice", F.col("_twice") & F.exists("_all", lambda d: _values_differ(lambda c: d[c], lambda c: F.col("_all")[0][c])))
     return both.select(
         *FACT_KEY,
         *[F.col(f"_end.{c}").alias(c) for c in FACT_VALUES],
         F.when(has_prev, prev("CreatedTime")).otherwise(now).alias("CreatedTime"),
         F.col("_end.created").alias("CreatedByBatchId"),
-        F.when(changed, now).otherwise(prev("UpdatedTime")).alias("UpdatedTime"),
+        F.when(stamped, now).otherwise(prev("UpdatedTime")).alias("UpdatedTime"),
         F.col("_end.updated").alias("UpdatedByBatchId"),
+        F.col("_kept").alias(HISTORY),
         action.alias("_action"),
+        (~F.col("_kept").eqNullSafe(F.col("_history"))).alias("_noted"),
         F.coalesce("_n", F.lit(1)).cast("long").alias("_rows"),
         F.coalesce("_repeats", F.lit(0)).cast("long").alias("_extra"),
     )
@@ -209,7 +245,7 @@ def merge_fact(
 
 def fact_table_rows(merged: DataFrame) -> DataFrame:
     """The stored columns of classified rows."""
-    return merged.select(*FACT_KEY, *FACT_VALUES, *AUDIT)
+    return merged.select(*FACT_KEY, *FACT_VALUES, *AUDIT, HISTORY)
 
 
 def touched_date_ids(resolved: DataFrame) -> list[int]:

@@ -304,6 +304,14 @@ FROM (SELECT DISTINCT "Week Ending" AS wk FROM gross UNION SELECT DATE '2099-01-
     + f"""
 SELECT {_FACT_COLS}, {_TS_A} AS "CreatedTime", "CreatedByBatchId",
        CASE WHEN "UpdatedTime" IS NOT NULL THEN {_TS_A} END AS "UpdatedTime", "UpdatedByBatchId" FROM ab""",
+    "backfill_replay": _SCENARIO + "," + _AFTER_AB
+    + f"""
+SELECT {_FACT_COLS}, {_TS_A} AS "CreatedTime", "CreatedByBatchId",
+       CASE WHEN "UpdatedTime" IS NOT NULL THEN {_TS_A} END AS "UpdatedTime", "UpdatedByBatchId" FROM ab""",
+    "late_delivery": _SCENARIO + "," + _AFTER_AB
+    + f"""
+SELECT {_FACT_COLS}, concat_ws(',', CASE WHEN ("DateId", "ProductId", "RetailerId") IN (SELECT ("DateId", "ProductId", "RetailerId") FROM fa) THEN '1998-12-27' END,
+       CASE WHEN ("DateId", "ProductId", "RetailerId") IN (SELECT ("DateId", "ProductId", "RetailerId") FROM fb) THEN '2001-11-04' END) AS "Dates" FROM ab""",
     "stream_deliveries": _SCENARIO + "," + _AFTER_AB + f'\nSELECT {_FACT_COLS}, "CreatedByBatchId", "UpdatedByBatchId" FROM ab',
     "surrogate_key_wide": _with(_MAPPER)
     + f"""SELECT n AS "Name", {_key('n')} AS "Id" FROM (SELECT DISTINCT "Description" AS n FROM mapper)""",

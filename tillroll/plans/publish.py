@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.dimensions import held_keys
 from ..operators.fact import fact_table_rows, touched_date_ids
 from ..sources.tables import Warehouse, read_or_empty, write_table
 
@@ -23,7 +24,10 @@ def _note(spark: SparkSession, wh: Warehouse, run: str, state: str) -> None:
 
 
 def _append_missing(rows: DataFrame, present: DataFrame, path: str, keys: list[str]) -> None:
-    missing = rows.join(present.select(*keys), keys, "left_anti").select(*rows.columns)
+    held = held_keys(rows, present, keys[-1])
+    if len(keys) > 1:
+        held = present.select(*keys).join(held, keys[-1], "left_semi")
+    missing = rows.join(held, keys, "left_anti").select(*rows.columns)
     if not missing.isEmpty():
         write_table(missing, path, "append")
 
@@ -37,7 +41,7 @@ def _apply(spark: SparkSession, wh: Warehouse, run: str) -> None:
     _append_missing(read("batch", schemas.BATCH), wh.read_batches(spark), wh.batch, ["FilePath"])
     merged = spark.read.parquet(f"{stage}/merged")
     # whole weeks, but only those in which a row differs; a big week is spread over several files
-    weeks = touched_date_ids(merged.where(F.col("_action").isin("insert", "update")))
+    weeks = touched_date_ids(merged.where(F.col("_action").isin("insert", "update") | F.col("_noted")))
     if weeks:
         rows = fact_table_rows(merged.where(F.col("DateId").isin(weeks))).hint("rebalance", "DateId")
         write_table(rows, wh.sales, "partitions", "DateId")

@@ -12,12 +12,14 @@ Order of work for one batch:
    log, product, retailer, sales fact, ids the dimensions don't hold;
 5. the staged rows are published: exactly the rows that passed.
 
-Weeks in which no row differs are not written.
+Weeks in which no row and no row's list of deliveries differs are not written: a load
+that is repeated writes no fact file.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -87,10 +89,12 @@ def load_batch(
     folders: DataFrame | None = None,
     data_source: str = DATA_SOURCE_MAT,
     bits: int | None = None,
+    day: _dt.date | None = None,
 ) -> LoadResult:
     """Load one scanned extract into the warehouse ``wh``.
 
-    ``delivery``: DATE column ordering several deliveries in one run.
+    ``delivery``: DATE column ordering several deliveries in one run; ``day``: the
+    date of the one delivery that all rows are (neither: rows apply on arrival).
     ``folder``: column naming the delivery folder of each row; ``folders``
     (FilePath), by default those that have rows, are registered in the batch log
     and their ids stamped on the rows (otherwise ``batch_id``, possibly None, is
@@ -149,8 +153,8 @@ def load_batch(
 
         resolved = resolve_keys(rows, wh.read_date(spark), width, [c for c in (delivery, bid_col) if c], None if exceptions.isEmpty() else exceptions)
         touched = touched_date_ids(resolved)
-        existing = wh.read_sales(spark).where(F.col("DateId").isin(touched))
-        merged = staged(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col, data_source), "merged")
+        existing = wh.read_sales_history(spark).where(F.col("DateId").isin(touched))
+        merged = staged(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col, data_source, day), "merged")
         reports.append(("sales", Q.gate_report(merged, SALES_TABLE, SALES_GATE)))
         for label, dim, new, id_col in ((PRODUCT_TABLE, prod_old, prod_new, "ProductId"), (RETAILER_TABLE, ret_old, ret_new, "RetailerId")):
             held = dim.select(id_col).unionByName(new.select(id_col))
@@ -161,7 +165,7 @@ def load_batch(
         found = Q.run_reports(reports)
         Q.raise_first(found)
         counts = {r["name"]: r["violations"] for r in found if r["check"] == "rows"}
-        written = touched_date_ids(merged.where(F.col("_action").isin("insert", "update")))
+        written = touched_date_ids(merged.where(F.col("_action").isin("insert", "update") | F.col("_noted")))
         publish(spark, wh, run)
         return LoadResult(touched, written, counts["new_products"], counts["new_retailers"], n_batches)
     finally:
@@ -177,10 +181,16 @@ def run_weekly(
     data_source: str = DATA_SOURCE_MAT,
     bits: int | None = None,
 ) -> LoadResult:
-    """Scan one weekly extract folder, register it as a batch (with or without rows), and load it."""
+    """Scan one weekly extract folder, register it as a batch (with or without rows), and load it.
+
+    A folder named ``week=<yyyy-MM-dd>`` is the delivery of that date and takes its
+    place among those loaded before; any other applies on arrival.
+    """
+    named = re.search(rf"(?:^|/){DELIVERY_COLUMN}=(\d{{4}}-\d{{2}}-\d{{2}})/*$", path)
     rows = read_extract(spark, path, with_file_path=True)
     rows = rows.withColumn("_folder", delivery_folder("file_path")).drop("file_path")
-    return load_batch(spark, wh, rows, batch_ts, folder="_folder", folders=delivery_folders(spark, path), data_source=data_source, bits=bits)
+    return load_batch(spark, wh, rows, batch_ts, folder="_folder", folders=delivery_folders(spark, path), data_source=data_source, bits=bits,
+                      day=_dt.date.fromisoformat(named[1]) if named else None)
 
 
 def backfill(
@@ -195,8 +205,8 @@ def backfill(
     """Load every delivery folder under ``root`` (or the given ones of them) in one pass.
 
     Equal to loading the folders one by one in date order, audit ids included: a
-    fact key's deliveries are applied in order, and a dimension member counts from
-    its first delivery.  Audit times are those of this one run.  Unlike
+    fact key's deliveries are applied in order, with those loaded before, and a
+    dimension member counts from its first delivery.  Loading them again changes nothing.  Audit times are those of this one run.  Unlike
     week-by-week loading, a bad delivery stops the whole run.
     """
     rows = read_deliveries(spark, root, folders).withColumn("_folder", delivery_folder(F.col("file_path"))).drop("file_path")

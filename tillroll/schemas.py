@@ -6,6 +6,7 @@ partition column (``DateId``) keeps its declared type.
 """
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DecimalType,
     DoubleType,
@@ -85,6 +86,20 @@ SALES = StructType(
     ]
 )
 
+# What a fact row keeps beside its contract columns: the deliveries that gave it values, oldest first.
+HISTORY = "Deliveries"
+STEP = StructType(
+    [
+        StructField("ord", DateType()),
+        StructField("bid", IntegerType()),
+        StructField("DataSource", StringType()),
+        StructField("SKU", LongType()),
+        StructField("UnitsSold", IntegerType()),
+        StructField("SalesAmount", MONEY),
+    ]
+)
+SALES_WITH_HISTORY = StructType([*SALES.fields, StructField(HISTORY, ArrayType(STEP))])
+
 DATE_DIM = StructType(
     [
         StructField("DateId", LongType()),

@@ -170,6 +170,10 @@ class Warehouse:
     def read_sales(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.sales, schemas.SALES)
 
+    def read_sales_history(self, spark: SparkSession) -> DataFrame:
+        """The fact with the deliveries behind each row; ``read_sales`` leaves that column unread."""
+        return read_or_empty(spark, self.sales, schemas.SALES_WITH_HISTORY)
+
     def read_date(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.date, schemas.DATE_DIM)
 

@@ -4,11 +4,11 @@ A CSV file source over the delivery root (folders ``week=<yyyy-MM-dd>``) tells
 which folders have new files; ``foreachBatch`` then loads those folders whole,
 as ``plans.weekly_load.backfill`` does, so a delivery whose files arrive in
 several micro-batches is judged as one delivery.  A delivery older than some that
-are loaded already is applied before them: the later folders are loaded again
-behind it, so the outcome is that of the deliveries' order, not of their arrival.
+are loaded already takes its place before them (``operators.fact``), and only its own
+folder is read: the outcome is that of the deliveries' order, not of their arrival.
 
 Exactly-once in effect: a micro-batch re-run after a failure loads the same
-folders again, which changes nothing.  The stream's checkpoint lives under the
+folders again, which changes and writes nothing.  The stream's checkpoint lives under the
 shared folder named by ``spark.checkpoint.dir``.
 """
 
@@ -42,16 +42,11 @@ def arrived_folders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_arrived(spark: SparkSession, wh: Warehouse, root: str, arrived: list[str], batch_ts=None) -> LoadResult | None:
-    """Load the given folders, those of ``root`` that were never registered, and again all loaded ones behind the first of them.
-
-    Folder names sort by their date.  One row a delivery reaches the driver.
-    """
+    """Load the given folders and those of ``root`` that were never registered.  One row a delivery reaches the driver."""
     every = sorted(r.FilePath for r in delivery_folders(spark, root).collect())
     known = {r.FilePath for r in wh.read_batches(spark).select("FilePath").collect()}
     new = [f for f in every if f in arrived or f not in known]
-    if not new:
-        return None
-    return backfill(spark, wh, root, batch_ts, folders=[f for f in every if f >= new[0]])
+    return backfill(spark, wh, root, batch_ts, folders=new) if new else None
 
 
 def start_arrivals(
