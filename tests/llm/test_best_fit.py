@@ -27,10 +27,11 @@ def check(pieces, size=1024):
 
 def test_query_pieces_and_ids(spark, tmp_root):
     rows = odd_rows()
+    marked = ["<|endoftext|> hi", "a <|endoftext|>\n b", "x  <|endoftext|>  y<|endoftext|><|endoftext|>", "<|endoftext|", " \u3000 z\t\n", "e  "]
+    rows += [(800 + i, t, None, None, None) for i, t in enumerate(marked)]
     got = B.op10_best_fit(spark, folder(spark, tmp_root, rows)).collect()
     assert check(got) <= -(-sum(r.length for r in got) // 1024) + 1
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want = []
     for r in rows:
         ids = t.encode(r[1] or "", add_special_tokens=False).ids + [2]
@@ -71,3 +72,21 @@ def test_search_closes_bins_and_raises_squares(seed):
 
 def test_empty_table(spark, tmp_root):
     assert B.op10_best_fit(spark, folder(spark, tmp_root, [])).count() == 0
+
+
+def test_equal_rows_go_to_different_groups(spark, tmp_root):
+    frame = spark.createDataFrame([(None, 0, 0, 500, 1)] * 400, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    frame.write.parquet(f"{tmp_root}/pieces")
+    got = B.pack(spark.read.parquet(f"{tmp_root}/pieces"), group=50).collect()
+    assert check(got) <= 200 + 8
+    assert len({x.sequence_id // 2 % 8 for x in got}) == 8  # the group is the rest by their number
+
+
+def test_small_blocks_and_forgetting_give_the_same_ids(monkeypatch):
+    texts = [r[1] for r in odd_rows()] + ["b <|endoftext|> c", "d"]
+    whole = [x.tolist() for x in B.Encoder()(texts)]
+    monkeypatch.setattr(B, "BLOCK", 50)
+    monkeypatch.setattr(B, "KNOWN", 20)
+    assert [x.tolist() for x in B.Encoder()(texts)] == whole
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert whole == [t.encode(x or "", add_special_tokens=False).ids for x in texts]

@@ -2,7 +2,7 @@
 
 ``tokenise`` cuts each text's ids into pieces of at most ``size``; ``pack`` puts
 pieces into bins.  Full pieces are bins by themselves.  The others are dealt
-evenly to groups (by a hash of the piece, so no key gathers) and each group is
+evenly to groups (by a hash of the piece and its row, so no key gathers) and each group is
 packed in a task: best-fit decreasing first, then local search.  The search
 takes the emptiest bin and moves its pieces, or exchanges one of them for a
 smaller one, or two of them for one, with other underfull bins wherever that
@@ -17,9 +17,12 @@ other columns are not looked at; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -33,17 +36,68 @@ from pyspark.sql import types as T
 from .byte_bpe import read_ranks
 from .common import stored, table
 
-#: The ids of byte_bpe_50k.json: the same vocabulary as ranks, read by the faster library.
-VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
+#: Distinct stretches of text whose ids a task holds, about.
+KNOWN = 300_000
+#: Characters that a task encodes at a time.
+BLOCK = 1 << 22
+# Where a character that is no white space meets a space or a line end, no token goes across.
+_STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 SIZE, END = 1024, 2
 #: Pieces that a task packs, on average, and steps of its search without a closed bin.
 GROUP, PATIENCE = 20_000, 2_000
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
-    ranks = read_ranks(public_tokenizers.path(vocabulary))
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def encoder(ranks: str = "byte_bpe_50k.tiktoken") -> tiktoken.Encoding:
+    """The same vocabulary as ranks, without its marker: what token files are written with."""
+    found = read_ranks(public_tokenizers.path(ranks))
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={})
+
+
+@lru_cache(maxsize=2)
+def tokenizer(vocabulary: str = VOCABULARY):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary))
+
+
+class Encoder:
+    """Ids of whole texts, put together from those of their stretches; each distinct stretch is encoded once while it is known.
+
+    A marker of the vocabulary (``<|endoftext|>``) in a text is its own id, as the
+    library reads it by default.
+    """
+
+    def __init__(self, vocabulary: str = VOCABULARY):
+        self.tokenizer = tokenizer(vocabulary)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size < BLOCK):
+                size += len(texts[end] or "")
+                end += 1
+            if len(self.codes) > KNOWN:
+                self._forget()
+            codes, before = self.codes, len(self.codes)
+            docs = [[codes.setdefault(s, len(codes)) for s in _STRETCH.findall(t or "")] for t in texts[at:end]]
+            if len(codes) > before:
+                new = [e.ids for e in self.tokenizer.encode_batch(list(islice(codes, before, None)), add_special_tokens=False)]
+                self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(i) for i in new])])
+                self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(new), np.uint32)])
+            for d in docs:
+                part = np.array(d, np.int64)
+                n = self.starts[part + 1] - self.starts[part]
+                yield self.ids[np.repeat(self.starts[part + 1] - np.cumsum(n), n) + np.arange(n.sum())]
+            at = end
 
 
 def tokenise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, end: int = END) -> DataFrame:
@@ -54,11 +108,11 @@ def tokenise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder().encode_to_numpy
+        encode = Encoder()
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, t in enumerate(b.column(1)):
-                ids = np.append(encode(t.as_py() or ""), np.uint32(end)).astype("<u4", copy=False)
+            for i, ids in enumerate(encode(b.column(1).to_pylist())):
+                ids = np.append(ids, np.uint32(end)).astype("<u4", copy=False)
                 cuts = [0, *range(len(ids) % size or min(size, len(ids)), len(ids) + 1, size)]
                 for k, (a, z) in enumerate(zip(cuts, cuts[1:])):
                     row.append(i)
@@ -178,7 +232,8 @@ def pack(pieces: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
     """``pieces`` with sequence_id and offset; lengths are 1 to ``size``."""
     n = pieces.where(F.col("length") < size).count()
     groups = max(1, -(-n // group))
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(groups)))
+    # equal rows too go to different groups: a written piece has a number of its own
+    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length", F.monotonically_increasing_id()), F.lit(groups)))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
