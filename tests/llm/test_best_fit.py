@@ -82,11 +82,10 @@ def test_equal_rows_go_to_different_groups(spark, tmp_root):
     assert len({x.sequence_id // 2 % 8 for x in got}) == 8  # the group is the rest by their number
 
 
-def test_small_blocks_and_forgetting_give_the_same_ids(monkeypatch):
-    texts = [r[1] for r in odd_rows()] + ["b <|endoftext|> c", "d"]
-    whole = [x.tolist() for x in B.Encoder()(texts)]
-    monkeypatch.setattr(B, "BLOCK", 50)
-    monkeypatch.setattr(B, "KNOWN", 20)
-    assert [x.tolist() for x in B.Encoder()(texts)] == whole
-    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    assert whole == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+def test_every_code_point_and_marker_as_the_json_gives():
+    t, encode = Tokenizer.from_file(P.path("byte_bpe_50k.json")), B.Encoder()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b{c}{c}1{c} {c} x" for c in points[i : i + 400]) for i in range(0, len(points), 400)]
+    texts += [r[1] or "" for r in odd_rows()] + ["b <|endoftext|> c", "d", "<|endoftext|>", " \n<|endoftext|>\n\n e  "]
+    for x, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+        assert encode(x).tolist() == e.ids, hex(ord(x[1]))

@@ -18,11 +18,9 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -37,12 +35,6 @@ from .byte_bpe import read_ranks
 from .common import stored, table
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Distinct stretches of text whose ids a task holds, about.
-KNOWN = 300_000
-#: Characters that a task encodes at a time.
-BLOCK = 1 << 22
-# Where a character that is no white space meets a space or a line end, no token goes across.
-_STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
 SIZE, END = 1024, 2
 #: Pieces that a task packs, on average, and steps of its search without a closed bin.
 GROUP, PATIENCE = 20_000, 2_000
@@ -64,40 +56,21 @@ def tokenizer(vocabulary: str = VOCABULARY):
 
 
 class Encoder:
-    """Ids of whole texts, put together from those of their stretches; each distinct stretch is encoded once while it is known.
+    """Ids of whole texts as the json gives them.
 
-    A marker of the vocabulary (``<|endoftext|>``) in a text is its own id, as the
-    library reads it by default.
+    A text that holds the vocabulary's marker (``<|endoftext|>``, an id of its own) is
+    read by ``tokenizers`` from the json; any other by the faster library from the same
+    vocabulary as ranks, which gives the same ids (tested with every code point).
     """
 
-    def __init__(self, vocabulary: str = VOCABULARY):
-        self.tokenizer = tokenizer(vocabulary)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < BLOCK):
-                size += len(texts[end] or "")
-                end += 1
-            if len(self.codes) > KNOWN:
-                self._forget()
-            codes, before = self.codes, len(self.codes)
-            docs = [[codes.setdefault(s, len(codes)) for s in _STRETCH.findall(t or "")] for t in texts[at:end]]
-            if len(codes) > before:
-                new = [e.ids for e in self.tokenizer.encode_batch(list(islice(codes, before, None)), add_special_tokens=False)]
-                self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(i) for i in new])])
-                self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(new), np.uint32)])
-            for d in docs:
-                part = np.array(d, np.int64)
-                n = self.starts[part + 1] - self.starts[part]
-                yield self.ids[np.repeat(self.starts[part + 1] - np.cumsum(n), n) + np.arange(n.sum())]
-            at = end
+    def __init__(self):
+        self.tokenizer, self.fast = tokenizer(), encoder()
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        if text and any(m in text for m in self.markers):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.fast.encode_to_numpy(text or "")
 
 
 def tokenise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, end: int = END) -> DataFrame:
@@ -111,8 +84,8 @@ def tokenise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         encode = Encoder()
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encode(b.column(1).to_pylist())):
-                ids = np.append(ids, np.uint32(end)).astype("<u4", copy=False)
+            for i, t in enumerate(b.column(1)):
+                ids = np.append(encode(t.as_py()), np.uint32(end)).astype("<u4", copy=False)
                 cuts = [0, *range(len(ids) % size or min(size, len(ids)), len(ids) + 1, size)]
                 for k, (a, z) in enumerate(zip(cuts, cuts[1:])):
                     row.append(i)
