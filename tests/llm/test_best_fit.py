@@ -64,10 +64,55 @@ def test_search_closes_bins_and_raises_squares(seed):
     r = rng(seed)
     lengths = [r.choice([341, 342, 343, 512, 513, 170, 171]) for _ in range(1500)]
     bins = B.Bins(lengths, 1024)
-    before, squares = sum(map(bool, bins.members)), sum(f * f for f in bins.fill)
+    before, squares = sum(map(bool, bins.members)), int((bins.fill**2).sum())
     bins.search()
-    assert sum(map(bool, bins.members)) <= before and sum(f * f for f in bins.fill) >= squares
-    assert [sum(lengths[i] for i in m) for m in bins.members] == bins.fill
+    assert sum(map(bool, bins.members)) < before and int((bins.fill**2).sum()) > squares
+    assert [sum(lengths[i] for i in m) for m in bins.members] == bins.fill[: len(bins.members)].tolist()
+
+
+def test_search_comes_near_the_bound_where_best_fit_does_not():
+    r = rng(1)
+    lengths = [r.randint(260, 419) for _ in range(3000)]
+    least = -(-sum(lengths) // 1024)
+    bins = B.Bins(lengths, 1024)
+    assert len(bins.members) > 1.1 * least
+    assert len(B.pack_group(lengths, 1024)) <= 1.04 * least
+
+
+def offers_by_force(lengths):
+    one = {x for x in lengths}
+    return one | {x + y for k, x in enumerate(lengths) for y in lengths[k + 1 :]}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=30))
+def test_offers_are_all_lengths_of_one_or_two_pieces(lengths):
+    bins = B.Bins(lengths, 400)
+    assert len(bins.members) == 1
+    offers = bins._offers(0)
+    assert set(offers) == offers_by_force(lengths)
+    assert all(len(set(give)) == len(give) and sum(lengths[i] for i in give) == length for length, give in offers.items())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 64), min_size=2, max_size=40))
+def test_a_step_is_the_best_of_all_exchanges(lengths):
+    bins = B.Bins(lengths, 64)
+    open_ = [b for b, m in enumerate(bins.members) if bins.fill[b] < 64]
+    if not open_:
+        return
+    b = min(open_, key=lambda b: (bins.fill[b], b))
+    fill, best = bins.fill.tolist(), 0
+    for o in open_:
+        if o != b and fill[o] >= fill[b]:
+            for give in offers_by_force([lengths[i] for i in bins.members[b]]):
+                for back in [0, *(lengths[i] for i in bins.members[o])]:
+                    if back < give <= back + 64 - fill[o]:
+                        best = max(best, (fill[o] + give - back) ** 2 + (fill[b] - give + back) ** 2 - fill[o] ** 2 - fill[b] ** 2)
+    squares = int((bins.fill**2).sum())
+    assert bins._improve(b) == (best > 0)
+    assert int((bins.fill**2).sum()) - squares == best
+    assert sorted(i for m in bins.members for i in m) == list(range(len(lengths)))
 
 
 def test_empty_table(spark, tmp_root):

@@ -5,8 +5,10 @@ pieces into bins.  Full pieces are bins by themselves.  The others are dealt
 evenly to groups (by a hash of the piece and its row, so no key gathers) and each group is
 packed in a task: best-fit decreasing first, then local search.  The search
 takes the emptiest bin and moves its pieces, or exchanges one of them for a
-smaller one, or two of them for one, with other underfull bins wherever that
-raises the sum of squared fills; a bin that runs empty is closed.
+smaller one, or two of them for one, with whichever of all other underfull bins
+raises the sum of squared fills most; a bin that runs empty is closed.  A group's
+search ends at its volume bound, when no step raises the sum, or after ``PATIENCE``
+steps that closed no bin.
 
 The number of groups follows the number of pieces, so a task's work is bounded;
 a group's waste is below one bin beside what its lengths force.  Null text
@@ -21,6 +23,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -105,93 +108,101 @@ class Bins:
     """Bins of one group, by fill, and the search over them."""
 
     def __init__(self, lengths: list[int], size: int):
-        self.size, self.lengths = size, lengths
+        self.size, self.lengths = size, np.asarray(lengths, np.int64)
         self.members: list[list[int]] = []
-        self.fill: list[int] = []
-        self.order: list[tuple[int, int]] = []  # (fill, bin) of underfull bins, ascending
+        self.fill = np.zeros(len(lengths), np.int64)  # a place for each bin there could be
+        self.bin_of = np.zeros(len(lengths), np.int64)
+        order: list[tuple[int, int]] = []  # (fill, bin) of underfull bins, ascending
         for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
             # best fit: the fullest bin that still takes the piece
-            at = bisect.bisect_right(self.order, (size - lengths[i], len(self.fill)))
+            at = bisect.bisect_right(order, (size - lengths[i], len(self.members)))
             if at:
-                self._put(i, self.order[at - 1][1])
+                _, b = order.pop(at - 1)
             else:
-                self.members.append([i])
-                self.fill.append(lengths[i])
-                bisect.insort(self.order, (lengths[i], len(self.fill) - 1))
-
-    def _refill(self, b: int, by: int) -> None:
-        if 0 < self.fill[b] < self.size:
-            del self.order[bisect.bisect_left(self.order, (self.fill[b], b))]
-        self.fill[b] += by
-        if 0 < self.fill[b] < self.size:
-            bisect.insort(self.order, (self.fill[b], b))
+                b = len(self.members)
+                self.members.append([])
+            self._put(i, b)
+            if self.fill[b] < size:
+                bisect.insort(order, (int(self.fill[b]), b))
 
     def _put(self, i: int, b: int) -> None:
         self.members[b].append(i)
-        self._refill(b, self.lengths[i])
+        self.bin_of[i] = b
+        self.fill[b] += self.lengths[i]
 
     def _take(self, i: int, b: int) -> None:
         self.members[b].remove(i)
-        self._refill(b, -self.lengths[i])
-
-    def _move(self, b: int) -> bool:
-        """Move a piece of ``b`` to the fullest other bin that takes it."""
-        for i in sorted(self.members[b], key=lambda i: -self.lengths[i]):
-            at = bisect.bisect_right(self.order, (self.size - self.lengths[i], len(self.fill)))
-            while at and self.order[at - 1][1] == b:
-                at -= 1
-            if at and self.order[at - 1][0] + self.lengths[i] > self.fill[b]:
-                to = self.order[at - 1][1]
-                self._take(i, b)
-                self._put(i, to)
-                return True
-        return False
-
-    def _exchange(self, b: int, width: int) -> bool:
-        """Give one or two pieces of ``b`` for a smaller piece of a fuller bin, filling that bin as far as it goes."""
-        mine = self.members[b]
-        single = [(self.lengths[i], (i,)) for i in mine]
-        double = [(self.lengths[i] + self.lengths[j], (i, j)) for k, i in enumerate(mine[:24]) for j in mine[k + 1 : 24]]
-        offers = sorted(single + double)
-        best = None
-        for fill, other in reversed(self.order[-width:]):
-            if other == b or fill < self.fill[b]:
-                continue
-            room = self.size - fill
-            for j in self.members[other]:
-                at = bisect.bisect_right(offers, (self.lengths[j] + room, (len(self.lengths),))) - 1
-                if at >= 0 and (gain := offers[at][0] - self.lengths[j]) > 0:
-                    # the change of the squared fills, of which the fuller bin's counts most
-                    better = 2 * gain * (fill - self.fill[b]) + 2 * gain * gain
-                    if best is None or better > best[0]:
-                        best = (better, offers[at][1], j, other)
-        if best is None:
+        self.fill[b] -= self.lengths[i]
+
+    def _offers(self, b: int) -> dict[int, tuple[int, ...]]:
+        """What ``b`` can give, one piece or two, by length.
+
+        Two pieces of a length stand for all of it, so a bin of any number of pieces has
+        at most some ninety to pair.
+        """
+        same: dict[int, list[int]] = {}
+        for i in self.members[b]:
+            same.setdefault(int(self.lengths[i]), []).append(i)
+        found = {length: (ids[0],) for length, ids in same.items()}
+        for (x, i), (y, j) in combinations([(length, i) for length, ids in same.items() for i in ids[:2]], 2):
+            found.setdefault(x + y, (i, j))
+        return found
+
+    def _improve(self, b: int) -> bool:
+        """The move or exchange between ``b`` and a bin at least as full that raises the squared fills most.
+
+        ``b`` gives one or two pieces and gets nothing, or one smaller piece, back.  Every
+        underfull bin and every piece in one is looked at.
+        """
+        mine = int(self.fill[b])
+        fill = self.fill[self.bin_of]
+        near = np.flatnonzero((fill < self.size) & (fill >= mine) & (self.bin_of != b))
+        if not len(near):
+            return False
+        # what comes back: a piece of those bins, or nothing (length 0)
+        bins, first = np.unique(self.bin_of[near], return_index=True)
+        back = np.concatenate([self.lengths[near], np.zeros(len(bins), np.int64)])
+        full = np.concatenate([fill[near], fill[near[first]]])
+        offers = self._offers(b)
+        best, choice = 0, None
+        for length, give in offers.items():
+            gain = length - back
+            better = np.where((gain > 0) & (gain <= self.size - full), gain * (full - mine + gain), 0)
+            at = int(better.argmax())
+            if better[at] > best:
+                best, choice = int(better[at]), (give, at)
+        if choice is None:
             return False
-        _, give, back, other = best
-        self._take(back, other)
+        give, at = choice
+        other = int(self.bin_of[near[at]]) if at < len(near) else int(bins[at - len(near)])
+        if at < len(near):
+            self._take(int(near[at]), other)
         for i in give:
             self._take(i, b)
             self._put(i, other)
-        self._put(back, b)
+        if at < len(near):
+            self._put(int(near[at]), b)
         return True
 
-    def search(self, patience: int = PATIENCE, width: int = 64) -> None:
+    def search(self, patience: int = PATIENCE) -> None:
         """Drain underfull bins, the emptiest first, until the bound is met or ``patience`` steps close no bin.
 
         Every step raises the sum of squared fills, so the search can't go round in circles.
+        A bin that nothing can be done with is left until a bin has been closed.
         """
-        least, n = -(-sum(self.lengths) // self.size), sum(map(bool, self.members))
-        left, stuck = patience, set()
+        least, n = -(-int(self.lengths.sum()) // self.size), sum(map(bool, self.members))
+        left, stuck = patience, np.zeros(len(self.fill), bool)
         while left and n > least:
-            b = next((b for _, b in self.order if b not in stuck), None)
-            if b is None:
+            open_ = np.where((self.fill > 0) & (self.fill < self.size) & ~stuck, self.fill, self.size)
+            b = int(open_.argmin())
+            if open_[b] == self.size:
                 return
             left -= 1
-            if not (self._move(b) or self._exchange(b, width)):
-                stuck.add(b)
+            if not self._improve(b):
+                stuck[b] = True
             elif not self.members[b]:
                 n, left = n - 1, patience
-                stuck.clear()
+                stuck[:] = False
 
 
 def pack_group(lengths: list[int], size: int) -> list[list[int]]:
