@@ -42,13 +42,16 @@ def test_counts_equal_brute_force(spark, tmp_root):
     assert kept[204] and not kept[205] and not kept[0]
 
 
+def by_sql(root):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{root}/documents.parquet/*.parquet'")
+    return con.execute(Q.ORACLE).fetchall()
+
+
 def test_sql_agrees(spark, tmp_root):
     rows = list({r[0]: r for r in ROWS if r[0] is not None and "\x00" not in (r[1] or "")}.values())
     root = folder(spark, tmp_root, rows)
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{root}/documents.parquet/*.parquet'")
-    want = con.execute(Q.ORACLE).fetchall()
-    assert sorted(map(tuple, Q.op3_quality_rules(spark, root).collect())) == sorted(want)
+    assert sorted(map(tuple, Q.op3_quality_rules(spark, root).collect())) == sorted(by_sql(root))
 
 
 def test_keep_returns_the_columns_and_runs_no_python(spark):
@@ -74,8 +77,10 @@ def test_stop_words_bind_only_the_listed_languages(spark, tmp_root):
         [(RU, "ru"), (RU, None), (RU, "en"), (PL, "pl"), (PL, None), (ID, "id"), (ID, "id-ID"), (SPAM, "en"), (SPAM, "en-US"), (SPAM, None), (SPAM, "und")]
     )]
     root = folder(spark, tmp_root, rows)
-    kept = {r.doc_id for r in Q.op3_quality_rules(spark, root).collect() if r.kept}
+    found = Q.op3_quality_rules(spark, root).collect()
+    kept = {r.doc_id for r in found if r.kept}
     assert kept == set(range(7))
+    assert sorted(map(tuple, found)) == sorted(by_sql(root))
     docs = documents(spark, rows, clash=True)
     assert {r.doc_id for r in Q.keep(docs).collect()} == kept
     assert {r.doc_id for r in Q.keep(docs.drop("lang")).collect()} == {0, 1, 2, 3, 4}

@@ -9,8 +9,10 @@ column ``lang`` names another language, nor where one letter in a hundred or mor
 is outside the alphabets of the listed ones.  Without a name (null, empty, ``und``
 or no such column) the letters alone decide.
 
-Null and empty texts have no words, so they fail the base rule.  Repeated rows
-are judged each for itself; columns but text and ``lang`` are not looked at.
+Null and empty texts have no words, so they fail the base rule; an empty table
+gives no rows.  A text of any length is measured whole, as one row of its task.
+Repeated rows are judged each for itself; columns but text and ``lang`` are not
+looked at.
 """
 
 from __future__ import annotations
@@ -171,6 +173,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
+         lower(regexp_extract(coalesce(lang, ''), '^[\x20\x09-\x0D]*([^-_\x20\x09-\x0D]*)', 1)) AS name,
+         length(regexp_replace(coalesce(text, ''), '\P{L}+', '', 'g')) AS letters,
+         length(regexp_replace(coalesce(text, ''), '[\P{L}A-Za-z__LETTERS__]+', '', 'g')) AS others,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents
@@ -182,7 +187,8 @@ WITH d AS (
 ), g AS (
   SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS c FROM r
 ), p AS (SELECT doc_id, sum(c) AS c FROM g GROUP BY doc_id), m AS (
-  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT d.doc_id, name IN __NAMES__ AND (letters = 0 OR 100 * others < __PERCENT__ * letters) AS listed,
+         CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
@@ -196,7 +202,14 @@ WITH d AS (
          greatest(n_words, 1) AS nw, greatest(n_lines, 1) AS nl FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND word_chars / nw BETWEEN 2.5 AND 12.0 AND n_symbols / nw <= 0.1 AND n_stop / nw >= 0.02
+       NOT base_failed AND word_chars / nw BETWEEN 2.5 AND 12.0 AND n_symbols / nw <= 0.1 AND (NOT listed OR n_stop / nw >= 0.02)
        AND n_dup_lines / nl <= 0.5 AND n_bullet / nl <= 0.9 AND n_ellipsis / nl <= 0.3 AS kept
 FROM b
-""".replace("__STOP__", "[" + ", ".join(f"'{w}'" for w in sorted({w for ws in STOP_WORDS.values() for w in ws.split()})) + "]")
+"""
+for _mark, _value in {
+    "__STOP__": "[" + ", ".join(f"'{w}'" for w in sorted({w for ws in STOP_WORDS.values() for w in ws.split()})) + "]",
+    "__NAMES__": "(" + ", ".join(f"'{n}'" for n in LISTED + UNNAMED) + ")",
+    "__LETTERS__": LETTERS,
+    "__PERCENT__": str(FOREIGN_PERCENT),
+}.items():
+    ORACLE = ORACLE.replace(_mark, _value)
