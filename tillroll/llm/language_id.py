@@ -219,17 +219,25 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     return docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col(f"`{text}`").alias("__text__")).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is found and not rejected; columns as they are."""
+def keep_identified(docs: DataFrame, model: Model, text: str = "text", into: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is found and not rejected.
+
+    ``into`` names a text column that takes the language found; the other columns, and
+    all without it, are as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
+    to = docs.columns.index(into) if into else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs, scores = classify(shared.value, b.column(at).to_pylist())
+            if to is not None:
+                b = b.set_column(to, b.schema.field(to), pa.array(langs, b.schema.field(to).type))
             yield b.filter(pa.array([x != UNKNOWN and s >= shared.value.threshold for x, s in zip(langs, scores)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) if f.name == into else f for f in docs.schema.fields])
+    return docs.mapInArrow(run, schema)
 
 
 def held_out(folds: int = 3):
