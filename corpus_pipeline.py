@@ -17,12 +17,12 @@ from tillroll.llm.common import stored, table
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a language, or with a rejected one, go."""
-    return language_id.keep_identified(docs, language_id.train(docs.where(~language_id.held_out())))
+    """Language ID: documents without a language, or with a rejected one, go; ``lang`` becomes the language found."""
+    return language_id.keep_identified(docs, language_id.train(docs.where(~language_id.held_out())), into="lang")
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that fail one go."""
+    """Quality rules: documents that fail one go; which rules bind follows the language that was found."""
     return quality_rules.keep(docs)
 
 
