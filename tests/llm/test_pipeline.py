@@ -37,6 +37,10 @@ def test_stages_in_turn(spark, tmp_root):
     taken, kept = seen["language_id"]
     assert all(r.text and any(map(str.isalpha, r.text)) for r in kept)
     assert {r.doc_id for r in kept} >= set(range(150))
+    model = C.language_id.train(spark.createDataFrame(taken).where(~C.language_id.held_out()))
+    found, _ = C.language_id.classify(model, [r.text for r in kept])
+    assert [r.lang for r in kept] == list(found)
+    assert {(r.doc_id, r.text, r.source, r.n_chars) for r in kept} <= {(r.doc_id, r.text, r.source, r.n_chars) for r in taken}
     taken, kept = seen["quality_rules"]
     judged = let(quality_rules.measures(F.col("text")), lambda m: quality_rules.verdict(m)[1])
     verdicts = {r.doc_id: r.kept for r in spark.createDataFrame(taken).select("doc_id", judged.alias("kept")).collect()}
