@@ -1,6 +1,7 @@
 import datetime as dt
 import decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import SCAN_PARTS, SUNDAY1, SUNDAY2, WEEK1, write_csv
@@ -56,7 +57,40 @@ def test_export_round_trip(spark, tmp_root):
     assert ("week=2023-03-05", "1,Retailer 0,05/03/2023,6,1.20") in lines and len(lines) == 120
     assert {(r["week"], r["Week Ending"]) for r in read_deliveries(spark, root).collect()} == {(d, d) for d in (SUNDAY1, SUNDAY2)}
     order = read_export_order(spark, root).collect()
-    assert len(order) == 120 and all(r["place"] == r["expected"] for r in order)
+    assert len(order) == 120 and all(r["in_order"] for r in order)
+
+
+def hot_week(spark, n):
+    """A week with all but twenty of ``n`` rows, out of order."""
+    day = F.when(F.col("id") < n - 20, F.lit(SUNDAY1)).otherwise(F.lit(SUNDAY2)).alias("Week Ending")
+    name = F.concat(F.lit("Shop "), F.col("id") % 7).alias("Retailer")
+    return spark.range(n).select((F.col("id") * 7919 % n).alias("SKU"), name, day, F.lit(1).alias("Units"), F.lit(1).cast("decimal(13,2)").alias("Sales"))
+
+
+def test_a_hot_week_gives_bounded_sorted_files(spark, tmp_root):
+    root = f"{tmp_root}/hot"
+    export_extract(hot_week(spark, 5000), root, file_rows=700)
+    files = read_extract(spark, root, with_file_path=True).groupBy("file_path").count().collect()
+    assert sum(r["count"] for r in files) == 5000 and max(r["count"] for r in files) <= 700
+    assert read_export_order(spark, root).where("in_order").count() == 5000
+
+
+@pytest.mark.parametrize("block", ["128m", "512b"])
+def test_order_is_checked_across_blocks(spark, tmp_root, block):
+    lines = [f"{i},Shop,05/03/2023,1,1.00" for i in range(1000)]
+    lines[300], lines[700] = lines[700], lines[300]  # after each of the two, a line falls back
+    lines += ['5,"Shop, old",05/03/2023,1,1.00', ",Shopp,05/03/2023,1,1.00", "4,Shopp,05/03/2023,1,1.00"]
+    write_csv(f"{tmp_root}/x/week=2023-03-05", lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        wrong = sorted(r["line"] for r in read_export_order(spark, f"{tmp_root}/x").where("not in_order").collect())
+        assert read_export_order(spark, f"{tmp_root}/x").count() == 1003
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert wrong == sorted([lines[301], lines[700]])
 
 
 def test_folders_come_from_the_listing(spark, tmp_root):

@@ -6,9 +6,9 @@ short row becomes null, the row stays), units truncated to int, sales read
 straight into DECIMAL(13,2).
 
 Export layout: one folder per week ending, ``<root>/week=<yyyy-MM-dd>/``,
-each holding the week's rows sorted by retailer and SKU, with a header line.
-The export is range-partitioned on (week, retailer, SKU): a large week is
-spread over several tasks and files instead of being forced into one.
+of files with a header line, each sorted by retailer and SKU.  Rows go to their
+week by a rebalance: Spark splits a large week by its bytes and puts small ones
+together, and a file has at most ``FILE_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ from ..functions.money import EXTRACT_DATE_FORMAT, to_money, to_units
 EXTRACT_SCAN_DATE_FORMAT = "d/M/y"
 DELIVERY_COLUMN = "week"
 
+#: Rows of an exported file at most.
+FILE_ROWS = 5_000_000
+
 
 def read_extract(spark: SparkSession, path: str | list[str], with_file_path: bool = False) -> DataFrame:
     """Scan all CSV part files under ``path`` into the extract schema.
@@ -82,13 +85,14 @@ def read_deliveries(spark: SparkSession, root: str, folders: list[str] | None =
     )
 
 
-def export_extract(df: DataFrame, root: str, delivery: str | None = None) -> None:
+def export_extract(df: DataFrame, root: str, delivery: str | None = None, file_rows: int = FILE_ROWS) -> None:
     """Write an extract as CSV folders, one per delivery week.
 
     ``delivery`` names a DATE column giving the delivery week of each row
-    (default: its own ``Week Ending``).  Rows are range-partitioned and
-    sorted by (delivery, Retailer, SKU) so every file is sorted and no task
-    holds more than its range, however uneven the weeks are.
+    (default: its own ``Week Ending``).  Rows are computed once, rebalanced by
+    week and sorted by (delivery, Retailer, SKU) in their task: every file is
+    sorted, a task holds a share of a large week by bytes, and no file has more
+    than ``file_rows`` rows.
     """
     week = F.col(delivery) if delivery else F.col("Week Ending")
     out = df.select(
@@ -100,29 +104,46 @@ def export_extract(df: DataFrame, root: str, delivery: str | None = None) -> Non
         "Sales",
     )
     (
-        out.repartitionByRange(DELIVERY_COLUMN, "Retailer", "SKU")
+        out.hint("rebalance", DELIVERY_COLUMN)
         .sortWithinPartitions(DELIVERY_COLUMN, "Retailer", "SKU")
         .write.mode("overwrite")
         .partitionBy(DELIVERY_COLUMN)
         .option("header", "true")
         .option("dateFormat", EXTRACT_DATE_FORMAT)
+        .option("maxRecordsPerFile", file_rows)
         .csv(root)
     )
 
 
 def read_export_order(spark: SparkSession, root: str) -> DataFrame:
-    """Each data line of exported files with its place in its file, and the place its sort key gives it there."""
-    files = spark.read.text(root + "/*/*.csv", wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.split(F.rtrim(F.col("value")), "\\R").alias("lines")
-    )
-    lines = files.select(
-        "file",
-        F.posexplode(F.filter("lines", lambda x: ~x.startswith("SKU,") & (x != ""))).alias("place", "line"),
+    """(folder, line, in_order): each data line of exported files, and whether its key is none before the line above it.
+
+    Files are read in blocks like any text, of any size: lines are compared within
+    their block, and the first of a block with the last of the block before.
+    """
+    fields = [f"`{f.name}` {'bigint' if f.name == 'SKU' else 'string'}" for f in schemas.EXTRACT_CSV.fields]
+    row = F.from_csv("line", ", ".join(fields))
+    lines = (
+        spark.read.text(root + "/*/*.csv")
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+            F.col("value").alias("line"),
+        )
+        .where(~F.col("line").startswith("SKU,") & (F.col("line") != ""))
+        .select("file", "block", "at", "line", F.struct(row["Retailer"], row["SKU"]).alias("key"))
     )
-    cells = F.split("line", ",")
-    key = Window.partitionBy("file").orderBy(F.get(cells, 1), F.get(cells, 0).cast("long"))
+    within = Window.partitionBy("file", "block").orderBy("at")
+    lines = lines.withColumn("above", F.lag("key").over(within))
+    # a row a block: the key that the last line of the block before it has
+    blocks = lines.groupBy("file", "block").agg(F.max_by("key", "at").alias("last"))
+    blocks = blocks.select("file", "block", F.lag("last").over(Window.partitionBy("file").orderBy("block")).alias("before"))
     folder = F.regexp_extract("file", r"/(week=[^/]+)/[^/]+$", 1)
-    return lines.select(folder.alias("folder"), "line", "place", (F.row_number().over(key) - 1).alias("expected"))
+    above = F.coalesce("above", "before")
+    return lines.join(blocks, ["file", "block"]).select(
+        folder.alias("folder"), "line", (above.isNull() | (above <= F.col("key"))).alias("in_order")
+    )
 
 
 def read_extract_lines(spark: SparkSession, root: str) -> DataFrame:
