@@ -50,12 +50,42 @@ def test_many_names_have_ids_of_their_own(spark):
     assert names.select(surrogate_key("n").alias("k")).distinct().count() < 800_000
 
 
-def test_collisions_move_as_few_as_they_must(spark):
+def _keep(spark, tmp_root):
+    def keep(df, label):
+        df.write.parquet(f"{tmp_root}/{label}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_root}/{label}")
+
+    return keep
+
+
+def test_collisions_move_as_few_as_they_must(spark, tmp_root):
     dim = spark.createDataFrame([(5, "old", None, None, None, None, None)], "ProductId long, ProductName string, ProductType string, a int, b int, c int, d int")
     plain = {r.n: r.k for r in spark.range(200).select(F.concat(F.lit("m"), "id").alias("n")).select("n", key_of("n", 10).alias("k")).collect()}
     fresh = spark.createDataFrame([(k, n, None, None, None, None, None) for n, k in plain.items()], dim.schema)
-    got, moved = settle_ids(fresh, dim, "ProductName", "ProductId", 10)
+    got, moved = settle_ids(fresh, dim, "ProductName", "ProductId", 10, _keep(spark, tmp_root))
+    moved = {r.ProductName: r.ProductId for r in moved.collect()}
     ids = {r.ProductName: r.ProductId for r in got.collect()}
     assert len(set(ids.values())) == 200 and 5 not in ids.values()
-    assert {n for n in ids if ids[n] != plain[n]} <= {n for n, _ in moved}
-    assert len(moved) < 60
+    assert {n for n in ids if ids[n] != plain[n]} <= set(moved)
+    assert len(moved) < 60 and all(ids[n] == i for n, i in moved.items())
+
+
+def test_many_collisions_settle_by_joins(spark, tmp_root, monkeypatch):
+    """A tenth of 40,000 names collide at 18 bits, with each other and with stored ones; nothing is collected."""
+    names = spark.range(40_000).select(F.concat(F.lit("name "), "id").alias("ProductName"))
+    keyed = names.select(key_of("ProductName", 18).alias("ProductId"), "ProductName")
+    old = spark.range(10_000).select(F.col("id").alias("ProductId"), F.concat(F.lit("stored "), "id").alias("ProductName"))
+    with monkeypatch.context() as m:
+        m.setattr(type(names), "collect", lambda self: pytest.fail("collected"))
+        got, moved = settle_ids(keyed, old, "ProductName", "ProductId", 18, _keep(spark, tmp_root))
+    assert got.select("ProductId").distinct().count() == got.count() == 40_000
+    assert got.join(old, "ProductId").isEmpty()
+    plain = got.join(keyed.withColumnRenamed("ProductId", "plain"), "ProductName").where("ProductId <> plain")
+    assert moved.count() >= plain.count() > 2_000
+    assert plain.join(moved, ["ProductName", "ProductId"], "left_anti").isEmpty()
+
+
+def test_no_collision_changes_nothing(spark, tmp_root):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, None)], "ProductId long, ProductName string")
+    got, moved = settle_ids(rows, rows.limit(0), "ProductName", "ProductId", 10, _keep(spark, tmp_root))
+    assert moved is None and got.columns == rows.columns and got.count() == 4

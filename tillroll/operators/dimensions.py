@@ -11,6 +11,7 @@ the cost follows the batch.  Only new rows are appended.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -138,24 +139,30 @@ def taken_ids(fresh: DataFrame, dim: DataFrame, name: str, id_col: str) -> DataF
     return found.where("n > 1").select(id_col, F.when(F.col("old") == 0, F.col("least")).alias("first"))
 
 
-def settle_ids(fresh: DataFrame, dim: DataFrame, name: str, id_col: str, bits: int, tries: int = 64) -> tuple[DataFrame, list[tuple[str, int]]]:
-    """``fresh`` with unique ids, and the (name, id) that were changed: as few as collide at ``bits`` bits.
+def settle_ids(
+    fresh: DataFrame, dim: DataFrame, name: str, id_col: str, bits: int, keep: Callable[[DataFrame, str], DataFrame], tries: int = 64
+) -> tuple[DataFrame, DataFrame | None]:
+    """``fresh`` with unique ids, and (name, id) of those that were changed (None if no id collides at ``bits`` bits).
 
     A member whose id another one holds gets a salted id, until none collides;
     the smallest of new names keeps the plain id, a stored member always does.
+    Each round is a join: ``keep`` (given a frame and a label) stores its names and
+    ids where executors can read them, so nothing comes to the driver and no plan
+    repeats an earlier round.
     """
-    changed: dict[str, int] = {}
+    given = fresh.columns
+    fresh = fresh.withColumn("_moved", F.lit(False))
     for salt in range(1, tries + 1):
         taken = taken_ids(fresh, dim, name, id_col)
         losers = fresh.where(F.col(name).isNotNull()).join(taken, id_col).where(~F.col(name).eqNullSafe(F.col("first")))
-        moved = {r[0]: r[1] for r in losers.select(name, key_of(name, bits, salt).alias("k")).distinct().collect()}
-        if not moved:
-            return fresh, sorted(changed.items())
-        changed.update(moved)
-        spark = fresh.sparkSession
-        frame = spark.createDataFrame(sorted(moved.items()), "__name string, __id long")
-        fresh = fresh.join(F.broadcast(frame), fresh[name] == F.col("__name"), "left").select(
-            *[F.coalesce("__id", id_col).alias(c) if c == id_col else F.col(c) for c in fresh.columns]
+        moved = losers.select(F.col(name).alias("_name"), key_of(name, bits, salt).alias("_id")).distinct()
+        if moved.isEmpty():
+            changed = fresh.where("_moved").select(name, id_col).distinct() if salt > 1 else None
+            return fresh.select(*given), changed
+        moved = keep(moved, f"moved_{id_col}_{salt}")
+        fresh = fresh.join(moved, F.col(name) == F.col("_name"), "left").select(
+            *[F.coalesce("_id", id_col).alias(c) if c == id_col else F.col(c) for c in given],
+            (F.col("_moved") | F.col("_id").isNotNull()).alias("_moved"),
         )
     raise Q.GateError(f"ETL: {id_col} - no free id of {bits} bits found; the warehouse needs wider ids")
 

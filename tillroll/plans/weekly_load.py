@@ -140,11 +140,14 @@ def load_batch(
         prod_old, ret_old = wh.read_product(spark), wh.read_retailer(spark)
         prod_new = new_members(product_candidates(rows, delivery, bid_carry), prod_old, "ProductName", "ProductId", ts, batch_id, width, bid_col)
         ret_new = new_members(retailer_candidates(rows, delivery, bid_carry), ret_old, "RetailerName", "RetailerId", ts, batch_id, width, bid_col)
-        prod_new, prod_moved = settle_ids(staged(prod_new, "product_found"), prod_old, "ProductName", "ProductId", width)
-        ret_new, ret_moved = settle_ids(staged(ret_new, "retailer_found"), ret_old, "RetailerName", "RetailerId", width)
+        prod_new, prod_moved = settle_ids(staged(prod_new, "product_found"), prod_old, "ProductName", "ProductId", width, staged)
+        ret_new, ret_moved = settle_ids(staged(ret_new, "retailer_found"), ret_old, "RetailerName", "RetailerId", width, staged)
         prod_new, ret_new = staged(prod_new, "product"), staged(ret_new, "retailer")
-        moved = [("product", n, i) for n, i in prod_moved] + [("retailer", n, i) for n, i in ret_moved]
-        new_exceptions = staged(spark.createDataFrame(moved, schemas.KEY_EXCEPTIONS), "key_exceptions")
+        new_exceptions = spark.createDataFrame([], schemas.KEY_EXCEPTIONS)
+        for kind, moved in (("product", prod_moved), ("retailer", ret_moved)):
+            if moved is not None:
+                new_exceptions = new_exceptions.union(moved.select(F.lit(kind), *moved.columns))
+        new_exceptions = staged(new_exceptions, "key_exceptions")
         exceptions = wh.read_key_exceptions(spark).unionByName(new_exceptions)
         reports.append(("product", Q.gate_report(gate_scope(prod_new, prod_old, "ProductId"), PRODUCT_TABLE, PRODUCT_GATE)))
         reports.append(("new_products", Q.row_count(prod_new, "product")))
