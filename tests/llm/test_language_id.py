@@ -108,3 +108,22 @@ def test_no_language_is_only_held_for_calibration(monkeypatch):
     monkeypatch.setattr(L, "_calibrated", lambda model, rows: held.extend(rows) or model)
     L.fit([(text(r, "en", 30), "en") for _ in range(80)] + list(alone))
     assert held and not alone & set(held)
+
+
+def test_all_of_many_languages_are_learned(spark, monkeypatch):
+    """Each of 300 languages has its own alphabet of two syllables; the sample's bounds thin texts, not languages."""
+    r = rng(13)
+    made = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(300)]
+    docs = [(i, " ".join(made[i % 300][x : x + 3] for x in r.choices((0, 3), k=30)), f"x{i % 300:03d}", "s", 0) for i in range(1500)]
+    seen = []
+    fit = L.fit
+    monkeypatch.setattr(L, "fit", lambda rows: seen.extend(rows) or fit(rows))
+    model = L.train(documents(spark, docs))
+    assert len(model.languages) == 300 and model.weights is not None
+    found, _ = L.classify(model, [d[1] for d in docs])
+    assert sum(a == d[2] for a, d in zip(found, docs)) >= 0.9 * len(docs)
+    seen.clear()
+    monkeypatch.setattr(L, "SAMPLE_TEXTS", 600)
+    monkeypatch.setattr(L, "SAMPLE_TOTAL", 6000)
+    L.train(documents(spark, docs))
+    assert len({lang for _, lang in seen}) == 300 and len(seen) <= 600 and max(len(t) for t, _ in seen) <= 10

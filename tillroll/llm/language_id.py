@@ -1,9 +1,11 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
 ``train`` fits the model by stochastic gradient descent in numpy on a bounded
-sample of labelled texts (``PER_LANGUAGE`` distinct texts of each of the
-``MAX_LANGUAGES`` values with most of them; of a longer text an excerpt of
-``SAMPLE_CHARS`` characters from its first letter on); ``predict`` reads every
+sample of labelled texts: of every language up to ``PER_LANGUAGE`` distinct texts,
+fewer where there are so many languages that they would pass ``SAMPLE_TEXTS``, but
+one at least; of a longer text an excerpt of ``SAMPLE_CHARS`` characters from its
+first letter on, shorter where all excerpts would pass ``SAMPLE_TOTAL``.  All
+values of the language column are learned, however many.  ``predict`` reads every
 whole text.  A text's features are its hashed byte trigrams and four-grams,
 lower-cased, all that is not a letter turned into single spaces.  Part of the
 sample, not trained on, sets the softmax temperature and the score under which a
@@ -12,7 +14,8 @@ prediction counts as rejected.
 Null text and text without a letter give ``und`` with score 0, rejected; so does
 everything if no row has a language.  Null languages are not learned from.
 Copies count once in the sample.  Repeated rows get the same answer; the
-language, source and id of a row are never inputs, nor are other columns.
+language, source and id of a row are never inputs, nor are other columns,
+whatever their names.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,8 +33,11 @@ from .common import crc_of_id, table
 
 UNKNOWN = "und"
 BITS, DIM = 16, 16
-PER_LANGUAGE, MAX_LANGUAGES, SAMPLE_CHARS = 400, 200, 20_000
-EPOCHS, RATE = 6, 0.5
+PER_LANGUAGE, SAMPLE_CHARS = 400, 20_000
+#: Texts and characters of the sample in all.
+SAMPLE_TEXTS, SAMPLE_TOTAL = 80_000, 32_000_000
+#: Passes over the sample; more if a language would be seen fewer than SEEN times on average.
+EPOCHS, SEEN, RATE = 6, 100, 0.5
 SNIPPETS, SNIPPET_CHARS = 2, 120
 #: At most this share of right predictions in the calibration part is rejected; no score above the cap is.
 REJECTED_SHARE, THRESHOLD_CAP = 0.002, 0.5
@@ -45,10 +51,11 @@ _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # logit of each hashed subword for each language
+    table: np.ndarray  # of each hashed subword the logit for each language, or with many languages its embedding
     bias: np.ndarray
     temperature: float
     threshold: float
+    weights: np.ndarray | None = None  # from embeddings to logits
 
 
 def has_letter(text: str | None) -> bool:
@@ -79,7 +86,8 @@ def _logits(model: Model, texts: list[str]) -> np.ndarray:
     h, starts = subwords(texts)
     sums = np.add.reduceat(model.table[h], starts, axis=0, dtype=np.float64)
     counts = np.diff(np.append(starts, len(h)))
-    return sums / counts[:, None] + model.bias
+    mean = sums / counts[:, None]
+    return (mean if model.weights is None else mean @ model.weights) + model.bias
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -133,8 +141,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     e = rng.normal(0, 1.0 / DIM, (1 << BITS, DIM)).astype(np.float32)
     w = np.zeros((DIM, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, step = EPOCHS * len(examples), 0
-    for _ in range(EPOCHS):
+    passes = max(EPOCHS, SEEN * len(languages) // len(examples))
+    steps, step = passes * len(examples), 0
+    for _ in range(passes):
         for k in rng.permutation(len(examples)):
             ids, share, y = examples[k]
             rate = RATE * (1 - step / steps)
@@ -150,7 +159,8 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
             bias -= rate * 0.1 * p
             # a subword's own share is tiny in a long text: its embedding moves by the share's square root
             e[ids] = rows_e - rate * np.sqrt(share)[:, None] * back
-    model = Model(languages, np.ascontiguousarray(e @ w), bias.astype(np.float64), 1.0, 0.0)
+    few = len(languages) <= DIM
+    model = Model(languages, np.ascontiguousarray(e @ w) if few else e, bias.astype(np.float64), 1.0, 0.0, None if few else w)
     return _calibrated(model, [rows[i] for i in sorted(held)])
 
 
@@ -176,20 +186,22 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     rows = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("l").isNotNull() & F.col("t").rlike(_ANY_LETTER))
     rows = rows.withColumn("h", F.xxhash64("t"))
     texts = rows.select("l", "h").distinct()  # copies are one text of their language
-    counts = {r["l"]: r["count"] for r in texts.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()}
+    counts = texts.groupBy("l").count().collect()  # a row a language
     if not counts:
         return fit([])
+    spark = docs.sparkSession
+    per_language = max(1, min(per_language, SAMPLE_TEXTS // len(counts)))
     # a text's place in [0, 1) by its hash; twice the texts wanted of each language and more on average, the lowest of them are taken
     place = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
-    most = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, (2.0 * per_language + 40) / n)]), F.col("l"))
+    most = spark.createDataFrame([(r["l"], (2.0 * per_language + 40) / r["count"]) for r in counts], "l string, most double")
+    near = texts.join(F.broadcast(most), "l").where(place < F.col("most")).select("l", place.alias("p"), "h")
     lowest: dict[str, list] = {}
-    for r in texts.where(F.col("l").isin(list(counts))).where(place < most).select("l", place.alias("p"), "h").collect():
+    for r in near.collect():
         lowest.setdefault(r["l"], []).append((r["p"], r["h"]))
     picked = [(l, h) for l, v in lowest.items() for _, h in sorted(v)[:per_language]]
-    excerpt = F.when(F.length("t") <= SAMPLE_CHARS, F.col("t")).otherwise(
-        F.substring(F.regexp_replace("t", r"^[^\p{L}\p{Cn}]+", ""), 1, SAMPLE_CHARS)
-    )
-    chosen = docs.sparkSession.createDataFrame(picked, T.StructType([T.StructField("l", T.StringType()), T.StructField("h", T.LongType())]))
+    chars = max(1, min(SAMPLE_CHARS, SAMPLE_TOTAL // len(picked)))
+    excerpt = F.when(F.length("t") <= chars, F.col("t")).otherwise(F.substring(F.regexp_replace("t", r"^[^\p{L}\p{Cn}]+", ""), 1, chars))
+    chosen = spark.createDataFrame(picked, T.StructType([T.StructField("l", T.StringType()), T.StructField("h", T.LongType())]))
     found = rows.join(F.broadcast(chosen), ["l", "h"]).select("l", "h", excerpt.alias("x")).groupBy("l", "h").agg(F.min("x").alias("x"))
     return fit([(r["x"], r["l"]) for r in found.collect()])
 
