@@ -9,6 +9,8 @@ from fixtures import SUNDAY1, WEEK1, WEEK2, line, warehouse_with_lookups, write_
 from tillroll.operators.diff import table_diff
 from tillroll.plans import publish, weekly_load
 from tillroll.plans.weekly_load import run_weekly
+from tillroll.sources import lease
+from tillroll.sources.lease import LeaseLost, WarehouseBusy
 from tillroll.sources.tables import Warehouse
 
 TS1, TS2, TS3 = "2023-03-06 06:00:00", "2023-03-13 06:00:00", "2023-03-20 06:00:00"
@@ -92,3 +94,54 @@ def test_the_merge_is_computed_once(spark, tmp_root, monkeypatch):
     run_weekly(spark, wh, write_csv(f"{raw}/week=2023-03-12", WEEK2), TS2)
     (sales,) = [p for path, p in plans if path == wh.sales]
     assert "Aggregate" not in sales and "FullOuter" not in sales
+
+
+def test_a_second_load_is_refused_while_one_is_at_work(spark, tmp_root, monkeypatch):
+    clean, wh, w1, w2 = _two(spark, tmp_root)
+    real, seen = weekly_load.publish, []
+
+    def meets_another(*args):
+        with pytest.raises(WarehouseBusy):
+            run_weekly(spark, wh, w1, TS3)
+        seen.append(1)
+        real(*args)
+
+    monkeypatch.setattr(weekly_load, "publish", meets_another)
+    run_weekly(spark, wh, w2, TS2)
+    monkeypatch.setattr(weekly_load, "publish", real)
+    assert seen
+    _same(spark, wh, clean)
+    run_weekly(spark, wh, w2, TS3)  # released, so free again
+    _same(spark, wh, clean)
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 4])
+def test_a_load_taken_for_dead_publishes_nothing_beside_its_successor(spark, tmp_root, monkeypatch, step):
+    """Taken over before it merges, before it is staged, before its first table and before the fact."""
+    clean, wh, w1, w2 = _two(spark, tmp_root)
+    real, calls = lease.Lease.renew, []
+
+    def renew(self):
+        calls.append(self.number)
+        if calls.count(calls[0]) == step and self.number == calls[0]:
+            with monkeypatch.context() as m:
+                m.setattr(lease, "EXPIRES", -1)
+                run_weekly(spark, wh, w2, TS2)
+        real(self)
+
+    with monkeypatch.context() as m:
+        m.setattr(lease.Lease, "renew", renew)
+        with pytest.raises(LeaseLost):
+            run_weekly(spark, wh, w2, TS2)
+    _same(spark, wh, clean)
+    run_weekly(spark, wh, w2, TS3)
+    _same(spark, wh, clean)
+
+
+def test_open_runs_are_finished_in_the_order_of_their_loads(spark, tmp_root, monkeypatch):
+    wh, names = Warehouse(f"{tmp_root}/lake"), ["000000000010-aa", "000000000009-bb", "ffffffffffff"]
+    for n in names:
+        publish._note(spark, wh, n, "staged")
+    monkeypatch.setattr(publish, "_apply", lambda *_: None)
+    assert publish.recover(spark, wh) == ["ffffffffffff", "000000000009-bb", "000000000010-aa"]
+    assert publish.recover(spark, wh) == []

@@ -5,11 +5,15 @@ A load writes its rows to a staging folder of its own and gates them there.
 Applying can be repeated: new members and batches are appended unless they are
 there already, and fact weeks are replaced by their whole staged contents,
 whatever a killed commit left of them.  ``recover`` applies runs that are staged
-but not done; every load begins with it.
+but not done, in the order of their loads; every load begins with it, holding the
+warehouse's lease, so that no run of a load that is still at work is touched.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,33 +36,45 @@ def _append_missing(rows: DataFrame, present: DataFrame, path: str, keys: list[s
         write_table(missing, path, "append")
 
 
-def _apply(spark: SparkSession, wh: Warehouse, run: str) -> None:
+def _apply(spark: SparkSession, wh: Warehouse, run: str, held: Callable[[], None]) -> None:
+    """``held`` raises an error if another load has taken the warehouse over; it is asked before each write."""
     stage = wh.stage(run)
     read = lambda name, schema: read_or_empty(spark, f"{stage}/{name}", schema)
-    _append_missing(read("key_exceptions", schemas.KEY_EXCEPTIONS), wh.read_key_exceptions(spark), wh.key_exceptions, ["Kind", "Name"])
-    _append_missing(read("product", schemas.PRODUCT), wh.read_product(spark), wh.product, ["ProductName"])
-    _append_missing(read("retailer", schemas.RETAILER), wh.read_retailer(spark), wh.retailer, ["RetailerName"])
-    _append_missing(read("batch", schemas.BATCH), wh.read_batches(spark), wh.batch, ["FilePath"])
+    held()
     merged = spark.read.parquet(f"{stage}/merged")
-    # whole weeks, but only those in which a row differs; a big week is spread over several files
-    weeks = touched_date_ids(merged.where(F.col("_action").isin("insert", "update") | F.col("_noted")))
+    tables = [
+        (read("key_exceptions", schemas.KEY_EXCEPTIONS), wh.read_key_exceptions(spark), wh.key_exceptions, ["Kind", "Name"]),
+        (read("product", schemas.PRODUCT), wh.read_product(spark), wh.product, ["ProductName"]),
+        (read("retailer", schemas.RETAILER), wh.read_retailer(spark), wh.retailer, ["RetailerName"]),
+        (read("batch", schemas.BATCH), wh.read_batches(spark), wh.batch, ["FilePath"]),
+    ]
+    # four small appends that don't depend on each other, at the same time; the fact only after all of them
+    with ThreadPoolExecutor(len(tables) + 1) as pool:
+        # whole weeks, but only those in which a row differs; a big week is spread over several files
+        changed = pool.submit(touched_date_ids, merged.where(F.col("_action").isin("insert", "update") | F.col("_noted")))
+        for done in [pool.submit(_append_missing, *t) for t in tables]:
+            done.result()
+        weeks = changed.result()
+    held()
     if weeks:
         rows = fact_table_rows(merged.where(F.col("DateId").isin(weeks))).hint("rebalance", "DateId")
         write_table(rows, wh.sales, "partitions", "DateId")
 
 
-def publish(spark: SparkSession, wh: Warehouse, run: str) -> None:
+def publish(spark: SparkSession, wh: Warehouse, run: str, held: Callable[[], None]) -> None:
     """Make the staged run part of the warehouse."""
+    held()
     _note(spark, wh, run, "staged")
-    _apply(spark, wh, run)
+    _apply(spark, wh, run, held)
     _note(spark, wh, run, "done")
 
 
-def recover(spark: SparkSession, wh: Warehouse) -> list[str]:
-    """Finish runs that were staged but not done; returns them."""
+def recover(spark: SparkSession, wh: Warehouse, held: Callable[[], None] = lambda: None) -> list[str]:
+    """Finish runs that were staged but not done, earlier loads first; returns them."""
     runs = read_or_empty(spark, wh.runs, schemas.RUNS).groupBy("Run").agg(F.collect_set("State").alias("s"))
-    open_ = sorted(r.Run for r in runs.where(F.array_contains("s", "staged") & ~F.array_contains("s", "done")).collect())
+    open_ = [r.Run for r in runs.where(F.array_contains("s", "staged") & ~F.array_contains("s", "done")).collect()]
+    open_.sort(key=lambda run: ("-" in run, run))  # a run's name begins with its load's number; before there were numbers it had none
     for run in open_:
-        _apply(spark, wh, run)
+        _apply(spark, wh, run, held)
         _note(spark, wh, run, "done")
     return open_

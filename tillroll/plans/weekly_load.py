@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -57,6 +58,7 @@ from ..operators.fact import (
 )
 from ..schemas import DATA_SOURCE_MAT
 from ..sources.extract import DELIVERY_COLUMN, delivery_folders, read_deliveries, read_extract
+from ..sources.lease import Lease, writer_lease
 from ..sources.tables import Warehouse, write_table
 from .publish import publish, recover
 
@@ -99,12 +101,31 @@ def load_batch(
     (FilePath), by default those that have rows, are registered in the batch log
     and their ids stamped on the rows (otherwise ``batch_id``, possibly None, is
     stamped).  ``bits``: id width of a new warehouse; another one than a
-    warehouse has is refused.
+    warehouse has is refused.  A warehouse that another load holds is refused with
+    ``WarehouseBusy`` (see ``sources.lease``).
     """
     ts = batch_ts if batch_ts is not None else _now()
-    recover(spark, wh)
+    with writer_lease(spark, wh) as lease:
+        recover(spark, wh, lease.renew)
+        return _load(spark, wh, extract, ts, batch_id, delivery, folder, folders, data_source, bits, day, lease)
+
+
+def _load(
+    spark: SparkSession,
+    wh: Warehouse,
+    extract: DataFrame,
+    ts: _dt.datetime | str,
+    batch_id: int | None,
+    delivery: str | None,
+    folder: str | None,
+    folders: DataFrame | None,
+    data_source: str,
+    bits: int | None,
+    day: _dt.date | None,
+    lease: Lease,
+) -> LoadResult:
     width = wh.key_bits(spark, bits, WIDE_BITS)
-    run = uuid.uuid4().hex[:12]
+    run = f"{lease.number:012d}-{uuid.uuid4().hex[:12]}"
     stage = wh.stage(run)
     kept: list[DataFrame] = []
 
@@ -138,11 +159,18 @@ def load_batch(
         bid_carry = [bid_col] if bid_col else []
 
         prod_old, ret_old = wh.read_product(spark), wh.read_retailer(spark)
-        prod_new = new_members(product_candidates(rows, delivery, bid_carry), prod_old, "ProductName", "ProductId", ts, batch_id, width, bid_col)
-        ret_new = new_members(retailer_candidates(rows, delivery, bid_carry), ret_old, "RetailerName", "RetailerId", ts, batch_id, width, bid_col)
-        prod_new, prod_moved = settle_ids(staged(prod_new, "product_found"), prod_old, "ProductName", "ProductId", width, staged)
-        ret_new, ret_moved = settle_ids(staged(ret_new, "retailer_found"), ret_old, "RetailerName", "RetailerId", width, staged)
-        prod_new, ret_new = staged(prod_new, "product"), staged(ret_new, "retailer")
+
+        def members(candidates: DataFrame, old: DataFrame, label: str, name: str, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+            found = staged(new_members(candidates, old, name, id_col, ts, batch_id, width, bid_col), f"{label}_found")
+            settled, moved = settle_ids(found, old, name, id_col, width, staged)
+            return staged(settled, label), moved
+
+        dims = [
+            (product_candidates(rows, delivery, bid_carry), prod_old, "product", "ProductName", "ProductId"),
+            (retailer_candidates(rows, delivery, bid_carry), ret_old, "retailer", "RetailerName", "RetailerId"),
+        ]
+        with ThreadPoolExecutor(len(dims)) as pool:  # the two don't depend on each other, and their jobs are small
+            (prod_new, prod_moved), (ret_new, ret_moved) = pool.map(lambda d: members(*d), dims)
         new_exceptions = spark.createDataFrame([], schemas.KEY_EXCEPTIONS)
         for kind, moved in (("product", prod_moved), ("retailer", ret_moved)):
             if moved is not None:
@@ -155,6 +183,7 @@ def load_batch(
         reports.append(("new_retailers", Q.row_count(ret_new, "retailer")))
 
         resolved = resolve_keys(rows, wh.read_date(spark), width, [c for c in (delivery, bid_col) if c], None if exceptions.isEmpty() else exceptions)
+        lease.renew()
         touched = touched_date_ids(resolved)
         existing = wh.read_sales_history(spark).where(F.col("DateId").isin(touched))
         merged = staged(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col, data_source, day), "merged")
@@ -169,7 +198,7 @@ def load_batch(
         Q.raise_first(found)
         counts = {r["name"]: r["violations"] for r in found if r["check"] == "rows"}
         written = touched_date_ids(merged.where(F.col("_action").isin("insert", "update") | F.col("_noted")))
-        publish(spark, wh, run)
+        publish(spark, wh, run, lease.renew)
         return LoadResult(touched, written, counts["new_products"], counts["new_retailers"], n_batches)
     finally:
         for df in kept:

@@ -139,6 +139,10 @@ class Warehouse:
     def runs(self) -> str:
         return f"{self.root}/control/runs"
 
+    @property
+    def lease(self) -> str:
+        return f"{self.root}/control/lease"
+
     @property
     def raw_extracts(self) -> str:
         return f"{self.root}/deliveries"
