@@ -3,10 +3,11 @@
 import datetime as dt
 import decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll import schemas
-from tillroll.operators.fact import merge_fact
+from tillroll.operators.fact import enrich_extract, merge_fact
 from tillroll.sources import retail_model as RM
 from tillroll.sources.tables import read_or_empty, write_table
 
@@ -107,3 +108,31 @@ def test_lookups_go_to_the_dimension(spark, tmp_root):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_mapper_repeats_are_counted_in_the_join_without_a_shuffle_of_their_own(spark):
+    rows = spark.createDataFrame([(1, "R"), (1, "R"), (2, "R"), (3, "R"), (None, None)], "SKU long, Retailer string")
+    mapper = spark.createDataFrame([(1, "R", "a", "t"), (1, "R", "a", "t"), (2, "R", "b", "t"), (9, "R", "c", "t"), (None, None, "d", "t")], schemas.SKU_MAPPER)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted, plain = enrich_extract(rows, mapper, "_extra"), enrich_extract(rows, mapper)
+        assert plan(counted).count("Exchange hashpartitioning") == plan(plain).count("Exchange hashpartitioning")
+        got = sorted((r.SKU or 0, r.Description or "", r._extra or 0) for r in counted.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(0, "", 0)] + [(1, "a", 1)] * 4 + [(2, "b", 0), (3, "", 0)]
+
+
+@pytest.mark.parametrize("name", ["new_products", "new_retailers", "stamp_audit"])
+def test_candidates_are_read_from_the_transactions_once(spark, tmp_root, name):
+    from tillroll.catalog import QUERIES
+
+    lines = [(k, k % 3, 1.0, 2.0, 0.0, "N", dt.datetime(1995, 1, 2) + dt.timedelta(days=9 * (k // 4))) for k in range(12)]
+    names = "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_root}/lineitem.parquet")
+    spark.createDataFrame([(k, f"part {k}", "type") for k in range(12)], "p_partkey long, p_name string, p_type string").write.parquet(f"{tmp_root}/part.parquet")
+    spark.createDataFrame([(k, f"shop {k}") for k in range(3)], "s_suppkey long, s_name string").write.parquet(f"{tmp_root}/supplier.parquet")
+    got = QUERIES[name](spark, tmp_root)
+    assert not any("lineitem.parquet" in f for f in got.inputFiles())
+    assert got.count() == {"new_products": 8, "new_retailers": 0, "stamp_audit": 12}[name]
