@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ from .operators.views import view_product, view_retailer, view_sales
 from .plans.date_dimension import build_date_dimension, write_date_dimension
 from .plans.weekly_load import backfill, run_weekly
 from .schemas import FACT_KEY, FACT_VALUES
-from .session import scratch_dir
+from .session import scratch_dir, sized_shuffles
 from .sources import retail_model as RM
 from .sources.extract import delivery_folders, export_extract, read_export_order, read_extract, read_extract_lines
 from .sources.tables import Warehouse, publish_lookup, read_or_empty, write_table
@@ -81,12 +82,18 @@ def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_date_dimension(spark, lo, hi)
 
 
+def _sized(spark: SparkSession, sf_dir: str) -> AbstractContextManager[None]:
+    """What runs in it has shuffles sized by the rows of lineitem, as its file footers have them."""
+    return sized_shuffles(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet").count())
+
+
 def _base_warehouse(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
     """Empty warehouse with calendar and SKU mapper published."""
     wh = Warehouse(scratch_dir(spark, label))
     lo, hi = RM.calendar_bounds(spark, sf_dir)
     write_date_dimension(spark, wh.date, lo, hi)
-    publish_lookup(RM.mapper_for(spark, sf_dir), wh.sku_mapper, wh.sku_mapper_raw)
+    with _sized(spark, sf_dir):
+        publish_lookup(RM.mapper_for(spark, sf_dir), wh.sku_mapper, wh.sku_mapper_raw)
     return wh
 
 
@@ -97,7 +104,8 @@ def _deliveries_root(spark: SparkSession, sf_dir: str) -> str:
         root = scratch_dir(spark, "deliveries")
         a = RM.first_delivery(spark, sf_dir).withColumn("_d", F.lit(DELIVERY_A))
         b = RM.restated_delivery(spark, sf_dir).withColumn("_d", F.lit(DELIVERY_B))
-        export_extract(a.unionByName(b), root, delivery="_d")
+        with _sized(spark, sf_dir):
+            export_extract(a.unionByName(b), root, delivery="_d")
         _memo[k] = root
     return _memo[k]
 
@@ -132,7 +140,8 @@ def _weekly_root(spark: SparkSession, sf_dir: str) -> str:
     k = _key(spark, sf_dir, "weekly_root")
     if k not in _memo:
         root = scratch_dir(spark, "weekly")
-        export_extract(RM.full_extract(spark, sf_dir), root)
+        with _sized(spark, sf_dir):
+            export_extract(RM.full_extract(spark, sf_dir), root)
         # a delivery with a header line and no rows
         nothing = RM.full_extract(spark, sf_dir).limit(0).coalesce(1)
         nothing.write.option("header", "true").csv(_folder(root, EMPTY_DELIVERY))
@@ -251,8 +260,9 @@ def q_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = _after_a(spark, sf_dir)
     enriched = enrich_extract(conform_extract(RM.restated_delivery(spark, sf_dir)), wh.read_sku_mapper(spark))
     resolved = resolve_keys(enriched, wh.read_date(spark))
-    existing = wh.read_sales(spark).where(F.col("DateId").isin(touched_date_ids(resolved)))
-    return changed_rows(existing, resolved)
+    with _sized(spark, sf_dir):
+        existing = wh.read_sales(spark).where(F.col("DateId").isin(touched_date_ids(resolved)))
+        return _kept(changed_rows(existing, resolved), "changed")
 
 
 def q_week_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,18 +314,20 @@ def q_new_retailers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fact_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of B whose key the fact after A does not hold."""
-    return _fact_values(_classified_b(spark, sf_dir).where(F.col("_action") == "insert"))
+    with _sized(spark, sf_dir):
+        return _kept(_fact_values(_classified_b(spark, sf_dir).where(F.col("_action") == "insert")), "inserts")
 
 
 def q_fact_keeps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows of B's weeks that B does not mention."""
-    return _fact_values(_classified_b(spark, sf_dir).where(F.col("_action") == "keep"))
+    with _sized(spark, sf_dir):
+        return _kept(_fact_values(_classified_b(spark, sf_dir).where(F.col("_action") == "keep")), "keeps")
 
 
 def q_fact_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of B that change a stored row (new values, original creation)."""
-    m = _classified_b(spark, sf_dir).where(F.col("_action") == "update")
-    return _fact_with_audit(m)
+    with _sized(spark, sf_dir):
+        return _kept(_fact_with_audit(_classified_b(spark, sf_dir).where(F.col("_action") == "update")), "updates")
 
 
 def q_view_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

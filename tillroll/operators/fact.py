@@ -68,19 +68,21 @@ def conform_extract(extract: DataFrame, carry: list[str] | None = None, data_sou
 
 
 def used_mapper(rows: DataFrame, mapper: DataFrame) -> DataFrame:
-    """The mapper rows of the (SKU, Retailer) pairs that ``rows`` have: a week touches a small part of the mapper."""
-    return mapper.join(rows.select("SKU", "Retailer").distinct(), ["SKU", "Retailer"], "left_semi")
+    """The mapper rows of the (SKU, Retailer) pairs that the few ``rows`` have, which are broadcast: none of the mapper is shuffled."""
+    return mapper.join(F.broadcast(rows.select("SKU", "Retailer").distinct()), ["SKU", "Retailer"], "left_semi")
 
 
-def enrich_extract(rows: DataFrame, mapper: DataFrame, repeats: str | None = None) -> DataFrame:
+def enrich_extract(rows: DataFrame, mapper: DataFrame, repeats: str | None = None, few: bool = False) -> DataFrame:
     """Left join to the SKU mapper on (SKU, Retailer): adds Description, ProductType.
 
-    An unmapped SKU keeps its row with null names (stopped later by gates).  The
-    mapper is cut to the rows' pairs first; the join strategy is the planner's.
-    ``repeats`` names a column for the mapper rows beside the first that the row's pair
+    An unmapped SKU keeps its row with null names (stopped later by gates).  The rows
+    are read once and meet the mapper in the join; of ``few`` rows (some ``SENT_KEYS``
+    at most) the pairs are read ahead to cut the mapper to them.  The join strategy is
+    the planner's.  ``repeats`` names a column for the mapper rows beside the first that the row's pair
     has; any > 0 would double count.  They are counted on the way to the join, in its order.
     """
-    used = used_mapper(rows, mapper).select("SKU", "Retailer", "Description", "ProductType")
+    used = used_mapper(rows, mapper) if few else mapper.where(F.col("SKU").isNotNull() & F.col("Retailer").isNotNull())
+    used = used.select("SKU", "Retailer", "Description", "ProductType")
     if repeats:
         used = used.withColumn(repeats, F.count(F.lit(1)).over(Window.partitionBy("SKU", "Retailer")) - 1)
     return rows.join(used, ["SKU", "Retailer"], "left").select(*rows.columns, "Description", "ProductType", *([repeats] if repeats else []))

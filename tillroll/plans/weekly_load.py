@@ -37,6 +37,7 @@ from ..operators.dimensions import (
     PRODUCT_TABLE,
     RETAILER_GATE,
     RETAILER_TABLE,
+    SENT_KEYS,
     gate_scope,
     merge_dim,
     new_members,
@@ -55,7 +56,8 @@ from ..operators.fact import (
     touched_date_ids,
 )
 from ..schemas import DATA_SOURCE_MAT
-from ..sources.extract import DELIVERY_COLUMN, delivery_folders, read_deliveries, read_extract
+from ..session import sized_shuffles
+from ..sources.extract import DELIVERY_COLUMN, about_rows, delivery_folders, read_deliveries, read_extract
 from ..sources.lease import Lease, writer_lease
 from ..sources.tables import Warehouse, write_table
 from .publish import publish, recover
@@ -90,6 +92,7 @@ def load_batch(
     data_source: str = DATA_SOURCE_MAT,
     bits: int | None = None,
     day: _dt.date | None = None,
+    size: int | None = None,
 ) -> LoadResult:
     """Load one scanned extract into the warehouse ``wh``.
 
@@ -99,13 +102,15 @@ def load_batch(
     (FilePath), by default those that have rows, are registered in the batch log
     and their ids stamped on the rows (otherwise ``batch_id``, possibly None, is
     stamped).  ``bits``: id width of a new warehouse; another one than a
-    warehouse has is refused.  A warehouse that another load holds is refused with
+    warehouse has is refused.  ``size``: the extract's rows, about, if known; its
+    shuffles get tasks by them, by the mapper's and by the touched stored rows.  A warehouse that another load holds is refused with
     ``WarehouseBusy`` (see ``sources.lease``).
     """
     ts = batch_ts if batch_ts is not None else _now()
     with writer_lease(spark, wh) as lease:
         recover(spark, wh, lease.renew)
-        return _load(spark, wh, extract, ts, batch_id, delivery, folder, folders, data_source, bits, day, lease)
+        with sized_shuffles(spark, max(size or 0, wh.read_sku_mapper(spark).count())):
+            return _load(spark, wh, extract, ts, batch_id, delivery, folder, folders, data_source, bits, day, size, lease)
 
 
 def _load(
@@ -120,6 +125,7 @@ def _load(
     data_source: str,
     bits: int | None,
     day: _dt.date | None,
+    size: int | None,
     lease: Lease,
 ) -> LoadResult:
     width = wh.key_bits(spark, bits, WIDE_BITS)
@@ -135,7 +141,7 @@ def _load(
         mapper = wh.read_sku_mapper(spark)
         conformed = conform_extract(extract, [c for c in (delivery, folder) if c], data_source)
         # what the extract files and the mapper give: nothing that this load writes; as large as the delivery, so kept on disk
-        enriched = enrich_extract(conformed, mapper, "_mapper_extra").persist(StorageLevel.DISK_ONLY)
+        enriched = enrich_extract(conformed, mapper, "_mapper_extra", size is not None and size <= SENT_KEYS).persist(StorageLevel.DISK_ONLY)
         kept.append(enriched)
         reports = [("mapper", Q.gate_report(enriched.select("_mapper_extra"), MAPPER_TABLE, MAPPER_GATE))]
         rows = enriched
@@ -185,7 +191,8 @@ def _load(
         lease.renew()
         touched = touched_date_ids(resolved)
         existing = wh.read_sales_history(spark).where(F.col("DateId").isin(touched))
-        merged = staged(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col, data_source, day), "merged")
+        with sized_shuffles(spark, existing.count() + (size or 0)):
+            merged = staged(merge_fact(existing, resolved, ts, batch_id, delivery, bid_col, data_source, day), "merged")
         reports.append(("sales", Q.gate_report(merged, SALES_TABLE, SALES_GATE)))
         for label, dim, new, id_col in ((PRODUCT_TABLE, prod_old, prod_new, "ProductId"), (RETAILER_TABLE, ret_old, ret_new, "RetailerId")):
             held = dim.select(id_col).unionByName(new.select(id_col))
@@ -221,7 +228,7 @@ def run_weekly(
     rows = read_extract(spark, path, with_file_path=True)
     rows = rows.withColumn("_folder", delivery_folder("file_path")).drop("file_path")
     return load_batch(spark, wh, rows, batch_ts, folder="_folder", folders=delivery_folders(spark, path), data_source=data_source, bits=bits,
-                      day=_dt.date.fromisoformat(named[1]) if named else None)
+                      day=_dt.date.fromisoformat(named[1]) if named else None, size=about_rows(spark, path))
 
 
 def backfill(
@@ -242,4 +249,5 @@ def backfill(
     """
     rows = read_deliveries(spark, root, folders).withColumn("_folder", delivery_folder(F.col("file_path"))).drop("file_path")
     given = delivery_folders(spark, folders or root)
-    return load_batch(spark, wh, rows, batch_ts, delivery=DELIVERY_COLUMN, folder="_folder", folders=given, data_source=data_source, bits=bits)
+    size = about_rows(spark, folders or root)
+    return load_batch(spark, wh, rows, batch_ts, delivery=DELIVERY_COLUMN, folder="_folder", folders=given, data_source=data_source, bits=bits, size=size)
