@@ -60,7 +60,7 @@ def lake(spark, tmp_root):
     return tmp_root
 
 
-@pytest.mark.parametrize("name", ["fact_updates", "fact_inserts"])
+@pytest.mark.parametrize("name", ["fact_updates", "fact_inserts", "export_order"])
 def test_results_are_made_in_sized_shuffles(spark, lake, monkeypatch, name):
     monkeypatch.setattr(session, "TASK_ROWS", 4)
     seen, write = {}, catalog.write_table
@@ -71,4 +71,4 @@ def test_results_are_made_in_sized_shuffles(spark, lake, monkeypatch, name):
 
     monkeypatch.setattr(catalog, "write_table", noted)
     assert catalog.QUERIES[name](spark, lake).count() > 0
-    assert seen[{"fact_updates": "updates", "fact_inserts": "inserts"}[name]] == 15
+    assert seen[{"fact_updates": "updates", "fact_inserts": "inserts", "export_order": "order"}[name]] == 15

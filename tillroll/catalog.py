@@ -421,7 +421,8 @@ def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: lines of the exported files, and those whose sort key (Retailer, SKU) is none before the line above, by week folder."""
     order = read_export_order(spark, _weekly_root(spark, sf_dir))
-    return order.groupBy("folder").agg(F.count(F.lit(1)).alias("lines"), F.count_if("in_order").alias("in_order"))
+    with _sized(spark, sf_dir):
+        return _kept(order.groupBy("folder").agg(F.count(F.lit(1)).alias("lines"), F.count_if("in_order").alias("in_order")), "order")
 
 
 def q_line_amount_net(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,7 +136,8 @@ def read_export_order(spark: SparkSession, root: str) -> DataFrame:
     lines = (
         spark.read.text(root + "/*/*.csv")
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            # below the root: every line carries it through the window
+            F.substring_index(F.col("_metadata.file_path"), "/", -2).alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("at"),
             F.col("value").alias("line"),
@@ -149,7 +150,7 @@ def read_export_order(spark: SparkSession, root: str) -> DataFrame:
     # a row a block: the key that the last line of the block before it has
     blocks = lines.groupBy("file", "block").agg(F.max_by("key", "at").alias("last"))
     blocks = blocks.select("file", "block", F.lag("last").over(Window.partitionBy("file").orderBy("block")).alias("before"))
-    folder = F.regexp_extract("file", r"/(week=[^/]+)/[^/]+$", 1)
+    folder = F.regexp_extract("file", r"^(week=[^/]+)/", 1)
     above = F.coalesce("above", "before")
     return lines.join(blocks, ["file", "block"]).select(
         folder.alias("folder"), "line", (above.isNull() | (above <= F.col("key"))).alias("in_order")
