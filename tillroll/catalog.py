@@ -135,6 +135,20 @@ def _after_ab(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _memo[k]
 
 
+def _facts_a_and_ab(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The fact's values after A, kept before the same warehouse takes B, and after A and B."""
+    k = _key(spark, sf_dir, "after_ab")
+    if k in _memo:
+        return _fact_values(_after_a(spark, sf_dir).read_sales(spark)), _fact_values(_memo[k].read_sales(spark))
+    root = _deliveries_root(spark, sf_dir)
+    wh = _base_warehouse(spark, sf_dir, "wh-ab")
+    run_weekly(spark, wh, _folder(root, DELIVERY_A), TS_A)
+    a = _kept(_fact_values(wh.read_sales(spark)), "after-a")
+    run_weekly(spark, wh, _folder(root, DELIVERY_B), TS_B)
+    _memo[k] = wh
+    return a, _fact_values(wh.read_sales(spark))
+
+
 def _weekly_root(spark: SparkSession, sf_dir: str) -> str:
     """The gross extract exported one folder per week."""
     k = _key(spark, sf_dir, "weekly_root")
@@ -388,9 +402,9 @@ def q_merge_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact after A vs fact after A and B, as a multiset difference."""
-    a = _fact_values(_after_a(spark, sf_dir).read_sales(spark))
-    ab = _fact_values(_after_ab(spark, sf_dir).read_sales(spark))
-    return table_diff(a, ab)
+    a, ab = _facts_a_and_ab(spark, sf_dir)
+    with _sized(spark, sf_dir):
+        return _kept(table_diff(a, ab), "diff")
 
 
 # ---------------------------------------------------------------- scalar functions
