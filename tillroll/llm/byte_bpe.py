@@ -2,9 +2,10 @@
 
 ``encode`` splits a text with the vocabulary's pattern and turns every distinct
 piece into ids by a fold: an ``aggregate`` that holds the piece as an array of
-byte strings with the merge rank of each neighbouring pair, and joins the
-best-ranked, leftmost pair until no pair has a rank.  Ranks sit in the plan as a
-literal map, split into buckets so that a lookup reads one short map.
+ids, from those of its single bytes on, with the merge rank of each neighbouring
+pair, and joins the best-ranked, leftmost pair until no pair has a rank.  Ranks
+sit in the plan as literal maps, of byte strings and of pairs of ids, split into
+buckets so that a lookup reads one short map.
 
 The commonest pieces of the corpus (``head`` of them, a fixed bound) are folded
 once and become a second literal; a piece outside the head is folded once for
@@ -13,8 +14,9 @@ each document that has it.  The head only saves work: ids never depend on it.
 
 Null text counts as empty (no ids, empty bytes).  Repeated rows give repeated
 results; columns other than the two named ones are not looked at.  A piece of
-any length is whole; long ones (over ``LONG_PIECE`` bytes) join all occurrences
-of the best pair in one step where that is the same as one at a time.
+any length is whole; long ones (over ``LONG_PIECE`` bytes) are held as byte
+strings and join all occurrences of the best pair in one step where that is the
+same as one at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import base64
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +34,13 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: No pair to join; above every rank.
 NONE = 2**31 - 1
 LONG_PIECE = 512
+#: Characters of a fold's state: ranks from ``FIRST_RANK`` on, above them ``NO_RANK``, above it the ids.
+FIRST_RANK, FIRST_ID = 0x10000, 0x80000
+NO_RANK, EDGE = chr(FIRST_ID - 1), chr(0x10FFFF)
+MOST_RANKS = FIRST_ID - FIRST_RANK - 1
 #: Pieces encoded ahead, and the share of documents (one in so many) that picks them.
-HEAD = 200_000
-HEAD_ONE_IN = 16
+HEAD = 400_000
+HEAD_ONE_IN = 4
 BUCKETS = 1 << 16
 
 
@@ -62,8 +69,23 @@ class Vocabulary:
     """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        self.ranks = _in_buckets(spark.createDataFrame([(bytearray(k), v) for k, v in ranks.items()], "k binary, v int"), "k", "v")
-        pieces = [""] * (max(ranks.values(), default=-1) + 1)
+        whole = pa.table({"k": pa.array(ranks.keys(), pa.binary()), "v": pa.array(ranks.values(), pa.int32())})
+        size = max(ranks.values(), default=-1) + 1
+        if size > MOST_RANKS:
+            raise ValueError(f"{size} ranks: a fold's state has characters for {MOST_RANKS}")
+        ids = {bytes([b]): size + b for b in range(256)} | ranks  # a byte without a rank takes part, as no id
+        sign = {k: chr(FIRST_ID + v) for k, v in ids.items()}
+        halves = {sign[k[:i]] + sign[k[i:]]: chr(FIRST_RANK + v) for k, v in ranks.items() for i in range(1, len(k)) if k[:i] in sign and k[i:] in sign}
+        pairs = pa.table({"k": list(halves), "v": list(halves.values())}, schema=pa.schema({"k": pa.string(), "v": pa.string()}))
+        signs = [chr(FIRST_ID + i) for i in range(size)]
+        self.ranks = (
+            _in_buckets(spark.createDataFrame(whole), "k", "v")
+            .select(F.col("m").alias("whole"))
+            .crossJoin(_in_buckets(spark.createDataFrame(pairs), "k", "v").select(F.col("m").alias("pairs")))
+            .crossJoin(spark.createDataFrame([([sign[bytes([b])] for b in range(256)], signs)], "bytes array<string>, ids array<string>"))
+            .select(F.struct("whole", "pairs", "bytes", "ids").alias("ranks"))
+        )
+        pieces = [""] * size
         for k, v in ranks.items():
             pieces[v] = k.hex()
         self.pieces = _one_row(spark, pieces, "p array<string>")
@@ -94,15 +116,62 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str =
 
 
 class Merges:
-    """The fold of ranked merges, over a rank map in buckets."""
+    """The fold of ranked merges, over the rank maps of a vocabulary."""
 
     def __init__(self, ranks: Column):
-        self._map = ranks
+        self._map, self._pairs, self._bytes, self._ids = ranks["whole"], ranks["pairs"], ranks["bytes"], ranks["ids"]
 
     def rank(self, piece: Column) -> Column:
         """Rank of a byte string, ``NONE`` if it has none."""
         return F.coalesce(F.try_element_at(self._map[_bucket(piece)], piece), F.lit(NONE))
 
+    def _pair_cell(self, pair: Column) -> Column:
+        """The rank of what two ids stand for and the id it becomes; ``NO_RANK`` if it has none."""
+        return F.coalesce(F.try_element_at(self._pairs[_bucket(pair)], pair), F.lit(NO_RANK))
+
+    def _join_first(self, line: Column) -> Column:
+        """Join the first pair of the best rank, if there is one.  Only the two pairs beside it get new ranks."""
+
+        def join(rank, at):  # at: place of that rank in the line
+            def put(new):
+                left = self._pair_cell(F.concat(F.substring(line, at - 3, F.lit(1)), new))
+                right = self._pair_cell(F.concat(new, F.substring(line, at + 3, F.lit(1))))
+                return F.overlay(line, F.concat(left, new, right), at - 2, F.lit(5))
+
+            return let(self._ids[F.ascii(rank) - FIRST_RANK], put)
+
+        def found(rank):
+            return F.when(rank < NO_RANK, let(F.instr(line, rank), lambda at: join(rank, at))).otherwise(line)
+
+        return let(F.array_min(F.split(line, "")), found)
+
+    def _fold_line(self, piece: Column) -> Column:
+        """Ids of one piece by as many steps as it may have joins.
+
+        The state is a string: a character for each id and between two ids one for
+        the rank of the pair, all ranks below all ids; ``EDGE`` pairs with nothing.
+        Strings because Spark's ``concat``, ``slice`` and ``array_position`` of
+        arrays cost several times as much in a lambda.
+        """
+        letters = F.decode(piece, "ISO-8859-1")  # a character for each byte
+        ids = F.array_join(
+            F.transform(F.sequence(F.lit(1), F.octet_length(piece)), lambda i: self._bytes[F.ascii(F.substring(letters, i, F.lit(1)))]), ""
+        )
+
+        def start(ids):
+            cells = F.transform(
+                F.sequence(F.lit(1), F.octet_length(piece)),
+                lambda i: F.concat(F.substring(ids, i, F.lit(1)), self._pair_cell(F.substring(ids, i, F.lit(2)))),
+            )
+            return F.concat(F.lit(EDGE + NO_RANK), F.array_join(cells, ""), F.lit(EDGE))
+
+        def end(line):
+            cells = F.split(F.substring(line, F.lit(3), F.char_length(line) - 3), "")
+            codes = F.transform(F.filter(cells, lambda c: c > NO_RANK), lambda c: F.ascii(c) - FIRST_ID)
+            return F.transform(codes, lambda c: F.when(c < F.size(self._ids), c).otherwise(F.lit(NONE)))
+
+        return F.aggregate(F.sequence(F.lit(2), F.octet_length(piece)), let(ids, start), lambda s, _: self._join_first(s), end)
+
     def _pair_ranks(self, parts: Column) -> Column:
         return F.transform(
             F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), lambda p, i: self.rank(F.concat(p, parts[i + 1]))
@@ -174,20 +243,20 @@ class Merges:
         return let(let(found, pick), build)
 
     def fold(self, piece: Column) -> Column:
-        """Ids of one piece (bytes): ranked merges from single bytes on, a step to find each and a step to make it."""
+        """Ids of one piece (bytes): ranked merges from single bytes on; a long one takes a step to find each and a step to make it."""
         start = F.transform(F.sequence(F.lit(1), F.octet_length(piece)), lambda i: F.substring(piece, i, F.lit(1)))
+        long = F.aggregate(
+            F.sequence(F.lit(2), 2 * F.octet_length(piece) - 1),
+            let(start, lambda p: self._state(p, self._pair_ranks(p), F.lit(0))),
+            lambda s, _: F.when(s["at"] > 0, self._join_all(s)).otherwise(self._find(s)),
+            lambda s: F.transform(s["parts"], self.rank),
+        )
 
-        def run(join):
-            return F.aggregate(
-                F.sequence(F.lit(2), 2 * F.octet_length(piece) - 1),
-                let(start, lambda p: self._state(p, self._pair_ranks(p), F.lit(0))),
-                lambda s, _: F.when(s["at"] > 0, join(s)).otherwise(self._find(s)),
-                lambda s: F.transform(s["parts"], self.rank),
-            )
+        def ids(whole):
+            found = F.when(whole != NONE, F.array(whole))
+            return found.when(F.octet_length(piece) <= LONG_PIECE, self._fold_line(piece)).otherwise(long)
 
-        whole = self.rank(piece)
-        found = F.when(whole != NONE, F.array(whole))
-        return found.when(F.octet_length(piece) <= LONG_PIECE, run(self._join)).otherwise(run(self._join_all))
+        return let(self.rank(piece), ids)
 
 
 def split_text(text: Column, pattern: str = public_tokenizers.PATTERN) -> Column:
@@ -229,49 +298,58 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     head: int = HEAD,
     one_in: int = HEAD_ONE_IN,
-    digest=None,
+    each=None,
+    digest=F.flatten,
     **values: DataFrame,
 ) -> DataFrame:
     """``docs`` with the array of ids of each text in a column ``into``.
 
-    ``digest`` (given the ids and the one value of each frame in ``values``) makes
-    something else of the ids before they reach a row.
+    ``each`` (given a piece's ids and the one value of each frame in ``values``) makes
+    something else of them, once for a piece of the head; ``digest`` makes a row's
+    value of the array of what its pieces have, in order.
     """
-    ahead = common_pieces(docs, text, head, one_in).repartition(16, "w")
-    folded = project(ahead, "v", lambda ranks: Merges(ranks).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
-    known = _in_buckets(folded, "w", "v")
 
-    def ids_of(words, done, merges):
-        def fill(found, rare):
-            own = F.map_from_arrays(rare, F.transform(rare, lambda w: merges.fold(w.cast("binary"))))
-            return let(own, lambda m: F.flatten(F.transform(found, lambda f, i: F.coalesce(f, m[words[i]]))))
+    def cell(piece, ranks, **rest):
+        ids = Merges(ranks).fold(piece.cast("binary"))
+        return let(ids, lambda i: each(i, **rest)) if each else ids
 
-        def split(found):
-            rare = F.array_distinct(F.filter(words, lambda w, i: found[i].isNull()))
-            return let(rare, lambda r: F.when(F.size(r) == 0, F.flatten(found)).otherwise(fill(found, r)))
+    values = {"ranks": vocabulary.ranks, **values}
+    ahead = common_pieces(docs, text, head, one_in).repartition(16, "w")
+    known = _in_buckets(project(ahead, "v", lambda **given: cell(F.col("w"), **given), **values), "w", "v")
 
-        return let(F.transform(words, lambda w: F.try_element_at(done[_bucket(w)], w)), split)
+    def of_words(words, done, given):
+        def of_found(found):
+            rare = F.array_distinct(F.filter(words, lambda w, i: found[i].isNull()))
+            own = let(rare, lambda r: F.map_from_arrays(r, F.transform(r, lambda w: cell(w, **given))))
+            return let(own, lambda m: digest(F.transform(found, lambda f, i: F.coalesce(f, m[words[i]]))))
 
-    words = split_text(F.col(text), pattern)
+        return let(F.transform(words, lambda w: F.try_element_at(done[_bucket(w)], w)), of_found)
 
-    def body(ranks, done, **rest):
-        ids = let(words, lambda w: ids_of(w, done, Merges(ranks)))
-        return let(ids, lambda i: digest(i, **rest)) if digest else ids
+    def body(done, **given):  # a lambda's result is copied: arrays as long as the text stay inside
+        return let(split_text(F.col(text), pattern), lambda words: of_words(words, done, given))
 
-    return project(docs, into, body, ranks=vocabulary.ranks, done=known, **values)
+    return project(docs, into, body, done=known, **values)
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
     vocabulary = Vocabulary(spark, read_ranks(public_tokenizers.path(VOCABULARY)))
 
-    def digest(ids, little, pieces):
-        return F.struct(
-            F.size(ids).cast("long").alias("n_tokens"),
-            F.sha2(joined_bytes(little, ids), 256).alias("ids_sha256"),
-            F.sha2(joined_bytes(pieces, ids), 256).alias("decoded_sha256"),
-        )
+    def each(ids, little, pieces):  # bytes, held as strings for the sake of array_join
+        return F.struct(joined_bytes(little, ids).cast("string").alias("little"), joined_bytes(pieces, ids).cast("string").alias("decoded"))
+
+    def digest(found):
+        decoded = F.array_join(found["decoded"], "").cast("binary")
+
+        def of_row(little):
+            return F.struct(
+                (F.octet_length(little) / 4).cast("long").alias("n_tokens"),
+                F.sha2(little, 256).alias("ids_sha256"),
+                F.sha2(decoded, 256).alias("decoded_sha256"),
+            )
+
+        return let(F.array_join(found["little"], "").cast("binary"), of_row)
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = encode(docs, vocabulary, into="r", digest=digest, little=vocabulary.little, pieces=vocabulary.pieces)
+    found = encode(docs, vocabulary, into="r", each=each, digest=digest, little=vocabulary.little, pieces=vocabulary.pieces)
     return found.select("doc_id", "r.n_tokens", "r.ids_sha256", "r.decoded_sha256")
