@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -56,3 +57,21 @@ def test_decode_is_the_inverse(spark, ranks):
     back = B.decode(B.encode(docs, vocabulary, head=50, one_in=1), vocabulary)
     for row in back.select("text", "bytes").collect():
         assert bytes(row.bytes) == (row.text or "").encode()
+
+
+def test_something_else_is_made_of_each_piece(spark, ranks, reference):
+    """What ``each`` makes, of pieces in the head and outside it, is joined in the order of the text."""
+    vocabulary = B.Vocabulary(spark, ranks)
+    texts = [None, "", "the cat sat", "the cat zqxjkv zqxjkv\x00 the \u00fc\U0001f642", "the cat"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = B.encode(docs, vocabulary, head=3, one_in=1, each=lambda ids, **_: F.size(ids), digest=lambda found: found)
+    want = {t: [len(reference._encode_single_piece(p)) for p in regex.findall(P.PATTERN, t or "")] for t in texts}
+    assert {r.text: r.ids for r in got.collect()} == want
+
+
+def test_bytes_without_a_rank(spark):
+    """A vocabulary without all single bytes: they still take part in joins."""
+    vocabulary = B.Vocabulary(spark, {b"ab": 0, b"abc": 1, b"c": 2, b"bc": 3})
+    frame = spark.createDataFrame([("abcab",), ("xab",), ("cc",), ("bbc",)], "w string")
+    got = B.project(frame, "ids", lambda ranks: B.Merges(ranks).fold(F.col("w").cast("binary")), ranks=vocabulary.ranks)
+    assert {r.w: r.ids for r in got.collect()} == {"abcab": [1, 0], "xab": [B.NONE, 0], "cc": [2, 2], "bbc": [B.NONE, 3]}

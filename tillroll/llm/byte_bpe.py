@@ -7,8 +7,8 @@ pair, and joins the best-ranked, leftmost pair until no pair has a rank.  Ranks
 sit in the plan as literal maps, of byte strings and of pairs of ids, split into
 buckets so that a lookup reads one short map.
 
-The commonest pieces of the corpus (``head`` of them, a fixed bound) are folded
-once and become a second literal; a piece outside the head is folded once for
+The commonest pieces of the corpus (``head`` of them, a fixed bound) are folded,
+their bytes made and decoded, once and become a second literal; a piece outside the head is folded once for
 each document that has it.  The head only saves work: ids never depend on it.
 ``decode`` puts the byte strings of the ids together again.
 
@@ -37,10 +37,11 @@ LONG_PIECE = 512
 #: Characters of a fold's state: ranks from ``FIRST_RANK`` on, above them ``NO_RANK``, above it the ids.
 FIRST_RANK, FIRST_ID = 0x10000, 0x80000
 NO_RANK, EDGE = chr(FIRST_ID - 1), chr(0x10FFFF)
+LATIN = "".join(map(chr, range(256)))
 MOST_RANKS = FIRST_ID - FIRST_RANK - 1
-#: Pieces encoded ahead, and the share of documents (one in so many) that picks them.
-HEAD = 400_000
-HEAD_ONE_IN = 4
+#: Pieces encoded ahead (some 130 bytes each in every task's plan), and the share of documents (one in so many) that picks them.
+HEAD = 800_000
+HEAD_ONE_IN = 2
 BUCKETS = 1 << 16
 
 
@@ -75,14 +76,18 @@ class Vocabulary:
             raise ValueError(f"{size} ranks: a fold's state has characters for {MOST_RANKS}")
         ids = {bytes([b]): size + b for b in range(256)} | ranks  # a byte without a rank takes part, as no id
         sign = {k: chr(FIRST_ID + v) for k, v in ids.items()}
-        halves = {sign[k[:i]] + sign[k[i:]]: chr(FIRST_RANK + v) for k, v in ranks.items() for i in range(1, len(k)) if k[:i] in sign and k[i:] in sign}
+        halves = {}
+        for k, v in ranks.items():
+            for i in range(1, len(k)):
+                if k[:i] in sign and k[i:] in sign:
+                    halves[sign[k[:i]] + sign[k[i:]]] = chr(FIRST_RANK + v)
         pairs = pa.table({"k": list(halves), "v": list(halves.values())}, schema=pa.schema({"k": pa.string(), "v": pa.string()}))
         signs = [chr(FIRST_ID + i) for i in range(size)]
         self.ranks = (
             _in_buckets(spark.createDataFrame(whole), "k", "v")
             .select(F.col("m").alias("whole"))
             .crossJoin(_in_buckets(spark.createDataFrame(pairs), "k", "v").select(F.col("m").alias("pairs")))
-            .crossJoin(spark.createDataFrame([([sign[bytes([b])] for b in range(256)], signs)], "bytes array<string>, ids array<string>"))
+            .crossJoin(spark.createDataFrame([("".join(sign[bytes([b])] for b in range(256)), signs)], "bytes string, ids array<string>"))
             .select(F.struct("whole", "pairs", "bytes", "ids").alias("ranks"))
         )
         pieces = [""] * size
@@ -154,9 +159,7 @@ class Merges:
         arrays cost several times as much in a lambda.
         """
         letters = F.decode(piece, "ISO-8859-1")  # a character for each byte
-        ids = F.array_join(
-            F.transform(F.sequence(F.lit(1), F.octet_length(piece)), lambda i: self._bytes[F.ascii(F.substring(letters, i, F.lit(1)))]), ""
-        )
+        ids = F.call_function("translate", letters, F.lit(LATIN), self._bytes)
 
         def start(ids):
             cells = F.transform(
