@@ -1,11 +1,11 @@
 """Byte-level BPE: ranked merges folded by Spark's higher-order functions.
 
 ``encode`` splits a text with the vocabulary's pattern and turns every distinct
-piece into ids by a fold: an ``aggregate`` that holds the piece as an array of
-ids, from those of its single bytes on, with the merge rank of each neighbouring
-pair, and joins the best-ranked, leftmost pair until no pair has a rank.  Ranks
-sit in the plan as literal maps, of byte strings and of pairs of ids, split into
-buckets so that a lookup reads one short map.
+piece into ids by a fold: an ``aggregate`` that holds the piece as a string with a
+character for each id, from those of its single bytes on, and for the merge rank
+of each neighbouring pair, and joins the best-ranked, leftmost pair until no pair
+has a rank.  Ranks sit in the plan as literal maps, of byte strings and of pairs of
+ids, split into buckets so that a lookup reads one short map.
 
 The commonest pieces of the corpus (``head`` of them, a fixed bound) are folded,
 their bytes made and decoded, once and become a second literal; a piece outside the head is folded once for
