@@ -8,8 +8,8 @@ has a rank.  Ranks sit in the plan as literal maps, of byte strings and of pairs
 ids, split into buckets so that a lookup reads one short map.
 
 The commonest pieces of the corpus (``head`` of them, a fixed bound) are folded,
-their bytes made and decoded, once and become a second literal; a piece outside the head is folded once for
-each document that has it.  The head only saves work: ids never depend on it.
+their bytes made and decoded, once and become a second literal; a piece outside
+the head is folded once for each document that has it.  The head only saves work: ids never depend on it.
 ``decode`` puts the byte strings of the ids together again.
 
 Null text counts as empty (no ids, empty bytes).  Repeated rows give repeated
@@ -155,8 +155,7 @@ class Merges:
 
         The state is a string: a character for each id and between two ids one for
         the rank of the pair, all ranks below all ids; ``EDGE`` pairs with nothing.
-        Strings because Spark's ``concat``, ``slice`` and ``array_position`` of
-        arrays cost several times as much in a lambda.
+        Arrays of ids and ranks took somewhat longer (README).
         """
         letters = F.decode(piece, "ISO-8859-1")  # a character for each byte
         ids = F.call_function("translate", letters, F.lit(LATIN), self._bytes)
