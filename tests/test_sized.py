@@ -1,13 +1,19 @@
 """Shuffles and loads that keep their tasks small however large the tables are."""
 
 import datetime as dt
+import decimal
+import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures import SUNDAY1, SUNDAY2
 from tillroll import catalog, schemas, session
 from tillroll.operators.fact import enrich_extract
 from tillroll.session import sized_shuffles
+from tillroll.sources.extract import export_extract, read_export_order, read_extract
+from tillroll.session import sized_shuffles
 
 NUMBER, JOINED = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -86,3 +92,30 @@ def test_results_are_made_in_sized_shuffles(spark, lake, monkeypatch, name):
     monkeypatch.setattr(catalog, "write_table", noted)
     assert catalog.QUERIES[name](spark, lake).count() > 0
     assert seen[{"fact_updates": "updates", "fact_inserts": "inserts", "export_order": "order"}[name]] == 15
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    before = shuffle_files(spark)
+    with sized_shuffles(spark, 0):
+        for _ in range(3):
+            spark.range(10_000).groupBy(F.col("id") % 100).count().write.format("noop").mode("overwrite").save()
+        until = time.time() + 20
+        while (left := shuffle_files(spark) - before) and time.time() < until:  # they go in the background
+            time.sleep(0.1)
+        assert not left
+    assert spark.conf.get(session.FILES_GO, None) in (None, "false")
+
+
+def test_one_delivery_is_exported_without_a_shuffle_of_its_rows(spark, tmp_root):
+    rows = [(k * 7919 % 50, f"Shop {k % 7}", (SUNDAY1, SUNDAY2)[k % 2], 1, decimal.Decimal("1.00")) for k in range(50)]
+    src = spark.createDataFrame(rows, "SKU long, Retailer string, `Week Ending` date, Units int, Sales decimal(13,2)").repartition(3)
+    export_extract(src, f"{tmp_root}/out", dt.date(2023, 4, 2))
+    assert [p.rsplit("/", 1)[-1] for p in glob.glob(f"{tmp_root}/out/*")] == ["week=2023-04-02"]
+    assert len(glob.glob(f"{tmp_root}/out/*/*.csv")) == 3  # as the rows were dealt before
+    assert sorted(read_extract(spark, f"{tmp_root}/out").collect()) == sorted(src.collect())
+    assert read_export_order(spark, f"{tmp_root}/out").where("in_order").count() == 50

@@ -102,10 +102,9 @@ def _deliveries_root(spark: SparkSession, sf_dir: str) -> str:
     k = _key(spark, sf_dir, "deliveries")
     if k not in _memo:
         root = scratch_dir(spark, "deliveries")
-        a = RM.first_delivery(spark, sf_dir).withColumn("_d", F.lit(DELIVERY_A))
-        b = RM.restated_delivery(spark, sf_dir).withColumn("_d", F.lit(DELIVERY_B))
         with _sized(spark, sf_dir):
-            export_extract(a.unionByName(b), root, delivery="_d")
+            export_extract(RM.first_delivery(spark, sf_dir), root, DELIVERY_A)
+            export_extract(RM.restated_delivery(spark, sf_dir), root, DELIVERY_B)
         _memo[k] = root
     return _memo[k]
 

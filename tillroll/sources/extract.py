@@ -8,11 +8,14 @@ straight into DECIMAL(13,2).
 Export layout: one folder per week ending, ``<root>/week=<yyyy-MM-dd>/``,
 of files with a header line, each sorted by retailer and SKU.  Rows go to their
 week by a rebalance: Spark splits a large week by its bytes and puts small ones
-together, and a file has at most ``FILE_ROWS`` rows.
+together, and a file has at most ``FILE_ROWS`` rows.  An extract that is one delivery
+is written as it is dealt to its tasks.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -95,7 +98,7 @@ def read_deliveries(spark: SparkSession, root: str, folders: list[str] | None =
     )
 
 
-def export_extract(df: DataFrame, root: str, delivery: str | None = None, file_rows: int = FILE_ROWS) -> None:
+def export_extract(df: DataFrame, root: str, delivery: str | _dt.date | None = None, file_rows: int = FILE_ROWS) -> None:
     """Write an extract as CSV folders, one per delivery week.
 
     ``delivery`` names a DATE column giving the delivery week of each row
@@ -103,26 +106,19 @@ def export_extract(df: DataFrame, root: str, delivery: str | None = None, file_r
     week and sorted by (delivery, Retailer, SKU) in their task: every file is
     sorted, a task holds a share of a large week by bytes, and no file has more
     than ``file_rows`` rows.
+
+    If ``delivery`` is a date, all rows are the delivery of that day: its folder alone is
+    written, each task's rows to files of their own, and none are shuffled for it.
     """
-    week = F.col(delivery) if delivery else F.col("Week Ending")
-    out = df.select(
-        F.date_format(week, "yyyy-MM-dd").alias(DELIVERY_COLUMN),
-        "SKU",
-        "Retailer",
-        "Week Ending",
-        "Units",
-        "Sales",
-    )
-    (
-        out.hint("rebalance", DELIVERY_COLUMN)
-        .sortWithinPartitions(DELIVERY_COLUMN, "Retailer", "SKU")
-        .write.mode("overwrite")
-        .partitionBy(DELIVERY_COLUMN)
-        .option("header", "true")
-        .option("dateFormat", EXTRACT_DATE_FORMAT)
-        .option("maxRecordsPerFile", file_rows)
-        .csv(root)
-    )
+    given = ["SKU", "Retailer", "Week Ending", "Units", "Sales"]
+    if isinstance(delivery, _dt.date):
+        files = df.select(*given).sortWithinPartitions("Retailer", "SKU").write
+        root = f"{root}/{DELIVERY_COLUMN}={delivery.isoformat()}"
+    else:
+        week = F.col(delivery) if delivery else F.col("Week Ending")
+        out = df.select(F.date_format(week, "yyyy-MM-dd").alias(DELIVERY_COLUMN), *given)
+        files = out.hint("rebalance", DELIVERY_COLUMN).sortWithinPartitions(DELIVERY_COLUMN, "Retailer", "SKU").write.partitionBy(DELIVERY_COLUMN)
+    files.mode("overwrite").option("header", "true").option("dateFormat", EXTRACT_DATE_FORMAT).option("maxRecordsPerFile", file_rows).csv(root)
 
 
 def read_export_order(spark: SparkSession, root: str) -> DataFrame:

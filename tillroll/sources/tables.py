@@ -27,6 +27,10 @@ from pyspark.sql.types import StructType
 from .. import schemas
 
 
+#: Codec of what is written: figures, of which a warehouse has the most, take two thirds of the bytes that Spark's default does.
+CODEC = "zstd"
+
+
 def _condition(exc: AnalysisException) -> str | None:
     for getter in ("getCondition", "getErrorClass"):
         fn = getattr(exc, getter, None)
@@ -61,7 +65,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 def write_table(df: DataFrame, path: str, mode: str, partition_by: str | None = None) -> None:
     """Write ``df`` as Parquet at ``path`` (see module doc for the modes)."""
-    writer = df.write.format("parquet")
+    writer = df.write.format("parquet").option("compression", CODEC)
     if mode == "append":
         writer = writer.mode("append")
         if partition_by:
