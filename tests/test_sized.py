@@ -8,11 +8,14 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import SUNDAY1, SUNDAY2
+from fixtures import SUNDAY1, SUNDAY2, WEEK1, line, warehouse_with_lookups, write_csv
 from tillroll import catalog, schemas, session
-from tillroll.operators.fact import enrich_extract
+from tillroll.operators.fact import combined, date_rows, enrich_extract, merge_fact
+from tillroll.plans import publish
+from tillroll.plans.weekly_load import backfill
 from tillroll.session import sized_shuffles
 from tillroll.sources.extract import export_extract, read_export_order, read_extract
+from tillroll.sources.tables import Warehouse
 from tillroll.session import sized_shuffles
 
 NUMBER, JOINED = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -119,3 +122,48 @@ def test_one_delivery_is_exported_without_a_shuffle_of_its_rows(spark, tmp_root)
     assert len(glob.glob(f"{tmp_root}/out/*/*.csv")) == 3  # as the rows were dealt before
     assert sorted(read_extract(spark, f"{tmp_root}/out").collect()) == sorted(src.collect())
     assert read_export_order(spark, f"{tmp_root}/out").where("in_order").count() == 50
+
+
+def test_dealt_sides_are_shuffled_once_and_merge_to_the_same(spark, tmp_root):
+    names = "DateId long, ProductId long, RetailerId long, DataSource string, SKU long, UnitsSold int, SalesAmount decimal(13,2)"
+    values = lambda n: (decimal.Decimal(n), None)[n % 5 == 0]
+    stored = [(20220102 + d, k, k % 3, "MAT", k, k, values(k), None, 1, None, None) for d in (0, 7) for k in range(40)]
+    spark.createDataFrame(stored, schemas.SALES).write.parquet(f"{tmp_root}/old")
+    batch = [((20220102, 20220109, None)[k % 3], k, k % 3, "MAT", k, k + d, values(k), f"2022-01-{d + 10}") for k in range(20, 60) for d in (0, 1)]
+    spark.createDataFrame([*batch, batch[2]], f"{names}, week string").withColumn("week", F.to_date("week")).write.parquet(f"{tmp_root}/new")
+    old, new = spark.read.schema(schemas.SALES).parquet(f"{tmp_root}/old"), spark.read.parquet(f"{tmp_root}/new")
+    shares = spark.createDataFrame([(20220102, 3), (20220109, 1)], "DateId long, _shares int")
+    weighted = combined(new, "_n")
+    args = ("2022-01-20 00:00:00", 2, "week")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with session.settings(spark, {session.ALL_KEYS: "false"}):
+            merged = merge_fact(old, new.withColumn("_n", F.lit(1)), *args, weight="_n", shares=shares)
+            p = merged._jdf.queryExecution().executedPlan().toString()
+            assert p.count("Exchange hashpartitioning(") == 2 and p.count("Exchange hashpartitioning(DateId") == 2
+            got = [sorted(map(str, m.collect())) for m in (merged, merge_fact(old, weighted, *args, weight="_n", shares=shares), merge_fact(old, new, *args))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 107
+    assert date_rows(weighted, "_n") == date_rows(new) == {20220102: 27, 20220109: 26}
+
+
+def test_publishing_shuffles_no_rows_and_a_replayed_backfill_keeps_no_copy_of_its_rows(spark, tmp_root, monkeypatch):
+    wh, plans, real = Warehouse(f"{tmp_root}/lake"), [], publish.write_table
+    warehouse_with_lookups(spark, wh)
+    write_csv(f"{tmp_root}/raw/week=2023-03-05", WEEK1)
+    write_csv(f"{tmp_root}/raw/week=2023-03-12", [line(52, "Halden", SUNDAY1, 99.0, "1.00")])
+
+    def looks(df, path, *rest):
+        plans.append((path, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, path, *rest)
+
+    monkeypatch.setattr(publish, "write_table", looks)
+    for day in (6, 7):
+        backfill(spark, wh, f"{tmp_root}/raw", f"2023-03-{day:02d} 06:00:00")
+    (sales,) = [p for path, p in plans if path == wh.sales]
+    assert "Repartition" not in sales and "Rebalance" not in sales
+    copies = glob.glob(f"{wh.stage('*')}/enriched")
+    assert len(copies) == 2 and all(spark.read.parquet(c).isEmpty() for c in copies)
+    assert wh.read_sales(spark).count() == 2
